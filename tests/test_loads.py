@@ -1,0 +1,80 @@
+"""Loads, checks and profiles on the driver tables."""
+
+from pyspark.sql import functions as F
+
+from tests.conftest import SMOKE_DIR
+from tillflow import fixtures
+from tillflow.operators import profile, quality, upsert
+from tillflow.operators.normalize import normalize, orders_products_by_join, products
+from tillflow.operators.rowindex import with_row_index
+from tillflow.schemas import KEYS
+from tillflow.sinks.tables import conform, load_if_absent, read_target
+
+
+def _tables(n):
+    return {"stores": n.stores, "orders": n.orders, "products": conform(n.products, "products"), "orders_products": n.orders_products}
+
+
+def test_load_twice_changes_nothing(spark, scratch):
+    n = normalize(fixtures.receipts(spark, SMOKE_DIR))
+    base = scratch("targets")
+    load_if_absent(_tables(n), base, spark)
+    first = {t: read_target(spark, base, t).count() for t in KEYS}
+    load_if_absent(_tables(n), base, spark)
+    second = {t: read_target(spark, base, t).count() for t in KEYS}
+    assert first == second and first["orders"] > 0
+
+
+def test_upsert_keeps_target_rows_and_dedups_staging(spark):
+    t = spark.createDataFrame([("a", 1), ("b", 1)], "k string, v int")
+    s = spark.createDataFrame([("b", 2), ("c", 3), ("c", 3)], "k string, v int")
+    got = sorted(tuple(r) for r in upsert.upsert(s, t, ["k"]).collect())
+    assert got == [("a", 1), ("b", 1), ("c", 3)]
+    assert sorted(tuple(r) for r in upsert.append(t, s).collect()) == sorted([("a", 1), ("b", 1), ("b", 2), ("c", 3), ("c", 3)])
+
+
+def test_constraints_hold(spark):
+    n = normalize(fixtures.receipts(spark, SMOKE_DIR))
+    tables = _tables(n)
+    assert all(r.n_dup_keys == 0 for r in quality.dq_unique(tables).collect())
+    assert all(r.n_orphans == 0 for r in quality.dq_foreign(tables).collect())
+    assert all(r.n_nulls == 0 for r in quality.dq_not_null(tables).collect())
+    assert all(r.n_too_long == 0 for r in quality.dq_length(tables, id_length=64).collect())
+
+
+def test_renormalise_gives_back_items(spark):
+    """Property: link rows x quantity == the multiset of valid item rows."""
+    n = normalize(fixtures.receipts(spark, SMOKE_DIR))
+    items = n.items.filter(F.col("item_price").isNotNull()).groupBy("order_id", "item_name", "item_size", "item_price").count()
+    back = (
+        n.orders_products.join(n.products, "product_id")
+        .select("order_id", "item_name", "item_size", "item_price", F.col("quantity").cast("long").alias("count"))
+    )
+    assert items.exceptAll(back).count() == 0 and back.exceptAll(items).count() == 0
+
+
+def test_join_form_equals_inline_ids(spark):
+    n = normalize(fixtures.receipts(spark, SMOKE_DIR))
+    joined = orders_products_by_join(n.items, products(n.items))
+    assert joined.exceptAll(n.orders_products).count() == 0 and n.orders_products.exceptAll(joined).count() == 0
+
+
+def test_row_order_does_not_matter(spark):
+    r = fixtures.receipts(spark, SMOKE_DIR)
+    shuffled = r.repartition(7).sortWithinPartitions(F.rand(3))
+    a, b = normalize(r).orders_products, normalize(shuffled).orders_products
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_profiles(spark):
+    n = normalize(fixtures.receipts_doubled(spark, SMOKE_DIR))
+    p = profile.qty_profile(n.orders_products).first()
+    assert p.n_gt0 == p.n_gt1  # every receipt twice in one file: all quantities >= 2
+    rc = profile.row_counts(fixtures.receipts_doubled(spark, SMOKE_DIR)).first()
+    assert rc.n_items == n.items.count() and rc.n_receipts == fixtures.receipts_doubled(spark, SMOKE_DIR).count()
+
+
+def test_row_index_is_dense(spark):
+    df = spark.range(0, 1000).select((F.col("id") * 7 % 1000).alias("v")).repartition(5)
+    out = with_row_index(df, ["v"]).orderBy("row_index").collect()
+    assert [r.row_index for r in out] == list(range(1000)) and [r.v for r in out] == list(range(1000))

@@ -49,7 +49,7 @@ def double_text(c: Column) -> Column:
     positional_small = F.concat(sign, F.lit("0."), F.repeat(F.lit("0"), -exp - 1), digits)
     sci_mant = F.when(n > 1, F.concat(digits.substr(one, one), F.lit("."), digits.substr(F.lit(2), n))).otherwise(digits)
     scientific = F.concat(
-        sign, sci_mant, F.lit("e"), F.when(exp < 0, F.lit("-")).otherwise(F.lit("+")), F.lpad(F.abs(exp).cast("string"), 2, "0")
+        sign, sci_mant, F.lit("e"), F.when(exp < 0, F.lit("-")).otherwise(F.lit("+")), F.when(F.abs(exp) < 10, F.concat(F.lit("0"), F.abs(exp).cast("string"))).otherwise(F.abs(exp).cast("string"))
     )
     return (
         F.when(c.isNull(), F.lit(NA_TEXT))
