@@ -31,13 +31,36 @@ FILE_B_FROM = "1997-01-01 00:00:00"
 FILE_B_TWICE_BEFORE = "1999-01-01 00:00:00"
 
 
+# Types of the driver-table columns used here (TESTDATA.md,
+# FIXTURES.md section 6). Declared, so reads need no footer inference and scan
+# only these columns.
+DRIVER_COLUMNS = {
+    "lineitem": "l_orderkey long, l_partkey long, l_linenumber int, l_shipdate timestamp_ntz",
+    "part": "p_partkey long, p_name string, p_brand string, p_retailprice double",
+    "orders": "o_orderkey long, o_custkey long, o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string",
+    "customer": "c_custkey long, c_name string, c_nationkey int",
+    "nation": "n_nationkey int, n_name string",
+    "events": "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string",
+    "pages": "page_id long, url string",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    reader = spark.read
+    if name in DRIVER_COLUMNS:
+        reader = reader.schema(DRIVER_COLUMNS[name])
+    return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def receipts_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Receipts plus ``o_orderkey`` (kept only for fixture bookkeeping)."""
-    lineitem = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
+    # Partition the two key columns by order straight after the scan: the basket
+    # aggregation below then needs no further shuffle, the part lookup and text
+    # building run in parallel after it, and only two longs per row are shuffled.
+    # The count is fixed (not coalesced by AQE): the work after this shuffle is
+    # CPU-heavy while the shuffled bytes are few.
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    lineitem = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey").repartition(parts, "l_orderkey")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_name", "p_retailprice")
     orders = table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority"

@@ -19,7 +19,7 @@ def split_basket(c: Column) -> Column:
 
 def explode_basket(df: DataFrame, col: str = "basket_items", out: str = "basket_item") -> DataFrame:
     """One row per item; a null basket keeps its row with a null item."""
-    return df.withColumn(out, F.explode_outer(split_basket(F.col(col))))
+    return df.select("*", F.explode_outer(split_basket(F.col(col))).alias(out))
 
 
 def split_item_price(c: Column) -> tuple[Column, Column]:
@@ -37,7 +37,7 @@ def split_size_name(c: Column) -> tuple[Column, Column]:
 
 
 def item_columns(df: DataFrame, col: str = "basket_item") -> DataFrame:
+    """Adds item, item_price, item_size, item_name in one projection."""
     item, price = split_item_price(F.col(col))
-    df = df.withColumn("item", item).withColumn("item_price", price)
-    size, name = split_size_name(F.col("item"))
-    return df.withColumn("item_size", size).withColumn("item_name", name)
+    size, name = split_size_name(item)
+    return df.select("*", item.alias("item"), price.alias("item_price"), size.alias("item_size"), name.alias("item_name"))

@@ -35,31 +35,29 @@ def timestamp_text(c: Column) -> Column:
 
 
 def double_text(c: Column) -> Column:
-    """Python ``repr`` of a double, built from Java's shortest-digit text."""
+    """Python ``repr`` of a double, from Java's digits, as one compact expression.
+
+    Java already prints Python's text for 1e-3 <= |x| < 1e7. Outside that,
+    1e-4 <= |x| < 1e16 is positional in Python: the exact decimal of the
+    shortest digits, trailing zeros cut; the rest is scientific, ``1e+16``.
+    Kept small on purpose: a large expression tree pushes the fused stage past
+    the generated-method limit and Spark then runs the stage interpreted.
+    """
     j = c.cast("string")
-    mant = F.substring_index(j, "E", 1)
-    exp = F.substring_index(j, "E", -1).cast("int")
-    sign = F.when(mant.startswith("-"), F.lit("-")).otherwise(F.lit(""))
-    digits = F.regexp_replace(F.regexp_replace(mant, "[-.]", ""), "0+$", "")
-    n = F.length(digits)
-    one = F.lit(1)
-    int_part = F.rpad(digits.substr(one, exp + 1), exp + 1, "0")
-    frac = F.when(n > exp + 1, digits.substr(exp + 2, n)).otherwise(F.lit("0"))
-    positional_big = F.concat(sign, int_part, F.lit("."), frac)
-    positional_small = F.concat(sign, F.lit("0."), F.repeat(F.lit("0"), -exp - 1), digits)
-    sci_mant = F.when(n > 1, F.concat(digits.substr(one, one), F.lit("."), digits.substr(F.lit(2), n))).otherwise(digits)
+    positional = F.regexp_replace(
+        F.regexp_replace(c.cast("decimal(38,22)").cast("string"), "0+$", ""), r"\.$", ".0"
+    )
     scientific = F.concat(
-        sign, sci_mant, F.lit("e"), F.when(exp < 0, F.lit("-")).otherwise(F.lit("+")), F.when(F.abs(exp) < 10, F.concat(F.lit("0"), F.abs(exp).cast("string"))).otherwise(F.abs(exp).cast("string"))
+        F.regexp_replace(F.substring_index(j, "E", 1), r"\.0$", ""),
+        F.format_string("e%+03d", F.substring_index(j, "E", -1).cast("int")),
     )
     return (
-        F.when(c.isNull(), F.lit(NA_TEXT))
-        .when(j == "NaN", F.lit("nan"))
-        .when(j == "Infinity", F.lit("inf"))
-        .when(j == "-Infinity", F.lit("-inf"))
+        F.when(c.isNull() | F.isnan(c), F.lit(NA_TEXT))
+        .when(c == float("inf"), F.lit("inf"))
+        .when(c == float("-inf"), F.lit("-inf"))
         .when(F.instr(j, "E") == 0, j)
-        .when((exp >= 16) | (exp < -4), scientific)
-        .when(exp >= 0, positional_big)
-        .otherwise(positional_small)
+        .when((F.abs(c) >= 1e16) | (F.abs(c) < 1e-4), scientific)
+        .otherwise(positional)
     )
 
 

@@ -11,7 +11,7 @@ two lookup joins of the original design disappear (``*_by_join`` keep them).
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,7 +25,7 @@ PRODUCT_COLS = ["item_name", "item_size", "item_price"]
 
 def with_order_id(receipts: DataFrame, ids: IdScheme = SHA256) -> DataFrame:
     """Adds ``order_id`` from all seven raw columns, PII included."""
-    return receipts.withColumn("order_id", ids.order_id({c: F.col(c) for c in receipts.columns}))
+    return receipts.select("*", ids.order_id({c: F.col(c) for c in receipts.columns}).alias("order_id"))
 
 
 def drop_pii(df: DataFrame) -> DataFrame:
@@ -93,7 +93,8 @@ def products(items: DataFrame, ids: IdScheme = SHA256) -> DataFrame:
 def _link_rows(items: DataFrame, ids: IdScheme) -> DataFrame:
     v = valid_items(items)
     if ids.jvm_only:
-        return v.withColumn("product_id", ids.product_id(F.col("item_name"), F.col("item_size"), F.col("item_price")))
+        return v.select("order_id", ids.product_id(F.col("item_name"), F.col("item_size"), F.col("item_price")).alias("product_id"),
+                        *[c for c in v.columns if c in ("file_time", "file_path")])
     # Python-side hash: hash each distinct product once, then look it up.
     return v.join(products(items, ids), PRODUCT_COLS, "left")
 
@@ -147,13 +148,41 @@ def orders_products_by_join(items: DataFrame, product_table: DataFrame) -> DataF
     return linked.groupBy("order_id", "product_id").agg(F.count(F.lit(1)).cast("int").alias("quantity"))
 
 
-@dataclass
 class Normalized:
-    items: DataFrame
-    stores: DataFrame
-    orders: DataFrame
-    products: DataFrame
-    orders_products: DataFrame
+    """The four tables of one set of receipts, each planned only when asked for."""
+
+    def __init__(self, receipts: DataFrame, ids: IdScheme = SHA256, by_file: bool = False):
+        if "_reject" in receipts.columns:
+            receipts = receipts.filter(F.col("_reject").isNull()).drop("_reject")
+        self.receipts = receipts
+        self.ids = ids
+        self.by_file = by_file
+
+    @cached_property
+    def cleaned(self) -> DataFrame:
+        return clean(self.receipts, self.ids)
+
+    @cached_property
+    def items(self) -> DataFrame:
+        return to_1nf(self.cleaned)
+
+    @cached_property
+    def stores(self) -> DataFrame:
+        return stores(self.cleaned, self.ids)
+
+    @cached_property
+    def orders(self) -> DataFrame:
+        return orders(self.cleaned, self.ids)
+
+    @cached_property
+    def products(self) -> DataFrame:
+        return products(self.items, self.ids)
+
+    @cached_property
+    def orders_products(self) -> DataFrame:
+        if self.by_file:
+            return orders_products_by_file(self.items, self.ids).drop("file_time", "file_path")
+        return orders_products(self.items, self.ids)
 
     def table(self, name: str) -> DataFrame:
         return getattr(self, name)
@@ -161,15 +190,4 @@ class Normalized:
 
 def normalize(receipts: DataFrame, ids: IdScheme = SHA256, by_file: bool = False) -> Normalized:
     """Typed receipts (optionally with ``file_path``/``file_time``) -> 4 tables."""
-    if "_reject" in receipts.columns:
-        receipts = receipts.filter(F.col("_reject").isNull()).drop("_reject")
-    cleaned = clean(receipts, ids)
-    items = to_1nf(cleaned)
-    link = orders_products_by_file(items, ids).drop("file_time", "file_path") if by_file else orders_products(items, ids)
-    return Normalized(
-        items=items,
-        stores=stores(cleaned, ids),
-        orders=orders(cleaned, ids),
-        products=products(items, ids),
-        orders_products=link,
-    )
+    return Normalized(receipts, ids, by_file)
