@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tillflow.functions.canonical import card_text, double_text, string_text, timestamp_text
+from tillflow.functions.canonical import card_text_sql, double_text_sql, ref, string_text_sql, timestamp_text_sql
 
 
 @lru_cache(maxsize=None)
@@ -57,33 +57,34 @@ class IdScheme:
             return shake256_hex(text, nbytes)
         raise ValueError(f"unknown id hash: {self.kind}")
 
-    def order_text(self, df_cols) -> Column:
+    def order_text_sql(self) -> str:
         """Text of a raw receipt: its seven columns in file order, no separator."""
-        c = df_cols
-        return F.concat(
-            timestamp_text(c["timestamp"]),
-            string_text(c["store_name"]),
-            string_text(c["customer_name"]),
-            string_text(c["basket_items"]),
-            double_text(c["total_price"]),
-            string_text(c["payment_type"]),
-            card_text(c["card_number"], self.card_style),
-        )
-
-    def order_id(self, df_cols) -> Column:
-        return self.digest(self.order_text(df_cols), self.order_bytes)
-
-    def store_id(self, store_name: Column) -> Column:
-        return self.digest(string_text(store_name), self.store_bytes)
-
-    def product_id(self, item_name: Column, item_size: Column, item_price: Column) -> Column:
+        parts = [
+            timestamp_text_sql(ref("timestamp")),
+            string_text_sql(ref("store_name")),
+            string_text_sql(ref("customer_name")),
+            string_text_sql(ref("basket_items")),
+            double_text_sql(ref("total_price")),
+            string_text_sql(ref("payment_type")),
+            card_text_sql(ref("card_number"), self.card_style),
+        ]
+        return "concat(" + ", ".join(parts) + ")"
+
+    def order_id(self) -> Column:
+        """Id of a receipt row; reads the seven raw columns by name."""
+        return self.digest(F.expr(self.order_text_sql()), self.order_bytes)
+
+    def store_id(self, store_name: str = "store_name") -> Column:
+        return self.digest(F.expr(string_text_sql(ref(store_name))), self.store_bytes)
+
+    def product_id(self, item_name: str = "item_name", item_size: str = "item_size", item_price: str = "item_price") -> Column:
         """Name, size, price text in that order; the price is hashed as text."""
-        text = F.concat(string_text(item_name), string_text(item_size), string_text(item_price))
-        return self.digest(text, self.product_bytes)
+        text = "concat(" + ", ".join(string_text_sql(ref(c)) for c in (item_name, item_size, item_price)) + ")"
+        return self.digest(F.expr(text), self.product_bytes)
 
-    def pseudonym(self, c: Column, nbytes: int = 8) -> Column:
+    def pseudonym(self, name: str, nbytes: int = 8) -> Column:
         """Replace a personal value by the hash of its text."""
-        return self.digest(string_text(c), nbytes)
+        return self.digest(F.expr(string_text_sql(ref(name))), nbytes)
 
 
 SHA256 = IdScheme("sha256")

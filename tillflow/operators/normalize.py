@@ -25,7 +25,7 @@ PRODUCT_COLS = ["item_name", "item_size", "item_price"]
 
 def with_order_id(receipts: DataFrame, ids: IdScheme = SHA256) -> DataFrame:
     """Adds ``order_id`` from all seven raw columns, PII included."""
-    return receipts.select("*", ids.order_id({c: F.col(c) for c in receipts.columns}).alias("order_id"))
+    return receipts.select("*", ids.order_id().alias("order_id"))
 
 
 def drop_pii(df: DataFrame) -> DataFrame:
@@ -35,7 +35,7 @@ def drop_pii(df: DataFrame) -> DataFrame:
 def hash_pii(df: DataFrame, ids: IdScheme = SHA256) -> DataFrame:
     """Pseudonymise instead of drop (P6): each personal value by its hash."""
     for c in PII_COLUMNS:
-        df = df.withColumn(c, ids.pseudonym(F.col(c)))
+        df = df.withColumn(c, ids.pseudonym(c))
     return df
 
 
@@ -61,7 +61,7 @@ def rejected_items(items: DataFrame) -> DataFrame:
 
 def stores(cleaned: DataFrame, ids: IdScheme = SHA256) -> DataFrame:
     """Distinct store names (a null name is one store, id from ``nan``)."""
-    return cleaned.select("store_name").distinct().select(ids.store_id(F.col("store_name")).alias("store_id"), "store_name")
+    return cleaned.select("store_name").distinct().select(ids.store_id().alias("store_id"), "store_name")
 
 
 def orders(cleaned: DataFrame, ids: IdScheme = SHA256) -> DataFrame:
@@ -73,7 +73,7 @@ def orders(cleaned: DataFrame, ids: IdScheme = SHA256) -> DataFrame:
     return (
         cleaned.select("order_id", "timestamp", "store_name", "total_price", "payment_type")
         .dropDuplicates(["order_id"])
-        .select("order_id", "timestamp", ids.store_id(F.col("store_name")).alias("store_id"), "total_price", "payment_type")
+        .select("order_id", "timestamp", ids.store_id().alias("store_id"), "total_price", "payment_type")
     )
 
 
@@ -86,14 +86,14 @@ def products(items: DataFrame, ids: IdScheme = SHA256) -> DataFrame:
         valid_items(items)
         .select(*PRODUCT_COLS)
         .distinct()
-        .select(ids.product_id(F.col("item_name"), F.col("item_size"), F.col("item_price")).alias("product_id"), *PRODUCT_COLS)
+        .select(ids.product_id().alias("product_id"), *PRODUCT_COLS)
     )
 
 
 def _link_rows(items: DataFrame, ids: IdScheme) -> DataFrame:
     v = valid_items(items)
     if ids.jvm_only:
-        return v.select("order_id", ids.product_id(F.col("item_name"), F.col("item_size"), F.col("item_price")).alias("product_id"),
+        return v.select("order_id", ids.product_id().alias("product_id"),
                         *[c for c in v.columns if c in ("file_time", "file_path")])
     # Python-side hash: hash each distinct product once, then look it up.
     return v.join(products(items, ids), PRODUCT_COLS, "left")

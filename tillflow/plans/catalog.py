@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from tillflow import fixtures
 from tillflow.functions import basket as B
-from tillflow.functions.canonical import string_text
 from tillflow.functions.clean import type_receipts
 from tillflow.functions.hashing import SHA256, SHAKE256
 from tillflow.functions.jsonfields import arrival_event, event_fields, parse_object
@@ -459,7 +458,7 @@ def dq_length(spark, sf_dir):
 def dq_quantity(spark, sf_dir):
     n = _norm(spark, sf_dir)
     valid = N.valid_items(n.items).withColumn(
-        "product_id", SHA256.product_id(F.col("item_name"), F.col("item_size"), F.col("item_price"))
+        "product_id", SHA256.product_id()
     )
     return quality.dq_quantity(valid, n.orders_products)
 
