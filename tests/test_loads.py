@@ -8,7 +8,8 @@ from tillflow.operators import profile, quality, upsert
 from tillflow.operators.normalize import normalize, orders_products_by_join, products
 from tillflow.operators.rowindex import with_row_index
 from tillflow.schemas import KEYS
-from tillflow.sinks.tables import conform, load_if_absent, read_target
+from tillflow.operators.load import load_receipts, targets
+from tillflow.sinks.tables import conform, load_if_absent, new_rows, read_target
 
 
 def _tables(n):
@@ -18,11 +19,33 @@ def _tables(n):
 def test_load_twice_changes_nothing(spark, scratch):
     n = normalize(fixtures.receipts(spark, SMOKE_DIR))
     base = scratch("targets")
-    load_if_absent(_tables(n), base, spark)
+    load_if_absent({t: n.dated(t) for t in KEYS}, base, spark)
     first = {t: read_target(spark, base, t).count() for t in KEYS}
-    load_if_absent(_tables(n), base, spark)
+    load_if_absent({t: n.dated(t) for t in KEYS}, base, spark)
     second = {t: read_target(spark, base, t).count() for t in KEYS}
     assert first == second and first["orders"] > 0
+    assert first["orders_products"] == n.orders_products.count()
+
+
+def test_load_reads_only_the_batch_days(spark, scratch):
+    """The anti join of a load scans only the target partitions of its days."""
+    files = fixtures.two_files(spark, SMOKE_DIR)
+    base = scratch("targets")
+    load_receipts(fixtures.file_of(files, "receipts/file_a.csv"), base, spark)
+    b = normalize(fixtures.file_of(files, "receipts/file_b.csv"))
+    staging = conform(b.dated("orders_products"), "orders_products", keep_partition=True)
+    spark.conf.set("spark.sql.maxMetadataStringLength", "100000")
+    try:
+        plan = new_rows(staging, spark, base, "orders_products")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    part_filters = [ln for ln in plan.splitlines() if "PartitionFilters: [" in ln and "/orders_products" in ln]
+    assert part_filters and all(("order_date" in ln.split("PartitionFilters: [", 1)[1].split("]", 1)[0])
+                                and (" INSET " in ln or " IN (" in ln) for ln in part_filters)
+    load_receipts(fixtures.file_of(files, "receipts/file_b.csv"), base, spark)
+    loaded = targets(spark, base)["orders_products"]
+    expected = normalize(fixtures.receipts(spark, SMOKE_DIR)).orders_products
+    assert loaded.exceptAll(expected).count() == 0 and expected.exceptAll(loaded).count() == 0
 
 
 def test_upsert_keeps_target_rows_and_dedups_staging(spark):

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tillflow.functions.hashing import SHA256, IdScheme
 from tillflow.operators.normalize import normalize
 from tillflow.sinks.tables import load_if_absent, read_target
-from tillflow.schemas import KEYS
+from tillflow.schemas import KEYS, TABLES
 
 
 def load_receipts(typed: DataFrame, target_dir: str, spark: SparkSession | None = None, ids: IdScheme = SHA256,
@@ -25,14 +25,11 @@ def load_receipts(typed: DataFrame, target_dir: str, spark: SparkSession | None
     try:
         by_file = by_file and "file_path" in typed.columns
         n = normalize(typed, ids, by_file=by_file)
-        load_if_absent(
-            {"stores": n.stores, "products": n.products, "orders": n.orders, "orders_products": n.orders_products},
-            target_dir,
-            spark,
-        )
+        load_if_absent({t: n.dated(t) for t in KEYS}, target_dir, spark)
     finally:
         typed.unpersist()
 
 
 def targets(spark: SparkSession, target_dir: str) -> dict[str, DataFrame]:
-    return {t: read_target(spark, target_dir, t) for t in KEYS}
+    """The loaded tables with their declared columns."""
+    return {t: read_target(spark, target_dir, t).select(*[f.name for f in TABLES[t].fields]) for t in KEYS}

@@ -90,25 +90,31 @@ def products(items: DataFrame, ids: IdScheme = SHA256) -> DataFrame:
     )
 
 
-def _link_rows(items: DataFrame, ids: IdScheme) -> DataFrame:
+def _order_date() -> F.Column:
+    return F.col("timestamp").cast("date").alias("order_date")
+
+
+def _link_rows(items: DataFrame, ids: IdScheme, dated: bool = False) -> DataFrame:
     v = valid_items(items)
+    extra = [c for c in v.columns if c in ("file_time", "file_path")] + ([_order_date()] if dated else [])
     if ids.jvm_only:
-        return v.select("order_id", ids.product_id().alias("product_id"),
-                        *[c for c in v.columns if c in ("file_time", "file_path")])
+        return v.select("order_id", ids.product_id().alias("product_id"), *extra)
     # Python-side hash: hash each distinct product once, then look it up.
-    return v.join(products(items, ids), PRODUCT_COLS, "left")
+    return v.join(products(items, ids), PRODUCT_COLS, "left").select("order_id", "product_id", *extra)
 
 
-def orders_products(items: DataFrame, ids: IdScheme = SHA256) -> DataFrame:
-    """Quantity per (order, product): items of one file add up."""
-    return (
-        _link_rows(items, ids)
-        .groupBy("order_id", "product_id")
-        .agg(F.count(F.lit(1)).cast("int").alias("quantity"))
-    )
+def orders_products(items: DataFrame, ids: IdScheme = SHA256, dated: bool = False) -> DataFrame:
+    """Quantity per (order, product): items of one file add up.
+
+    ``dated`` also keeps ``order_date`` (a function of the order, so grouping
+    by it changes nothing) for the day-partitioned target.
+    """
+    keys = ["order_id", "product_id"] + (["order_date"] if dated else [])
+    return _link_rows(items, ids, dated).groupBy(*keys).agg(F.count(F.lit(1)).cast("int").alias("quantity"))
 
 
-def orders_products_by_file(items: DataFrame, ids: IdScheme = SHA256, file_cols=("file_time", "file_path")) -> DataFrame:
+def orders_products_by_file(items: DataFrame, ids: IdScheme = SHA256, file_cols=("file_time", "file_path"),
+                            dated: bool = False) -> DataFrame:
     """Quantities when rows come from several files: within a file they add,
     across files the earliest file wins (T12, T13, W1).
 
@@ -116,16 +122,17 @@ def orders_products_by_file(items: DataFrame, ids: IdScheme = SHA256, file_cols=
     (order, product, file), then ``min_by`` on the file order per (order,
     product). No window sorts a hot key's rows in one task.
     """
+    keys = ["order_id", "product_id"] + (["order_date"] if dated else [])
     per_file = (
-        _link_rows(items, ids)
-        .groupBy("order_id", "product_id", *file_cols)
+        _link_rows(items, ids, dated)
+        .groupBy(*keys, *file_cols)
         .agg(F.count(F.lit(1)).cast("int").alias("quantity"))
     )
     first = F.min_by(F.struct("quantity", *file_cols), F.struct(*file_cols))
     return (
-        per_file.groupBy("order_id", "product_id")
+        per_file.groupBy(*keys)
         .agg(first.alias("w"))
-        .select("order_id", "product_id", F.col("w.quantity").alias("quantity"), *[F.col(f"w.{c}").alias(c) for c in file_cols])
+        .select(*keys, F.col("w.quantity").alias("quantity"), *[F.col(f"w.{c}").alias(c) for c in file_cols])
     )
 
 
@@ -180,9 +187,20 @@ class Normalized:
 
     @cached_property
     def orders_products(self) -> DataFrame:
+        return self._link(dated=False)
+
+    def _link(self, dated: bool) -> DataFrame:
         if self.by_file:
-            return orders_products_by_file(self.items, self.ids).drop("file_time", "file_path")
-        return orders_products(self.items, self.ids)
+            return orders_products_by_file(self.items, self.ids, dated=dated).drop("file_time", "file_path")
+        return orders_products(self.items, self.ids, dated=dated)
+
+    def dated(self, name: str) -> DataFrame:
+        """The table plus ``order_date`` where the target is day-partitioned."""
+        if name == "orders":
+            return self.orders.select("*", _order_date())
+        if name == "orders_products":
+            return self._link(dated=True)
+        return self.table(name)
 
     def table(self, name: str) -> DataFrame:
         return getattr(self, name)

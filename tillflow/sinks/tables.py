@@ -15,10 +15,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from tillflow.operators.upsert import insert_if_absent
-from tillflow.schemas import KEYS, LOAD_ORDER, TABLES
+from tillflow.schemas import KEYS, LOAD_ORDER, PARTITION_COLUMN, TABLES
 
 
-def conform(df: DataFrame, table: str) -> DataFrame:
+def conform(df: DataFrame, table: str, keep_partition: bool = False) -> DataFrame:
     """Column order, types and comments of the target (K6, P10).
 
     ``try_cast`` turns a value that does not fit into null, which the not-null
@@ -30,26 +30,59 @@ def conform(df: DataFrame, table: str) -> DataFrame:
         if df.schema[f.name].dataType != f.dataType:
             c = c.try_cast(f.dataType)
         cols.append(c.alias(f.name, metadata=f.metadata))
+    part = PARTITION_COLUMN.get(table)
+    if keep_partition and part:
+        cols.append(F.col(part))
     return df.select(*cols)
 
 
+def _stored_schema(table: str):
+    from pyspark.sql import types as T
+
+    schema = TABLES[table]
+    if table in PARTITION_COLUMN:
+        schema = T.StructType(schema.fields + [T.StructField(PARTITION_COLUMN[table], T.DateType(), True)])
+    return schema
+
+
 def read_target(spark: SparkSession, base: str, table: str) -> DataFrame:
+    """A target as stored (day-partitioned tables include ``order_date``); empty if absent."""
     path = f"{base.rstrip('/')}/{table}"
     try:
-        return spark.read.schema(TABLES[table]).parquet(path)
+        return spark.read.schema(_stored_schema(table)).parquet(path)
     except AnalysisException:
-        return spark.createDataFrame([], TABLES[table])
+        return spark.createDataFrame([], _stored_schema(table))
 
 
-def load_if_absent(tables: dict[str, DataFrame], base: str, spark: SparkSession) -> dict[str, int | None]:
-    """Insert-if-absent of each table into its target folder (K4, K5)."""
+def new_rows(staging: DataFrame, spark: SparkSession, base: str, table: str) -> DataFrame:
+    """Rows of one load that are not in the target yet.
+
+    For a day-partitioned target only the partitions of the batch's days are
+    read (a partition filter on the scan), so a load costs what its batch
+    touches, not the size of the warehouse. The day list is one small
+    distinct query: bounded by the calendar, not by the data.
+    """
+    target = read_target(spark, base, table)
+    part = PARTITION_COLUMN.get(table)
+    if part:
+        days = [r[0] for r in staging.select(part).distinct().collect()]
+        target = target.filter(F.col(part).isin(days))
+    return insert_if_absent(staging, target.select(*KEYS[table]), KEYS[table])
+
+
+def load_if_absent(tables: dict[str, DataFrame], base: str, spark: SparkSession) -> None:
+    """Insert-if-absent of each table into its target folder (K4, K5).
+
+    Fact tables must carry ``order_date`` (``Normalized.dated``).
+    """
     for name in LOAD_ORDER:
         if name not in tables:
             continue
-        staging = conform(tables[name], name)
-        new_rows = insert_if_absent(staging, read_target(spark, base, name), KEYS[name])
-        new_rows.write.mode("append").parquet(f"{base.rstrip('/')}/{name}")
-    return {}
+        staging = conform(tables[name], name, keep_partition=True)
+        writer = new_rows(staging, spark, base, name).write.mode("append")
+        if name in PARTITION_COLUMN:
+            writer = writer.partitionBy(PARTITION_COLUMN[name])
+        writer.parquet(f"{base.rstrip('/')}/{name}")
 
 
 def append_rows(df: DataFrame, base: str, table: str) -> None:
