@@ -90,13 +90,13 @@ def products(items: DataFrame, ids: IdScheme = SHA256) -> DataFrame:
     )
 
 
-def _order_date() -> F.Column:
-    return F.col("timestamp").cast("date").alias("order_date")
+def _order_month() -> F.Column:
+    return F.trunc(F.col("timestamp").cast("date"), "month").alias("order_month")
 
 
 def _link_rows(items: DataFrame, ids: IdScheme, dated: bool = False) -> DataFrame:
     v = valid_items(items)
-    extra = [c for c in v.columns if c in ("file_time", "file_path")] + ([_order_date()] if dated else [])
+    extra = [c for c in v.columns if c in ("file_time", "file_path")] + ([_order_month()] if dated else [])
     if ids.jvm_only:
         return v.select("order_id", ids.product_id().alias("product_id"), *extra)
     # Python-side hash: hash each distinct product once, then look it up.
@@ -106,10 +106,10 @@ def _link_rows(items: DataFrame, ids: IdScheme, dated: bool = False) -> DataFram
 def orders_products(items: DataFrame, ids: IdScheme = SHA256, dated: bool = False) -> DataFrame:
     """Quantity per (order, product): items of one file add up.
 
-    ``dated`` also keeps ``order_date`` (a function of the order, so grouping
-    by it changes nothing) for the day-partitioned target.
+    ``dated`` also keeps ``order_month`` (a function of the order, so grouping
+    by it changes nothing) for the month-partitioned target.
     """
-    keys = ["order_id", "product_id"] + (["order_date"] if dated else [])
+    keys = ["order_id", "product_id"] + (["order_month"] if dated else [])
     return _link_rows(items, ids, dated).groupBy(*keys).agg(F.count(F.lit(1)).cast("int").alias("quantity"))
 
 
@@ -122,7 +122,7 @@ def orders_products_by_file(items: DataFrame, ids: IdScheme = SHA256, file_cols=
     (order, product, file), then ``min_by`` on the file order per (order,
     product). No window sorts a hot key's rows in one task.
     """
-    keys = ["order_id", "product_id"] + (["order_date"] if dated else [])
+    keys = ["order_id", "product_id"] + (["order_month"] if dated else [])
     per_file = (
         _link_rows(items, ids, dated)
         .groupBy(*keys, *file_cols)
@@ -195,9 +195,9 @@ class Normalized:
         return orders_products(self.items, self.ids, dated=dated)
 
     def dated(self, name: str) -> DataFrame:
-        """The table plus ``order_date`` where the target is day-partitioned."""
+        """The table plus ``order_month`` where the target is month-partitioned."""
         if name == "orders":
-            return self.orders.select("*", _order_date())
+            return self.orders.select("*", _order_month())
         if name == "orders_products":
             return self._link(dated=True)
         return self.table(name)

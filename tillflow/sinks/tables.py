@@ -10,6 +10,7 @@ the rows that made it).
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
@@ -46,7 +47,7 @@ def _stored_schema(table: str):
 
 
 def read_target(spark: SparkSession, base: str, table: str) -> DataFrame:
-    """A target as stored (day-partitioned tables include ``order_date``); empty if absent."""
+    """A target as stored (month-partitioned tables include ``order_month``); empty if absent."""
     path = f"{base.rstrip('/')}/{table}"
     try:
         return spark.read.schema(_stored_schema(table)).parquet(path)
@@ -54,35 +55,58 @@ def read_target(spark: SparkSession, base: str, table: str) -> DataFrame:
         return spark.createDataFrame([], _stored_schema(table))
 
 
-def new_rows(staging: DataFrame, spark: SparkSession, base: str, table: str) -> DataFrame:
+# A batch spanning more months than this (a backfill) is range-partitioned by
+# (month, key) before writing, so each task writes few month folders; the key
+# in the range splits a hot month across tasks.
+BACKFILL_MONTHS = 4
+
+
+def new_rows(staging: DataFrame, spark: SparkSession, base: str, table: str, months: list | None = None) -> DataFrame:
     """Rows of one load that are not in the target yet.
 
-    For a day-partitioned target only the partitions of the batch's days are
-    read (a partition filter on the scan), so a load costs what its batch
-    touches, not the size of the warehouse. The day list is one small
+    For a month-partitioned target only the partitions of the batch's months
+    are read (a partition filter on the scan), so a load costs what its batch
+    touches, not the size of the warehouse. The month list is one small
     distinct query: bounded by the calendar, not by the data.
     """
     target = read_target(spark, base, table)
     part = PARTITION_COLUMN.get(table)
     if part:
-        days = [r[0] for r in staging.select(part).distinct().collect()]
-        target = target.filter(F.col(part).isin(days))
+        if months is None:
+            months = batch_months(staging, table)
+        target = target.filter(F.col(part).isin(months))
     return insert_if_absent(staging, target.select(*KEYS[table]), KEYS[table])
 
 
+def batch_months(staging: DataFrame, table: str) -> list:
+    return [r[0] for r in staging.select(PARTITION_COLUMN[table]).distinct().collect()]
+
+
 def load_if_absent(tables: dict[str, DataFrame], base: str, spark: SparkSession) -> None:
     """Insert-if-absent of each table into its target folder (K4, K5).
 
-    Fact tables must carry ``order_date`` (``Normalized.dated``).
+    Fact tables must carry ``order_month`` (``Normalized.dated``).
     """
     for name in LOAD_ORDER:
         if name not in tables:
             continue
         staging = conform(tables[name], name, keep_partition=True)
-        writer = new_rows(staging, spark, base, name).write.mode("append")
-        if name in PARTITION_COLUMN:
-            writer = writer.partitionBy(PARTITION_COLUMN[name])
-        writer.parquet(f"{base.rstrip('/')}/{name}")
+        part = PARTITION_COLUMN.get(name)
+        if part:
+            # used three times (month list, range sample, write): computed once
+            staging = staging.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            months = batch_months(staging, name) if part else None
+            rows = new_rows(staging, spark, base, name, months)
+            if part and len(months) > BACKFILL_MONTHS:
+                rows = rows.repartitionByRange(part, *KEYS[name])
+            writer = rows.write.mode("append")
+            if part:
+                writer = writer.partitionBy(part)
+            writer.parquet(f"{base.rstrip('/')}/{name}")
+        finally:
+            if part:
+                staging.unpersist()
 
 
 def append_rows(df: DataFrame, base: str, table: str) -> None:
