@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from typing import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,10 +21,9 @@ from tillflow.functions.jsonfields import arrival_event, event_fields, parse_obj
 from tillflow.functions.naming import flatten_key, output_name as name_for, table_of_file
 from tillflow.functions.timeparse import DAY_FIRST_FORMATS, ISO_FORMATS, epoch_seconds, from_epoch_seconds, parse_ntz
 from tillflow.operators import metrics, normalize as N, profile, quality, upsert
-from tillflow.operators.load import load_receipts, targets as load_targets
 from tillflow.operators.rowindex import with_row_index
 from tillflow.schemas import KEYS, RAW_COLUMNS, TABLE_SUFFIX
-from tillflow.session import scratch_path
+from tillflow.session import ensure_checkpoint_dir, scratch_path
 from tillflow.sinks import csv as csv_sink
 from tillflow.sinks.tables import append_rows, conform, land_raw, read_target
 from tillflow.sources import csv as csv_source
@@ -425,13 +425,17 @@ def metrics_lookback(spark, sf_dir):
 
 
 # --- data quality, lookups, previews (Q1-Q5, F2, L1, L2) ------------------------
-# The checks run on the loaded targets, as they would after a real load: the
-# receipts are normalised once and written, and every check reads the tables.
+# The checks run on materialised tables, as they would after a load: the
+# receipts are normalised once, each table is checkpointed to the shared
+# checkpoint folder (lineage cut), and every check reads those.
 
 def _loaded(spark, sf_dir) -> dict[str, DataFrame]:
-    base = scratch_path(spark, "targets")
-    load_receipts(fixtures.receipts(spark, sf_dir), base, spark)
-    return load_targets(spark, base)
+    ensure_checkpoint_dir(spark)
+    receipts = fixtures.receipts(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return {t: df.checkpoint(eager=True) for t, df in _tables(N.normalize(receipts)).items()}
+    finally:
+        receipts.unpersist()
 
 
 @register("dq_unique")
