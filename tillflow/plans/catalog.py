@@ -338,8 +338,11 @@ def staging_read_typed(spark, sf_dir):
 @register("sink_csv_roundtrip")
 def sink_csv_roundtrip(spark, sf_dir):
     base = scratch_path(spark, "processed")
-    n = _norm(spark, sf_dir)
-    paths = csv_sink.write_processed(_tables(n), base, "receipts/all.csv")
+    receipts = fixtures.receipts(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        paths = csv_sink.write_processed(_tables(N.normalize(receipts)), base, "receipts/all.csv")
+    finally:
+        receipts.unpersist()
     return csv_source.read_staging(spark, paths["orders"], "orders")
 
 
