@@ -83,11 +83,23 @@ def compare(spark, key: str, sf_dir: str, con=None) -> dict:
 
 
 if __name__ == "__main__":
-    from tillflow.session import get_session
-
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     keys = sys.argv[2:]
-    spark = get_session()
+    if os.environ.get("PLAIN_SESSION"):
+        # as a caller with nothing but the environment's defaults would
+        from pyspark.sql import SparkSession
+
+        spark = SparkSession.builder.master("local[8]").getOrCreate()
+        spark.sparkContext.setLogLevel("ERROR")
+    else:
+        from tillflow.session import get_session
+
+        spark = get_session()
+    if os.environ.get("CHECK_ENTRY"):
+        from __spark_entry__ import entry
+
+        e = entry(spark)
+        print({"entry_rows": e.count(), "entry_columns": e.columns}, flush=True)
     from __spark_entry__ import queries
 
     con = duck(sf_dir)
