@@ -117,17 +117,15 @@ def two_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     r = receipts(spark, sf_dir)
     ts = F.col("timestamp")
-    a = r.filter(ts < F.lit(FILE_A_BEFORE).cast("timestamp_ntz"))
-    b = r.filter(ts >= F.lit(FILE_B_FROM).cast("timestamp_ntz"))
-    b_twice = r.filter((ts >= F.lit(FILE_B_FROM).cast("timestamp_ntz")) & (ts < F.lit(FILE_B_TWICE_BEFORE).cast("timestamp_ntz")))
-    lineage = lambda df, path, t: df.withColumn("file_path", F.lit(path)).withColumn(
-        "file_time", F.lit(t).cast("timestamp_ntz")
-    )
-    return (
-        lineage(a, "receipts/file_a.csv", "2022-02-16 09:00:00")
-        .unionAll(lineage(b, "receipts/file_b.csv", "2022-02-17 09:00:00"))
-        .unionAll(lineage(b_twice, "receipts/file_b.csv", "2022-02-17 09:00:00"))
-    )
+    in_a = ts < F.lit(FILE_A_BEFORE).cast("timestamp_ntz")
+    in_b = ts >= F.lit(FILE_B_FROM).cast("timestamp_ntz")
+    twice_in_b = in_b & (ts < F.lit(FILE_B_TWICE_BEFORE).cast("timestamp_ntz"))
+    a = F.struct(F.lit("receipts/file_a.csv").alias("file_path"), F.lit("2022-02-16 09:00:00").cast("timestamp_ntz").alias("file_time"))
+    b = F.struct(F.lit("receipts/file_b.csv").alias("file_path"), F.lit("2022-02-17 09:00:00").cast("timestamp_ntz").alias("file_time"))
+    # One pass over the receipts: each row is tagged with the file copies it
+    # belongs to (at most three), then exploded.
+    copies = F.array_compact(F.array(F.when(in_a, a), F.when(in_b, b), F.when(twice_in_b, b)))
+    return r.select("*", F.explode(copies).alias("f")).select(*r.columns, "f.file_path", "f.file_time")
 
 
 def file_of(df: DataFrame, path: str) -> DataFrame:
