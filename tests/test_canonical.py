@@ -5,7 +5,6 @@ import math
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from tillflow.functions.canonical import card_text, double_text, string_text, timestamp_text
 

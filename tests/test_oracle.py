@@ -2,7 +2,7 @@
 
 import pytest
 
-from tests.conftest import ORACLE_DIR, SMOKE_DIR
+from tests.conftest import ORACLE_DIR
 
 import __spark_entry__ as entry_mod
 from tests.oracle_check import compare, duck

@@ -5,7 +5,6 @@ import datetime as dt
 import hashlib
 import os
 
-import pytest
 from pyspark.sql import functions as F
 
 from tillflow.functions.timeparse import DAY_FIRST_FORMATS, ISO_FORMATS

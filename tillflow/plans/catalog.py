@@ -15,17 +15,16 @@ from pyspark.sql import functions as F
 
 from tillflow import fixtures
 from tillflow.functions import basket as B
-from tillflow.functions.clean import type_receipts
 from tillflow.functions.hashing import SHA256, SHAKE256
 from tillflow.functions.jsonfields import arrival_event, event_fields, parse_object
-from tillflow.functions.naming import flatten_key, output_name as name_for, table_of_file
+from tillflow.functions.naming import flatten_key, table_of_file
 from tillflow.functions.timeparse import DAY_FIRST_FORMATS, ISO_FORMATS, epoch_seconds, from_epoch_seconds, parse_ntz
 from tillflow.operators import metrics, normalize as N, profile, quality, upsert
 from tillflow.operators.rowindex import with_row_index
 from tillflow.schemas import KEYS, RAW_COLUMNS, TABLE_SUFFIX
 from tillflow.session import ensure_checkpoint_dir, scratch_path
 from tillflow.sinks import csv as csv_sink
-from tillflow.sinks.tables import append_rows, conform, land_raw, read_target
+from tillflow.sinks.tables import conform, land_raw
 from tillflow.sources import csv as csv_source
 from tillflow.streaming import ingest
 
