@@ -117,3 +117,18 @@ def test_second_file_adds_nothing(spark, scratch):
     typed = typed.withColumn("file_time", F.lit(None).cast("timestamp"))
     n = normalize(typed, by_file=True)
     assert [r.quantity for r in n.orders_products.collect()] == [2]
+
+
+def test_rejects_are_counted_not_loaded(spark, scratch):
+    """Unusable rows get a reason and stay out of the tables; bad items are listed."""
+    from tillflow.operators.normalize import rejected_items
+
+    bad_total = '2021-08-25 09:45:00,Ayr,Jo X,"Large Tea - 1.5",abc,CASH,'
+    no_time = ',Ayr,Jo X,"Large Tea - 1.5",1.5,CASH,'
+    base = _write(scratch("fx"), "r.csv", [bad_total, no_time, PLAIN, NO_PRICE, ONE_WORD])
+    typed, n = _norm(spark, base)
+    reasons = sorted(r._reject for r in typed.filter(F.col("_reject").isNotNull()).collect())
+    assert reasons == ["timestamp missing", "total not a number"]
+    assert n.orders.count() == 3
+    bad = sorted((r.item_size, r.item_name, r.item_price) for r in rejected_items(n.items).collect())
+    assert bad == [("Large", "Tea", None), ("Mocha", None, "2.3")]
