@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tillflow.functions.hashing import SHA256, IdScheme
 from tillflow.operators.normalize import normalize
@@ -25,7 +26,10 @@ def load_receipts(typed: DataFrame, target_dir: str, spark: SparkSession | None
     try:
         by_file = by_file and "file_path" in typed.columns
         n = normalize(typed, ids, by_file=by_file)
-        load_if_absent({t: n.dated(t) for t in KEYS}, target_dir, spark)
+        # the batch's months, once, from the persisted input (one small query)
+        month = F.trunc(F.col("timestamp").cast("date"), "month")
+        months = [r[0] for r in typed.select(month.alias("m")).where("m IS NOT NULL").distinct().collect()]
+        load_if_absent({t: n.dated(t) for t in KEYS}, target_dir, spark, months)
     finally:
         typed.unpersist()
 

@@ -82,30 +82,39 @@ def batch_months(staging: DataFrame, table: str) -> list:
     return [r[0] for r in staging.select(PARTITION_COLUMN[table]).distinct().collect()]
 
 
-def load_if_absent(tables: dict[str, DataFrame], base: str, spark: SparkSession) -> None:
+def load_if_absent(tables: dict[str, DataFrame], base: str, spark: SparkSession, months: list | None = None) -> None:
     """Insert-if-absent of each table into its target folder (K4, K5).
 
-    Fact tables must carry ``order_month`` (``Normalized.dated``).
+    Fact tables must carry ``order_month`` (``Normalized.dated``). ``months``
+    may be given (a superset is fine: it only widens the partitions read);
+    otherwise it is taken from each staging table.
     """
     for name in LOAD_ORDER:
         if name not in tables:
             continue
         staging = conform(tables[name], name, keep_partition=True)
         part = PARTITION_COLUMN.get(name)
+        backfill = False
         if part:
-            # used three times (month list, range sample, write): computed once
-            staging = staging.persist(StorageLevel.MEMORY_AND_DISK)
+            if months is None:
+                # used three times (month list, range sample, write): computed once
+                staging = staging.persist(StorageLevel.MEMORY_AND_DISK)
+                table_months = batch_months(staging, name)
+            else:
+                table_months = months
+            backfill = len(table_months) > BACKFILL_MONTHS
+            if backfill and months is not None:
+                staging = staging.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            months = batch_months(staging, name) if part else None
-            rows = new_rows(staging, spark, base, name, months)
-            if part and len(months) > BACKFILL_MONTHS:
+            rows = new_rows(staging, spark, base, name, table_months if part else None)
+            if backfill:
                 rows = rows.repartitionByRange(part, *KEYS[name])
             writer = rows.write.mode("append")
             if part:
                 writer = writer.partitionBy(part)
             writer.parquet(f"{base.rstrip('/')}/{name}")
         finally:
-            if part:
+            if staging.storageLevel.useMemory or staging.storageLevel.useDisk:
                 staging.unpersist()
 
 
