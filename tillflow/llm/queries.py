@@ -6,10 +6,11 @@ from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillflow.llm import langid
+from tillflow.llm import fingerprint, langid
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_language_id": langid.query,
+    "op4_fingerprints": fingerprint.query,
 }
 
 ORACLE_SQL: dict[str, str] = {}
