@@ -6,11 +6,12 @@ from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillflow.llm import fingerprint, langid
+from tillflow.llm import bpe, fingerprint, langid
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_language_id": langid.query,
     "op4_fingerprints": fingerprint.query,
+    "op5_bpe": bpe.query,
 }
 
 ORACLE_SQL: dict[str, str] = {}
