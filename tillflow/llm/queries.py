@@ -6,12 +6,16 @@ from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillflow.llm import bpe, fingerprint, langid
+from tillflow.llm import bpe, chat, fingerprint, langid, tokencount
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_language_id": langid.query,
     "op4_fingerprints": fingerprint.query,
     "op5_bpe": bpe.query,
+    "op7_token_counts": tokencount.query,
+    "op10_chat_format": chat.query,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op10_chat_format": chat.ORACLE,
+}
