@@ -6,10 +6,12 @@ from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillflow.llm import bpe, chat, fingerprint, langid, tokencount
+from tillflow.llm import bpe, chat, fingerprint, langid, minhash, secrets, tokencount
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_near_duplicates": minhash.query,
     "op2_language_id": langid.query,
+    "op3_secrets": secrets.query,
     "op4_fingerprints": fingerprint.query,
     "op5_bpe": bpe.query,
     "op7_token_counts": tokencount.query,
@@ -17,5 +19,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_near_duplicates": minhash.ORACLE,
+    "op3_secrets": secrets.oracle(),
     "op10_chat_format": chat.ORACLE,
 }
