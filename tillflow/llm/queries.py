@@ -6,7 +6,7 @@ from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillflow.llm import bpe, chat, fingerprint, langid, minhash, secrets, tokencount
+from tillflow.llm import bpe, chat, fingerprint, langid, linededup, minhash, secrets, tokencount
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_duplicates": minhash.query,
@@ -14,6 +14,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_secrets": secrets.query,
     "op4_fingerprints": fingerprint.query,
     "op5_bpe": bpe.query,
+    "op6_line_dedup": linededup.query,
     "op7_token_counts": tokencount.query,
     "op10_chat_format": chat.query,
 }
@@ -21,5 +22,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLE_SQL: dict[str, str] = {
     "op1_near_duplicates": minhash.ORACLE,
     "op3_secrets": secrets.oracle(),
+    "op6_line_dedup": linededup.ORACLE,
     "op10_chat_format": chat.ORACLE,
 }
