@@ -6,7 +6,7 @@ from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillflow.llm import bpe, chat, fingerprint, langid, linededup, minhash, secrets, tokencount
+from tillflow.llm import bpe, chat, decontaminate, fingerprint, langid, linededup, minhash, secrets, tokencount
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_duplicates": minhash.query,
@@ -16,6 +16,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_bpe": bpe.query,
     "op6_line_dedup": linededup.query,
     "op7_token_counts": tokencount.query,
+    "op8_decontamination": decontaminate.query,
     "op10_chat_format": chat.query,
 }
 
