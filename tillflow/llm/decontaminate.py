@@ -271,6 +271,15 @@ def _blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, str | None]]]:
         yield block
 
 
+def _search_for(index):
+    @F.pandas_udf("array<struct<item_id:bigint,edits:bigint>>")
+    def search(text: pd.Series) -> pd.Series:
+        found = index.value.search(text.tolist())
+        return pd.Series([[{"item_id": i, "edits": d} for i, d in one.items()] for one in found])
+
+    return search
+
+
 def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` with ``leaks``: an array of (item_id, edits), by item_id, of the items that a text contains.
 
@@ -285,14 +294,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     rest = without(docs, "leaks")
     out = rest.withColumn("_found", F.array().cast("array<struct<item_id:bigint,edits:bigint>>"))
     for block in _blocks(benchmark):
-        shared = docs.sparkSession.sparkContext.broadcast(Index(block))
-
-        @F.pandas_udf("array<struct<item_id:bigint,edits:bigint>>")
-        def search(text: pd.Series, shared=shared) -> pd.Series:
-            found = shared.value.search(text.tolist())
-            return pd.Series([[{"item_id": i, "edits": d} for i, d in one.items()] for one in found])
-
-        out = out.withColumn("_found", F.concat("_found", search(F.col("text"))))
+        out = out.withColumn("_found", F.concat("_found", _search_for(docs.sparkSession.sparkContext.broadcast(Index(block)))(F.col("text"))))
     return out.select(*rest.columns, F.array_sort("_found").alias("leaks"))
 
 
