@@ -6,7 +6,7 @@ from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillflow.llm import bpe, chat, decontaminate, fingerprint, langid, linededup, minhash, secrets, tokencount
+from tillflow.llm import bpe, chat, decontaminate, fingerprint, langid, linededup, minhash, secrets, tokencount, urlfilter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_duplicates": minhash.query,
@@ -17,6 +17,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_line_dedup": linededup.query,
     "op7_token_counts": tokencount.query,
     "op8_decontamination": decontaminate.query,
+    "op9_url_filter": urlfilter.query,
     "op10_chat_format": chat.query,
 }
 
