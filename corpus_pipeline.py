@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from tillflow.llm import langid  # noqa: E402
+from tillflow.llm import bpe, decontaminate, langid, linededup, minhash  # noqa: E402
+from tillflow.llm.common import table  # noqa: E402
 from tillflow.session import ensure_checkpoint_dir  # noqa: E402
 
 
@@ -27,8 +28,35 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return judged.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("bits_per_byte") < 8)).select(*docs.columns)
 
 
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Remove chunks of lines that occur before. A document of which nothing is left goes;
+    ``n_chars`` follows the text where it is shortened."""
+    left = linededup.deduplicate(docs).where("n_removed = 0 OR text <> ''")
+    n_chars = F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("n_chars"))
+    return left.withColumn("n_chars", n_chars.cast("long")).select(*docs.columns)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep one document of each group of near copies (five-word shingles, similarity 0.8 or more)."""
+    return minhash.deduplicate(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents that contain a benchmark item."""
+    return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
+
+
+def bpe_encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every text, and what they decode to."""
+    return bpe.round_trip(docs).select("doc_id", "lang", "source", "n_chars", "n_tokens", "ids", "decoded")
+
+
 STAGES = [
     ("language_id", language_id),
+    ("line_dedup", line_dedup),
+    ("near_dedup", near_dedup),
+    ("decontamination", decontamination),
+    ("bpe_encode", bpe_encode),
 ]
 
 #: No DuckDB equivalent: code lengths under a learned model are not expressible there.
