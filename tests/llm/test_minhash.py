@@ -1,0 +1,128 @@
+import random
+import re
+from itertools import combinations
+
+import numpy as np
+import pytest
+
+from tillflow.llm import minhash as M
+from tillflow.llm.components import components
+
+
+def words(text):
+    return re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate({c: c + 32 for c in range(65, 91)}))
+
+
+def shingle_set(text, n):
+    w = words(text)
+    if not w:
+        return set()
+    return {tuple(w)} if len(w) < n else {tuple(w[i : i + n]) for i in range(len(w) - n + 1)}
+
+
+def brute(rows, n, percent=80):
+    """Component of each id by comparing all pairs."""
+    sets = [(i, shingle_set(t, n)) for i, t in rows]
+    parent = {i: i for i, _ in rows}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for (a, s), (b, t) in combinations(sets, 2):
+        if s and t and 100 * len(s & t) >= percent * len(s | t):
+            lo, hi = sorted((root(a), root(b)))
+            parent[hi] = lo
+    return {i: root(i) for i, _ in rows}
+
+
+def corpus(seed, n=60):
+    """Families of edited copies, chains of edits and lone texts."""
+    rnd = random.Random(seed)
+    vocabulary = [f"W{k}" for k in range(60)]
+    rows = []
+    for _ in range(n):
+        if rows and rnd.random() < 0.7:
+            w = words(rnd.choice(rows)[1])
+            for _ in range(rnd.randrange(0, 1 + len(w) // 12)):
+                w[rnd.randrange(len(w))] = rnd.choice(vocabulary)
+            text = " ".join(w)
+        else:
+            text = "\t".join(rnd.choice(vocabulary) for _ in range(rnd.choice([1, 2, 30, 80])))
+        rows.append((len(rows) * 3 + 1, text))
+    rnd.shuffle(rows)
+    return rows
+
+
+@pytest.mark.parametrize("seed,n", [(1, 2), (2, 5)])
+def test_groups_match_all_pairs(spark, seed, n):
+    rows = corpus(seed)
+    got = M.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), words=n).collect()
+    want = brute(rows, n)
+    assert {r.doc_id: r.component_id for r in got} == want
+    assert {r.doc_id: r.n_shingles for r in got} == {i: len(shingle_set(t, n)) for i, t in rows}
+    assert all(r.kept == (r.doc_id == r.component_id) for r in got) and len(got) == len(rows)
+
+
+def test_a_group_around_an_origin(spark):
+    """Copies that are linked to their origin but not to each other make linearly many pairs."""
+    rnd = random.Random(5)
+    base = [f"w{k}" for k in range(120)]
+    rows = [(500, " ".join(base))]
+    for i in range(40):
+        w = list(base)
+        for p in rnd.sample(range(120), 6):
+            w[p] = f"x{i}-{p}"
+        rows.append((i, " ".join(w)))
+    got = M.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), words=2)
+    assert {r.doc_id: r.component_id for r in got.collect()} == brute(rows, 2)
+
+
+def test_odd_rows(spark):
+    long = " ".join(f"t{k}" for k in range(30_000))
+    rows = [
+        (1, None), (2, ""), (3, " \t\n"), (4, "One two three"), (5, "one  two\nTHREE"), (None, "one two three"), (6, "solo"), (7, "SOLO"),
+        (8, "É two three"), (9, "é two three"), (4, "One two three"), (10, long), (11, long + " end"), (10, "something else entirely"),
+    ]
+    df = spark.createDataFrame([(i, t, "z", 0) for i, t in rows], "doc_id long, text string, bands string, n_shingles int")
+    got = sorted(M.near_duplicates(df).collect(), key=str)
+    assert len(got) == len(rows)
+    comp = {(r.doc_id, r.n_shingles): (r.component_id, r.kept) for r in got}
+    assert comp[1, 0] == (1, True) and comp[2, 0] == (2, True) and comp[3, 0] == (3, True)
+    assert comp[4, 1] == (4, True) and comp[5, 1] == (4, False) and comp[7, 1] == (6, False)
+    assert comp[None, 1] == (None, True)
+    assert comp[8, 1] == (8, True) and comp[9, 1] == (9, True)  # only A-Z are lower-cased
+    assert comp[11, 29_997][0] == 10 and comp[10, 1] == (10, True)
+    kept = M.deduplicate(df)
+    assert kept.columns == df.columns
+    assert sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == [1, 2, 3, 4, 4, 6, 8, 9, 10, 10]
+    assert M.near_duplicates(df.limit(0)).count() == 0
+
+
+def test_signatures_estimate_similarity():
+    a = np.arange(1000, dtype=np.uint64)
+    a, b = M._mix(a), M._mix(a + np.uint64(111))
+    share = (M.signature(np.sort(a)) == M.signature(np.sort(b))).mean()
+    assert abs(share - 889 / 1111) < 0.12
+    assert len(set(M.band_keys(M.signature(a)).tolist())) == M.BANDS
+
+
+def test_components(spark):
+    rnd = random.Random(1)
+    pairs = [(i, i + 1) for i in range(0, 60)] + [(100, 100 + k) for k in range(1, 40)] + [(7, 7), (None, 3)]
+    pairs += [(rnd.randrange(200, 300), rnd.randrange(200, 300)) for _ in range(60)]
+    got = {r.node: r.component for r in components(spark.createDataFrame(pairs, "a long, b long")).collect()}
+    parent = {}
+
+    def root(x):
+        while parent.setdefault(x, x) != x:
+            x = parent[x]
+        return x
+
+    for a, b in pairs:
+        if a is not None and a != b:
+            lo, hi = sorted((root(a), root(b)))
+            parent[hi] = lo
+    assert got == {x: root(x) for x in parent}
+    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
