@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillflow.llm.common import without
+from tillflow.llm.common import boxed, unboxed
 from tillflow.llm.vocabulary import END, Splitter, Vocabulary, load
 
 #: Words with more parts are merged with a heap.
@@ -140,7 +140,7 @@ def round_trip(docs: DataFrame, vocabulary: Vocabulary | None = None) -> DataFra
     ``decoded``. Columns of those names in ``docs`` are replaced, all others
     pass through; rows are independent, so repeated ones give equal results.
     """
-    rest = without(docs, "n_tokens", "ids", "decoded")
+    rest = unboxed(boxed(docs, adds=("n_tokens", "ids", "decoded")))
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary or load())
     at = [c.lower() for c in rest.columns].index("text")
     schema = T.StructType(

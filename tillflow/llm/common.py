@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tillflow.session import ensure_checkpoint_dir
 
@@ -25,7 +26,22 @@ def has_letter(text: str | None) -> bool:
     return bool(text) and _LETTER.search(text) is not None
 
 
-def without(df: DataFrame, *names: str) -> DataFrame:
-    """Drop the columns that an operator is about to add, so that its own win a clash."""
-    taken = {n.lower() for n in names}
-    return df.drop(*[c for c in df.columns if c.lower() in taken])
+def boxed(df: DataFrame, *uses: Column, adds: tuple[str, ...] = ()) -> DataFrame:
+    """``df`` as one column ``box`` that holds all its columns but those in ``adds``, next to the columns it ``uses``.
+
+    An operator can then name its own columns as it likes, whatever ``df`` has.
+    """
+    taken = {n.lower() for n in adds}
+    kept = [F.col(quoted(c)) for c in df.columns if c.lower() not in taken]
+    return df.select(F.struct(*kept).alias("box"), *uses)
+
+
+def unboxed(df: DataFrame, *added: Column, replaced: dict[str, Column] | None = None) -> DataFrame:
+    """The columns in the box, some of them replaced, and then those ``added``."""
+    names = df.schema["box"].dataType.names
+    new = {k.lower(): v for k, v in (replaced or {}).items()}
+    return df.select(*[new.get(n.lower(), F.col("box").getField(n)).alias(n) for n in names], *added)
+
+
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"

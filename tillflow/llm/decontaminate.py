@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillflow.llm.common import table, without
+from tillflow.llm.common import boxed, table, unboxed
 
 #: Edits allowed, as a share of the item's length.
 EDITS = 0.1
@@ -291,11 +291,11 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     one; a null id is listed as null. Other columns of ``docs`` pass through, a
     column named leaks is replaced, repeated rows are searched one by one.
     """
-    rest = without(docs, "leaks")
-    out = rest.withColumn("_found", F.array().cast("array<struct<item_id:bigint,edits:bigint>>"))
+    out = boxed(docs, F.col("text"), F.array().cast("array<struct<item_id:bigint,edits:bigint>>").alias("found"), adds=("leaks",))
     for block in _blocks(benchmark):
-        out = out.withColumn("_found", F.concat("_found", _search_for(docs.sparkSession.sparkContext.broadcast(Index(block)))(F.col("text"))))
-    return out.select(*rest.columns, F.array_sort("_found").alias("leaks"))
+        search = _search_for(docs.sparkSession.sparkContext.broadcast(Index(block)))
+        out = out.withColumn("found", F.concat("found", search(F.col("text"))))
+    return unboxed(out, F.array_sort("found").alias("leaks"))
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillflow.llm.common import has_letter, without
+from tillflow.llm.common import boxed, has_letter, unboxed
 
 #: Longest context, in bytes.
 ORDER = 3
@@ -267,8 +267,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
         return pd.DataFrame({"lang_pred": lang, "score": share, "bits_per_byte": bits})
 
     names = ("lang_pred", "score", "bits_per_byte")
-    rest = without(docs, *names)
-    return rest.withColumn("_judged", judge(F.col("text"))).select(*rest.columns, *[F.col(f"_judged.{n}").alias(n) for n in names])
+    return unboxed(boxed(docs, judge(F.col("text")).alias("judged"), adds=names), *[F.col(f"judged.{n}").alias(n) for n in names])
 
 
 def is_held_out(doc_id) -> F.Column:

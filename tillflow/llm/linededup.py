@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillflow.llm.common import durable, without
+from tillflow.llm.common import boxed, durable, unboxed
 
 #: Lines under a rolling hash, its multiplier, and one in how many lines may end a chunk.
 WINDOW, FACTOR, DIVISOR = 3, 31, 2
@@ -128,8 +128,7 @@ def deduplicate(docs: DataFrame) -> DataFrame:
     other columns pass through.
     """
     gone = repeated_chunks(docs)
-    rest = without(docs, "n_lines", "n_removed", *_ROW)
-    joined = _with_row(rest.select("*", *_row_key()), gone, "left")
+    joined = _with_row(boxed(docs, F.col("text"), *_row_key(), adds=("n_lines", "n_removed")), gone, "left")
     left = _let(
         F.filter(chunks(F.col("text")), lambda _, i: ~F.array_contains("gone", i)),
         lambda kept: F.struct(
@@ -138,11 +137,12 @@ def deduplicate(docs: DataFrame) -> DataFrame:
         ),
     )
     n_lines = F.when(F.col("text").isNull(), 0).otherwise(F.length("text") - F.length(F.replace(F.col("text"), F.lit("\n"))) + 1)
-    told = joined.withColumn("_left", F.when(F.col("gone").isNotNull(), left)).withColumn("_lines", n_lines)
-    return told.select(
-        *[F.coalesce("_left.text", "text").alias("text") if c.lower() == "text" else c for c in rest.columns],
-        F.col("_lines").cast("long").alias("n_lines"),
-        F.when(F.col("_left").isNull(), 0).otherwise(F.col("_lines") - F.col("_left.lines")).cast("long").alias("n_removed"),
+    told = joined.withColumns({"left": F.when(F.col("gone").isNotNull(), left), "lines": n_lines})
+    return unboxed(
+        told,
+        F.col("lines").cast("long").alias("n_lines"),
+        F.when(F.col("left").isNull(), 0).otherwise(F.col("lines") - F.col("left.lines")).cast("long").alias("n_removed"),
+        replaced={"text": F.coalesce("left.text", "text")},
     )
 
 

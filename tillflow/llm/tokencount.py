@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillflow.llm.common import without
+from tillflow.llm.common import boxed, unboxed
 from tillflow.llm.vocabulary import END, Splitter, Vocabulary, load
 
 #: Words whose counts a worker remembers.
@@ -142,10 +142,8 @@ def token_counts(docs: DataFrame, vocabulary: Vocabulary | None = None) -> DataF
         counter = _counter(shared)
         return pd.DataFrame([counter.text(t) for t in text], columns=["n_words", "n_tokens"], dtype="int64")
 
-    rest = without(docs, "n_words", "n_tokens")
-    return rest.withColumn("_n", counted(F.col("text"))).select(
-        *rest.columns, F.col("_n.n_words").alias("n_words"), F.col("_n.n_tokens").alias("n_tokens")
-    )
+    names = ("n_words", "n_tokens")
+    return unboxed(boxed(docs, counted(F.col("text")).alias("n"), adds=names), *[F.col(f"n.{x}").alias(x) for x in names])
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

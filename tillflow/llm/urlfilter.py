@@ -21,12 +21,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillflow.llm.common import durable, table, without
+from tillflow.llm.common import boxed, durable, table, unboxed
 
 #: Levels of the tree; what lies deeper in a path is one last segment.
 LEVELS = 8
 #: A node's segments are variable if there are more kinds than this, and more than this share of its rows.
 KINDS, SHARE = 10, 0.05
+#: Of such a node's segments, those with so large a share of its rows stay as they are.
+FREQUENT = 0.1
 #: Error rate of the test that keeps two branches apart.
 ALPHA = 0.05
 #: Purity and weight (in labelled pages) of the prior, and the purity below which a template is rejected.
@@ -94,16 +96,15 @@ def _replaced(segments: Column, level: int, by: Column) -> Column:
 def generalise(tree: DataFrame, level: int) -> DataFrame:
     """Wildcards for the segments of this level under nodes where they vary."""
     here = _with_level(tree, level)
+    kinds = here.where("_here IS NOT NULL").groupBy("host", "_above", "_here").agg(F.sum("n").alias("n"))
     nodes = (
-        here.where("_here IS NOT NULL")
-        .groupBy("host", "_above", "_here")
-        .agg(F.sum("n").alias("n"))
-        .groupBy("host", "_above")
+        kinds.groupBy("host", "_above")
         .agg(F.count("*").alias("kinds"), F.sum("n").alias("rows"))
         .where((F.col("kinds") > KINDS) & (F.col("kinds") > SHARE * F.col("rows")))
-        .select("host", "_above", F.lit("*").alias("_by"))
     )
-    return here.join(nodes, ["host", "_above"], "left").select(
+    rare = kinds.join(nodes, ["host", "_above"]).where(F.col("n") < FREQUENT * F.col("rows"))
+    wild = rare.select("host", "_above", "_here", F.lit("*").alias("_by"))
+    return here.join(wild, ["host", "_above", "_here"], "left").select(
         "host", "shape", _replaced(F.col("segments"), level, F.col("_by")).alias("segments"), "n", "labelled", "good"
     )
 
@@ -169,20 +170,18 @@ def judge(pages: DataFrame, labels: DataFrame | None = None, rules: Sequence[tup
     through; rows are judged one by one, whatever their page_id.
     """
     added = ("host", "path", "rule", "template", "purity", "verdict")
-    rest = without(pages, *added)
-    host, path = host_and_path(F.coalesce(F.col("url"), F.lit("")))
-    split = rest.withColumns({"host": host, "path": path})
-    split = split.withColumns({"_rule": rule_of(F.col("host"), F.col("path"), rules), "_segments": shape(F.col("path"))})
+    url = F.coalesce(F.col("url"), F.lit(""))
+    split = boxed(pages, F.col("page_id"), *[c.alias(n) for c, n in zip(host_and_path(url), ("host", "path"), strict=True)], adds=added)
+    split = split.withColumns({"ruled": rule_of(F.col("host"), F.col("path"), rules), "segments": shape(F.col("path"))})
     if labels is None:
-        taught = split.withColumn("good", F.col("_rule.verdict") == "allow")
+        taught = split.withColumn("good", F.col("ruled.verdict") == "allow")
     else:
         taught = split.join(labels.select("page_id", "good"), "page_id", "left")
-    found = templates(taught.select("host", F.col("_segments").alias("segments"), "good"))
-    there = found.select(F.col("host").alias("_host"), F.col("shape").alias("_shape"), "template", "purity")
-    out = split.join(there, (F.col("host") == F.col("_host")) & (_written(F.col("_segments")) == F.col("_shape")), "left")
+    found = templates(taught.select("host", "segments", "good"))
+    out = split.withColumn("shape", _written(F.col("segments"))).join(found, ["host", "shape"], "left")
     own = F.when(F.col("purity") < REJECT, "block").otherwise("allow")
-    return out.select(
-        *rest.columns, "host", "path", F.col("_rule.rule").alias("rule"), "template", "purity", F.coalesce("_rule.verdict", own).alias("verdict")
+    return unboxed(
+        out, "host", "path", F.col("ruled.rule").alias("rule"), "template", "purity", F.coalesce("ruled.verdict", own).alias("verdict")
     )
 
 
