@@ -89,12 +89,13 @@ if __name__ == "__main__":
         # as a caller with nothing but the environment's defaults would
         from pyspark.sql import SparkSession
 
-        spark = SparkSession.builder.master("local[8]").getOrCreate()
+        spark = SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false").getOrCreate()
         spark.sparkContext.setLogLevel("ERROR")
     else:
         from tillflow.session import get_session
 
-        spark = get_session()
+        spark = get_session("local[8]", **{"spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.sql.shuffle.partitions": "8"})
+        spark.sparkContext.setLogLevel("ERROR")
     if os.environ.get("CHECK_ENTRY"):
         from __spark_entry__ import entry
 

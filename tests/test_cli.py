@@ -21,6 +21,25 @@ def test_batch_then_check(spark, scratch, capsys):
     assert "n_dup_keys" in out and "n_orphans" in out
 
 
+def test_processed_outputs_and_rejects(spark, scratch, capsys):
+    inbox, out, base = scratch("inbox"), scratch("processed"), scratch("targets")
+    write_csv(fixtures.receipts(spark, SMOKE_DIR), f"{inbox}/day1")
+    main(["write-processed", "--source", f"{inbox}/*", "--out", out, "--name", "in/day1.csv"])
+    main(["load", "--processed", out, "--targets", base])
+    main(["compact", "--targets", base])
+    loaded = targets(spark, base)["orders_products"]
+    expected = normalize(fixtures.receipts(spark, SMOKE_DIR)).orders_products
+    assert loaded.exceptAll(expected).count() == 0 and expected.exceptAll(loaded).count() == 0
+    bad = scratch("inbox")
+    fixtures.faulty_lines(spark, SMOKE_DIR).write.text(f"{bad}/day2")
+    landing = scratch("landing")
+    main(["batch", "--source", f"{bad}/*", "--targets", base, "--landing", landing])
+    main(["rejects", "--targets", base])
+    said = capsys.readouterr().out
+    assert "wrong number of fields" in said and "price not a number" in said and "receipt_rejects" in said
+    assert spark.read.parquet(landing).count() == fixtures.receipts(spark, SMOKE_DIR).count()
+
+
 def test_batch_with_shake_ids(spark, scratch):
     inbox, base = scratch("inbox"), scratch("targets")
     write_csv(fixtures.receipts(spark, SMOKE_DIR), f"{inbox}/day1")

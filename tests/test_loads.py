@@ -1,5 +1,8 @@
 """Loads, checks and profiles on the driver tables."""
 
+import datetime as dt
+
+import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import SMOKE_DIR
@@ -8,8 +11,12 @@ from tillflow.operators import profile, quality, upsert
 from tillflow.operators.normalize import normalize, orders_products_by_join, products
 from tillflow.operators.rowindex import with_row_index
 from tillflow.schemas import KEYS
+from tillflow.functions.hashing import SHAKE256
 from tillflow.operators.load import load_receipts, targets
-from tillflow.sinks.tables import conform, load_if_absent, new_rows, read_target
+from tillflow.operators.processed import load_processed
+from tillflow.sinks import tables as tables_module
+from tillflow.sinks.csv import write_csv, write_processed
+from tillflow.sinks.tables import compact, conform, load_if_absent, new_rows, read_target
 
 
 def _tables(n):
@@ -28,20 +35,16 @@ def test_load_twice_changes_nothing(spark, scratch):
 
 
 def test_load_reads_only_the_batch_months(spark, scratch):
-    """The anti join of a load scans only the target partitions of its months."""
+    """The anti join of a load lists and reads only the folders of its months."""
     files = fixtures.two_files(spark, SMOKE_DIR)
     base = scratch("targets")
     load_receipts(fixtures.file_of(files, "receipts/file_a.csv"), base, spark)
-    b = normalize(fixtures.file_of(files, "receipts/file_b.csv"))
-    staging = conform(b.dated("orders_products"), "orders_products", keep_partition=True)
-    spark.conf.set("spark.sql.maxMetadataStringLength", "100000")
-    try:
-        plan = new_rows(staging, spark, base, "orders_products")._jdf.queryExecution().executedPlan().toString()
-    finally:
-        spark.conf.unset("spark.sql.maxMetadataStringLength")
-    part_filters = [ln for ln in plan.splitlines() if "PartitionFilters: [" in ln and "/orders_products" in ln]
-    assert part_filters and all(("order_month" in ln.split("PartitionFilters: [", 1)[1].split("]", 1)[0])
-                                and (" INSET " in ln or " IN (" in ln) for ln in part_filters)
+    months = [dt.date(1998, 3, 1), dt.date(1998, 4, 1), dt.date(2222, 1, 1)]
+    listed = read_target(spark, base, "orders_products", months).inputFiles()
+    assert {f.split("order_month=")[1].split("/")[0] for f in listed} == {"1998-03-01", "1998-04-01"}
+    few = fixtures.file_of(files, "receipts/file_b.csv").where("timestamp >= TIMESTAMP_NTZ'1998-03-01' AND timestamp < TIMESTAMP_NTZ'1998-04-01'")
+    rows = new_rows(conform(normalize(few).dated("orders"), "orders", keep_partition=True), spark, base, "orders")
+    assert rows.count() == 0
     load_receipts(fixtures.file_of(files, "receipts/file_b.csv"), base, spark)
     loaded = targets(spark, base)["orders_products"]
     expected = normalize(fixtures.receipts(spark, SMOKE_DIR)).orders_products
@@ -62,7 +65,111 @@ def test_constraints_hold(spark):
     assert all(r.n_dup_keys == 0 for r in quality.dq_unique(tables).collect())
     assert all(r.n_orphans == 0 for r in quality.dq_foreign(tables).collect())
     assert all(r.n_nulls == 0 for r in quality.dq_not_null(tables).collect())
-    assert all(r.n_too_long == 0 for r in quality.dq_length(tables, id_length=64).collect())
+    assert all(r.n_too_long == 0 for r in quality.dq_length(tables).collect())
+    shake = {r.column_name: r.n_too_long for r in quality.dq_length({"stores": tables["stores"]}, SHAKE256).collect()}
+    assert shake["store_id"] == n.stores.count()  # 64 characters where the scheme has 10
+
+
+def test_checks_find_what_is_broken(spark):
+    orders = spark.createDataFrame(
+        [("a", None, "s1", 1.0, "CASH"), ("a", None, "s9", None, "VOUCHER"), ("b", None, "s1", 2.0, None)],
+        "order_id string, timestamp timestamp_ntz, store_id string, total_price double, payment_type string",
+    )
+    stores = spark.createDataFrame([("s1", "Ayr"), ("s1", "AyrJo")], "store_id string, store_name string")
+    products = spark.createDataFrame([("p", "Tea", "x" * 256, 1.0)], "product_id string, item_name string, item_size string, item_price double")
+    link = spark.createDataFrame([("a", "p", 2), ("z", "p", 1), ("a", "q", 1)], "order_id string, product_id string, quantity int")
+    t = {"stores": stores, "orders": orders, "products": products, "orders_products": link}
+    assert {r.table_name: r.n_dup_keys for r in quality.dq_unique(t).collect()} == {"stores": 1, "orders": 1, "products": 0, "orders_products": 0}
+    assert {(r.child_table, r.parent_table): r.n_orphans for r in quality.dq_foreign(t).collect()} == {
+        ("orders", "stores"): 1, ("orders_products", "orders"): 1, ("orders_products", "products"): 1,
+    }
+    nulls = {(r.table_name, r.column_name): r.n_nulls for r in quality.dq_not_null(t).collect() if r.n_nulls}
+    assert nulls == {("orders", "timestamp"): 3, ("orders", "total_price"): 1, ("orders", "payment_type"): 1}
+    long = {r.column_name: r.n_too_long for r in quality.dq_length(t).collect() if r.n_too_long}
+    assert long == {"payment_type": 1, "item_size": 1}
+    items = spark.createDataFrame([("a", "p"), ("a", "p"), ("b", "p")], "order_id string, product_id string")
+    assert tuple(quality.dq_quantity(items, link).first()) == (4, 3)
+
+
+def test_key_clash_is_decided_alike(spark):
+    staging = spark.createDataFrame([("k", 2, "b"), ("k", 1, "c"), ("k", 1, "a")], "id string, x int, y string")
+    target = staging.limit(0)
+    for rows in (staging, staging.orderBy(F.desc("y")).repartition(3)):
+        assert [tuple(r) for r in upsert.insert_if_absent(rows, target, ["id"]).collect()] == [("k", 1, "a")]
+
+
+def test_orders_that_share_an_id_both_stay(spark):
+    """The text that is hashed has no separator: (Ayr, Jo) and (AyrJo, no name part) can collide."""
+    rows = [(None, "Ayr", "Jo", None, 1.0, "CASH", None), (None, "AyrJo", "", None, 1.0, "CASH", None)]
+    schema = "timestamp timestamp_ntz, store_name string, customer_name string, basket_items string, total_price double, payment_type string, card_number string"
+    n = normalize(spark.createDataFrame(rows, schema))
+    orders = n.orders.collect()
+    assert len(orders) == 2 and len({r.order_id for r in orders}) == 1 and len({r.store_id for r in orders}) == 2
+    assert quality.dq_unique({"orders": n.orders}).first().n_dup_keys == 1
+    assert "SortAggregate" not in n.orders._jdf.queryExecution().executedPlan().toString()
+
+
+def test_nothing_new_writes_no_file(spark, scratch):
+    base = scratch("targets")
+    r = fixtures.receipts(spark, SMOKE_DIR)
+    first = load_receipts(r, base, spark)
+    files = {t: sorted(read_target(spark, base, t).inputFiles()) for t in KEYS}
+    again = load_receipts(r, base, spark)
+    assert all(first[t] > 0 and again[t] == 0 for t in KEYS)
+    assert files == {t: sorted(read_target(spark, base, t).inputFiles()) for t in KEYS}
+
+
+def test_large_batches_skip_the_broadcast(spark, scratch, monkeypatch):
+    monkeypatch.setattr(tables_module, "BROADCAST_KEYS", 10)
+    files = fixtures.two_files(spark, SMOKE_DIR)
+    base = scratch("targets")
+    for path in ("receipts/file_a.csv", "receipts/file_b.csv"):
+        load_receipts(fixtures.file_of(files, path), base, spark)
+    loaded = targets(spark, base)["orders_products"]
+    expected = normalize(fixtures.receipts(spark, SMOKE_DIR)).orders_products
+    assert loaded.exceptAll(expected).count() == 0 and expected.exceptAll(loaded).count() == 0
+
+
+def test_compaction_keeps_the_rows(spark, scratch, monkeypatch):
+    monkeypatch.setattr(tables_module, "COMPACT_FROM", 3)
+    base = scratch("targets")
+    n = normalize(fixtures.receipts(spark, SMOKE_DIR))
+    march = n.dated("orders").where("order_month = DATE'1995-03-01'")
+    for k in range(4):
+        tables_module.append_rows(march.where(f"pmod(hash(order_id), 4) = {k}"), base, "orders")
+        tables_module.append_rows(conform(n.products, "products").where(f"pmod(hash(product_id), 4) = {k}"), base, "products")
+    before = {t: sorted(map(str, read_target(spark, base, t).collect())) for t in ("orders", "products")}
+    assert compact(spark, base, "orders") == 1 and compact(spark, base, "products") == 1 and compact(spark, base, "stores") == 0
+    assert compact(spark, base, "orders") == 0
+    assert before == {t: sorted(map(str, read_target(spark, base, t).collect())) for t in before}
+    assert len(read_target(spark, base, "orders").inputFiles()) == 1
+
+
+def test_an_unreadable_target_is_an_error(spark, scratch):
+    """Only a missing folder counts as no table yet."""
+    base = scratch("targets")
+    spark.range(3).selectExpr("array(id) AS store_id").write.parquet(f"{base}/stores")
+    with pytest.raises(Exception):
+        new_rows(normalize(fixtures.receipts(spark, SMOKE_DIR)).stores, spark, base, "stores").collect()
+
+
+def test_processed_outputs_load_by_name(spark, scratch):
+    out, base = scratch("processed"), scratch("targets")
+    n = normalize(fixtures.receipts(spark, SMOKE_DIR))
+    write_processed({t: n.table(t) for t in KEYS}, out, "in/day.csv")
+    write_csv(n.stores, f"{out}/notes.csv")
+    write_csv(n.stores, f"{out}/day.csv_unknown.csv")
+    added, unknown = load_processed(spark, out, base)
+    assert unknown == ["day.csv_unknown.csv", "notes.csv"]
+    assert added == {t: n.table(t).count() for t in KEYS}
+    assert set(load_processed(spark, out, base)[0].values()) == {0}
+    # link rows that come later find the month of their order in the target
+    alone, later = scratch("processed"), scratch("targets")
+    load_if_absent({"orders": n.dated("orders")}, later, spark)
+    write_processed({"orders_products": n.orders_products}, alone, "in/day.csv")
+    load_processed(spark, alone, later)
+    assert read_target(spark, later, "orders_products").where("order_month IS NULL").count() == 0
+    assert load_processed(spark, scratch("nothing"), base) == ({}, [])
 
 
 def test_renormalise_gives_back_items(spark):

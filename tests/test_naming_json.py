@@ -3,23 +3,33 @@
 from pyspark.sql import functions as F
 
 from tillflow.functions.jsonfields import arrival_event, event_fields, parse_object
-from tillflow.functions.naming import flatten_key, output_name, suffix_table, table_of_file
+from tillflow.functions.naming import flatten_key, logical_name, output_name, suffix_table, table_of_file
 
 
 def test_route_name_to_table(spark):
-    """The reference's own unit test, plus a name without ``.csv``."""
-    df = spark.createDataFrame([("2022216ayr_16-02-2022_09-00-00.csv_stores.csv",), ("no-extension",)], "n string")
-    got = [r.t for r in df.select(table_of_file(F.col("n")).alias("t")).collect()]
-    assert got == ["_stores", None]
-    tables = [r.t for r in df.select(suffix_table(table_of_file(F.col("n"))).alias("t")).collect()]
-    assert tables == ["stores", None]
+    cases = [
+        ("kiosk7.csv_stores.csv", "_stores", "stores"),
+        ("north.pier.csv_ordersproducts.csv", "_ordersproducts", "orders_products"),
+        ("kiosk7.csv_refunds.csv", "_refunds", None),
+        ("kiosk7.csv", "", None),
+        ("kiosk7", None, None),
+    ]
+    df = spark.createDataFrame(cases, "n string, suffix string, tbl string")
+    got = df.select("suffix", "tbl", table_of_file(F.col("n")).alias("s"), suffix_table(table_of_file(F.col("n"))).alias("t")).collect()
+    assert [(r.s, r.t) for r in got] == [(r.suffix, r.tbl) for r in got]
 
 
 def test_output_name_flattens_path(spark):
-    df = spark.createDataFrame([("2022/2/16/widnes_16-02-2022_08-00-00.csv",)], "k string")
-    r = df.select(flatten_key(F.col("k")).alias("f"), output_name(F.col("k"), "orders_products").alias("o")).first()
-    assert r.f == "2022216widnes_16-02-2022_08-00-00.csv"
-    assert r.o == "2022216widnes_16-02-2022_08-00-00.csv_ordersproducts.csv"
+    cases = [("till/kiosk7.csv", "tillkiosk7.csv"), ("a/b.c/d", "ab.cd"), ("plain.csv", "plain.csv"), ("", "")]
+    df = spark.createDataFrame(cases, "k string, flat string")
+    for r in df.select("flat", flatten_key(F.col("k")).alias("f"), output_name(F.col("k"), "orders_products").alias("o")).collect():
+        assert r.f == r.flat and r.o == r.flat + "_ordersproducts.csv"
+
+
+def test_logical_name(spark):
+    cases = [("file:/x/a.csv_stores.csv/part-00003-9f-c000.csv", "a.csv_stores.csv"), ("file:/x/a.csv_stores.csv", "a.csv_stores.csv")]
+    df = spark.createDataFrame(cases, "p string, n string")
+    assert all(r.l == r.n for r in df.select("n", logical_name(F.col("p")).alias("l")).collect())
 
 
 def test_arrival_event_round_trip(spark):

@@ -66,8 +66,8 @@ def test_order_id_is_text_of_row(spark, scratch):
     b = read_receipts(spark, base_alone)
     from tillflow.operators.normalize import with_order_id
 
-    ida = {r.order_id for r in with_order_id(a.drop("_reject", "file_path", "file_time")).collect()}
-    idb = {r.order_id for r in with_order_id(b.drop("_reject", "file_path", "file_time")).collect()}
+    ida = {r.order_id for r in with_order_id(a.drop("_reject", "_record", "file_path", "file_time")).collect()}
+    idb = {r.order_id for r in with_order_id(b.drop("_reject", "_record", "file_path", "file_time")).collect()}
     text = "2021-08-25 00:00:00AyrJo XLarge Tea - 1.510.0CARD5494000000000001"
     expected = hashlib.sha256(text.encode()).hexdigest()
     assert expected in ida and idb == {expected}

@@ -14,7 +14,7 @@ payment_type   ``CARD`` for priorities 1-URGENT and 2-HIGH, else ``CASH``
 card_number    ``5494`` + ``o_custkey`` padded to 12 digits, for cards only
 =============  ==================================================================
 
-Orders without line items have no basket and fall out (inner join).
+An order without line items is a receipt with a null basket.
 The basket of one order is built in one task: a receipt is one row, so a basket
 is bounded by what one till prints (TPC-H: at most seven lines).
 """
@@ -57,10 +57,8 @@ def receipts_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Partition the two key columns by order straight after the scan: the basket
     # aggregation below then needs no further shuffle, the part lookup and text
     # building run in parallel after it, and only two longs per row are shuffled.
-    # The count is fixed (not coalesced by AQE): the work after this shuffle is
-    # CPU-heavy while the shuffled bytes are few.
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    lineitem = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey").repartition(parts, "l_orderkey")
+    # Without a count, so adaptive execution sizes the partitions.
+    lineitem = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey").repartition("l_orderkey")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_name", "p_retailprice")
     orders = table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority"
@@ -78,7 +76,7 @@ def receipts_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     card = F.col("o_orderpriority").isin("1-URGENT", "2-HIGH")
     return (
-        orders.join(baskets, orders.o_orderkey == baskets.l_orderkey)
+        orders.join(baskets, orders.o_orderkey == baskets.l_orderkey, "left")
         .join(customer, orders.o_custkey == customer.c_custkey)
         # nation has 25 rows by definition of the schema: a bounded broadcast.
         .join(F.broadcast(nation), F.col("c_nationkey") == nation.n_nationkey)
@@ -105,7 +103,7 @@ def receipts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def receipts_doubled(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every receipt twice in one file: dedup and within-file quantities."""
     r = receipts(spark, sf_dir)
-    return r.unionAll(r)
+    return r.select("*", F.explode(F.array(F.lit(1), F.lit(2))).alias("copy")).drop("copy")
 
 
 def two_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -128,5 +126,29 @@ def two_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.select("*", F.explode(copies).alias("f")).select(*r.columns, "f.file_path", "f.file_time")
 
 
+#: Kind of seeded receipt by order key modulo seven; the others are sound.
+BAD_TOTAL, NO_TIME, DAY_FIRST, EXTRA_FIELD, BAD_ITEMS, KINDS = 0, 1, 2, 3, 4, 7
+#: Items that form no product.
+BAD_BASKET = "Large Tea - abc, Small Tea, Mocha - 2.3"
+
+
+def faulty_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The receipts as lines of a file (column value), five in seven with a fault a load must turn away and report."""
+    kind = F.col("o_orderkey") % KINDS
+    iso = F.col("timestamp").cast("string")
+    day_first = F.concat(iso.substr(9, 2), F.lit("/"), iso.substr(6, 2), F.lit("/"), iso.substr(1, 4), F.lit(" 09:00"))
+    basket = F.when(kind == BAD_ITEMS, F.concat_ws(", ", "basket_items", F.lit(BAD_BASKET))).otherwise(F.coalesce("basket_items", F.lit("")))
+    fields = [
+        F.when(kind == NO_TIME, "").when(kind == DAY_FIRST, day_first).otherwise(iso),
+        F.col("store_name"),
+        F.col("customer_name"),
+        F.concat(F.lit('"'), basket, F.lit('"')),
+        F.when(kind == BAD_TOTAL, "abc").otherwise(F.col("total_price").cast("string")),
+        F.col("payment_type"),
+        F.concat(F.coalesce("card_number", F.lit("")), F.when(kind == EXTRA_FIELD, ",more").otherwise("")),
+    ]
+    return receipts_keyed(spark, sf_dir).select(F.concat_ws(",", *fields).alias("value"))
+
+
 def file_of(df: DataFrame, path: str) -> DataFrame:
     return df.filter(F.col("file_path") == path).drop("file_path", "file_time")

@@ -6,12 +6,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillflow.functions.timeparse import ISO_FORMATS, parse_ntz
-from tillflow.schemas import RAW_COLUMNS
+from tillflow.schemas import RAW_COLUMNS, RECORD
 
-# The texts pandas' read_csv reads as missing by default.
+# The texts that read_csv of pandas 1.3 reads as missing by default.
 PANDAS_NA_VALUES = [
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND",
-    "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
+    "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "n/a", "nan", "null",
 ]
 
 
@@ -20,19 +20,22 @@ def na_to_null(c: Column, na_values=PANDAS_NA_VALUES) -> Column:
 
 
 def type_receipts(raw_text: DataFrame, formats=ISO_FORMATS, na_values=PANDAS_NA_VALUES) -> DataFrame:
-    """Typed receipt columns plus ``_reject`` (null when the row is usable).
+    """Typed receipt columns plus ``_reject`` (null when the row is usable) and ``_record`` (its text if not).
 
     Extra columns (file lineage) pass through unchanged.
     """
     cols = {c: na_to_null(F.col(c), na_values) for c in RAW_COLUMNS}
     ts = parse_ntz(cols["timestamp"], formats)
     total = cols["total_price"].try_cast("double")
+    record = F.col(RECORD) if RECORD in raw_text.columns else F.lit(None).cast("string")
     reject = (
-        F.when(cols["timestamp"].isNull(), F.lit("timestamp missing"))
+        F.when(record.isNotNull(), F.lit("wrong number of fields"))
+        .when(cols["timestamp"].isNull(), F.lit("timestamp missing"))
         .when(ts.isNull(), F.lit("timestamp unparsed"))
         .when(cols["total_price"].isNotNull() & total.isNull(), F.lit("total not a number"))
     )
-    extra = [c for c in raw_text.columns if c not in RAW_COLUMNS]
+    written = F.to_csv(F.struct(*RAW_COLUMNS))
+    extra = [c for c in raw_text.columns if c not in (*RAW_COLUMNS, RECORD)]
     return raw_text.select(
         ts.alias("timestamp"),
         cols["store_name"].alias("store_name"),
@@ -43,4 +46,18 @@ def type_receipts(raw_text: DataFrame, formats=ISO_FORMATS, na_values=PANDAS_NA_
         cols["card_number"].alias("card_number"),
         *extra,
         reject.alias("_reject"),
+        F.when(reject.isNotNull(), F.coalesce(record, written)).alias(RECORD),
     )
+
+
+def receipt_rejects(typed: DataFrame) -> DataFrame:
+    """The receipts turned away: reason, text and file, equal ones of a file counted."""
+    file = F.col("file_path") if "file_path" in typed.columns else F.lit(None).cast("string")
+    bad = typed.where("_reject IS NOT NULL").select(F.col("_reject").alias("reason"), F.col(RECORD).alias("record"), file.alias("file_path"))
+    counted = bad.groupBy("reason", "record", "file_path").agg(F.count("*").alias("n"))
+    return counted.select(reject_id("reason", "record", "file_path").alias("reject_id"), "reason", "record", "file_path", "n")
+
+
+def reject_id(*columns: str) -> Column:
+    """Digest of the columns' texts, null told from empty; a replayed file gives the same ids."""
+    return F.sha2(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}), 256)

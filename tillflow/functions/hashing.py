@@ -50,6 +50,12 @@ class IdScheme:
     def jvm_only(self) -> bool:
         return self.kind == "sha256"
 
+    def id_length(self, column: str) -> int:
+        """Characters of an id column's values."""
+        if self.kind == "sha256":
+            return 64
+        return 2 * {"order_id": self.order_bytes, "store_id": self.store_bytes, "product_id": self.product_bytes}[column]
+
     def digest(self, text: Column, nbytes: int) -> Column:
         if self.kind == "sha256":
             return sha256_hex(text)

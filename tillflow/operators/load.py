@@ -1,9 +1,9 @@
-"""One load: receipts -> four tables -> insert-if-absent into the targets.
+"""One load: receipts -> four tables and two reject tables -> insert-if-absent into the targets.
 
 Shared by the batch command and by each streaming micro-batch. The typed
-receipts are persisted once (memory, spilling to disk) so the four outputs
-do not each rescan and re-hash the input; a lost executor only means its
-blocks are recomputed from the source files.
+receipts are persisted once (memory, spilling to disk) so the outputs do not
+each rescan and re-hash the input; a lost executor only means its blocks are
+recomputed from the source files.
 """
 
 from __future__ import annotations
@@ -12,24 +12,33 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillflow.functions.clean import receipt_rejects
 from tillflow.functions.hashing import SHA256, IdScheme
-from tillflow.operators.normalize import normalize
-from tillflow.sinks.tables import load_if_absent, read_target
+from tillflow.operators.normalize import item_rejects, normalize
 from tillflow.schemas import KEYS, TABLES
+from tillflow.sinks.tables import load_if_absent, read_target
 
 
 def load_receipts(typed: DataFrame, target_dir: str, spark: SparkSession | None = None, ids: IdScheme = SHA256,
-                  by_file: bool = True) -> None:
-    """Typed receipts (``functions.clean.type_receipts`` or the fixture) -> targets."""
+                  by_file: bool = True) -> dict[str, int]:
+    """Typed receipts (``functions.clean.type_receipts`` or the fixture) -> targets; rows added by table.
+
+    Receipts and items that cannot be loaded go to ``receipt_rejects`` and
+    ``item_rejects`` with reason and file, each once however often it is sent.
+    """
     spark = spark or typed.sparkSession
     typed = typed.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         by_file = by_file and "file_path" in typed.columns
         n = normalize(typed, ids, by_file=by_file)
-        # the batch's months, once, from the persisted input (one small query)
+        # the batch's months, once, from the persisted input: as many as the calendar has in it
         month = F.trunc(F.col("timestamp").cast("date"), "month")
         months = [r[0] for r in typed.select(month.alias("m")).where("m IS NOT NULL").distinct().collect()]
-        load_if_absent({t: n.dated(t) for t in KEYS}, target_dir, spark, months)
+        tables = {t: n.dated(t) for t in KEYS}
+        if "_reject" in typed.columns:
+            tables["receipt_rejects"] = receipt_rejects(typed)
+        tables["item_rejects"] = item_rejects(n.items)
+        return load_if_absent(tables, target_dir, spark, months)
     finally:
         typed.unpersist()
 
@@ -37,3 +46,9 @@ def load_receipts(typed: DataFrame, target_dir: str, spark: SparkSession | None
 def targets(spark: SparkSession, target_dir: str) -> dict[str, DataFrame]:
     """The loaded tables with their declared columns."""
     return {t: read_target(spark, target_dir, t).select(*[f.name for f in TABLES[t].fields]) for t in KEYS}
+
+
+def reject_report(spark: SparkSession, target_dir: str) -> DataFrame:
+    """(kind, reason, n): how many receipts and items the loads so far have turned away."""
+    kinds = [read_target(spark, target_dir, t).select(F.lit(t).alias("kind"), "reason", "n") for t in ("receipt_rejects", "item_rejects")]
+    return kinds[0].unionByName(kinds[1]).groupBy("kind", "reason").agg(F.sum("n").alias("n"))

@@ -1,7 +1,7 @@
 """Run metrics by time bucket and over look-back horizons.
 
-Invocations, errors and duration (average, sum, min, max). Sums go through
-DECIMAL(18,2) so they do not depend on the order rows are added in.
+Invocations, errors and duration (average, sum, min, max), per function. Sums go
+through DECIMAL(30,8), so they do not depend on the order rows are added in.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ HORIZONS = (("24h", 24), ("2d", 48), ("7d", 168))
 
 
 def _measures(ts_col: str, kind_col: str, dur_col: str, error_kind: str) -> list[Column]:
-    total = F.sum(F.col(dur_col).cast("decimal(18,2)")).cast("double")
+    total = F.sum(F.col(dur_col).cast("decimal(30,8)")).cast("double")
     n = F.count(F.lit(1))
     return [
         n.cast("bigint").alias("invocations"),
@@ -29,9 +29,9 @@ def _measures(ts_col: str, kind_col: str, dur_col: str, error_kind: str) -> list
 def metrics_by_window(events: DataFrame, every: str = "1 hour", ts_col: str = "ts", kind_col: str = "event_type",
                       dur_col: str = "value", error_kind: str = "error") -> DataFrame:
     return (
-        events.groupBy(F.window(ts_col, every).alias("w"))
+        events.groupBy(F.window(ts_col, every).alias("w"), F.col(kind_col).alias("function_name"))
         .agg(*_measures(ts_col, kind_col, dur_col, error_kind))
-        .select(F.col("w.start").alias("window_start"), "invocations", "errors", "dur_avg", "dur_sum", "dur_min", "dur_max")
+        .select(F.col("w.start").alias("window_start"), "function_name", "invocations", "errors", "dur_avg", "dur_sum", "dur_min", "dur_max")
     )
 
 

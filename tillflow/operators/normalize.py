@@ -17,8 +17,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillflow.functions.basket import explode_basket, item_columns
+from tillflow.functions.clean import reject_id
 from tillflow.functions.hashing import SHA256, IdScheme
-from tillflow.schemas import PII_COLUMNS
+from tillflow.schemas import PII_COLUMNS, RECORD
 
 PRODUCT_COLS = ["item_name", "item_size", "item_price"]
 
@@ -49,18 +50,40 @@ def to_1nf(cleaned: DataFrame) -> DataFrame:
     return item_columns(explode_basket(cleaned))
 
 
+def item_reject() -> F.Column:
+    """Why an item forms no product; null when it does."""
+    return (
+        F.when(F.col("basket_item").isNull(), F.lit("no basket"))
+        .when(F.col("item_price").isNull(), F.lit("no price"))
+        .when(F.col("item_name").isNull() | F.col("item_size").isNull(), F.lit("no size and name"))
+        .when(F.col("item_price").try_cast("double").isNull(), F.lit("price not a number"))
+    )
+
+
 def valid_items(items: DataFrame) -> DataFrame:
-    """Items whose name, size and price are all present.
+    """Items with a name, a size and a price that is a number.
 
     ``order_id`` is never null (a hash of coalesced text), so it is not tested:
     the test would be pushed below the joins and hash every receipt twice.
     """
-    return items.filter(F.col("item_name").isNotNull() & F.col("item_size").isNotNull() & F.col("item_price").isNotNull())
+    return items.filter(
+        F.col("item_name").isNotNull() & F.col("item_size").isNotNull() & F.col("item_price").try_cast("double").isNotNull()
+    )
 
 
 def rejected_items(items: DataFrame) -> DataFrame:
-    """Item rows that cannot form a product (no price, one word, no basket)."""
-    return items.filter(F.col("item_name").isNull() | F.col("item_size").isNull() | F.col("item_price").isNull())
+    """Item rows that form no product, with the ``reason``."""
+    return items.withColumn("reason", item_reject()).where("reason IS NOT NULL")
+
+
+def item_rejects(items: DataFrame) -> DataFrame:
+    """The rejected items of each order and file, equal ones counted; an order without a basket is no reject."""
+    file = F.col("file_path") if "file_path" in items.columns else F.lit(None).cast("string")
+    bad = rejected_items(items).where("reason <> 'no basket'").select("reason", "order_id", "basket_item", file.alias("file_path"))
+    counted = bad.groupBy("reason", "order_id", "basket_item", "file_path").agg(F.count("*").alias("n"))
+    return counted.select(
+        reject_id("reason", "order_id", "basket_item", "file_path").alias("reject_id"), "reason", "order_id", "basket_item", "file_path", "n"
+    )
 
 
 def stores(cleaned: DataFrame, ids: IdScheme = SHA256) -> DataFrame:
@@ -69,14 +92,15 @@ def stores(cleaned: DataFrame, ids: IdScheme = SHA256) -> DataFrame:
 
 
 def orders(cleaned: DataFrame, ids: IdScheme = SHA256) -> DataFrame:
-    """One row per order id, store id hashed in place of the store join.
+    """Distinct order rows, store id hashed in place of the store join.
 
-    ``order_id`` hashes the whole raw row, so rows with one id are equal and
-    deduplicating on the key equals deduplicating on the row.
+    The whole row is compared: the text that ``order_id`` hashes has no
+    separator, so two receipts can share an id. Both stay, and the key check
+    (Q1) reports them.
     """
     return (
         cleaned.select("order_id", "timestamp", "store_name", "total_price", "payment_type")
-        .dropDuplicates(["order_id"])
+        .distinct()
         .select("order_id", "timestamp", ids.store_id().alias("store_id"), "total_price", "payment_type")
     )
 
@@ -94,13 +118,13 @@ def products(items: DataFrame, ids: IdScheme = SHA256) -> DataFrame:
     )
 
 
-def _order_month() -> F.Column:
+def order_month() -> F.Column:
     return F.trunc(F.col("timestamp").cast("date"), "month").alias("order_month")
 
 
 def _link_rows(items: DataFrame, ids: IdScheme, dated: bool = False) -> DataFrame:
     v = valid_items(items)
-    extra = [c for c in v.columns if c in ("file_time", "file_path")] + ([_order_month()] if dated else [])
+    extra = [c for c in ("file_time", "file_path") if c in v.columns] + ([order_month()] if dated else [])
     if ids.jvm_only:
         return v.select("order_id", ids.product_id().alias("product_id"), *extra)
     # Python-side hash: hash each distinct product once, then look it up.
@@ -117,26 +141,26 @@ def orders_products(items: DataFrame, ids: IdScheme = SHA256, dated: bool = Fals
     return _link_rows(items, ids, dated).groupBy(*keys).agg(F.count(F.lit(1)).cast("int").alias("quantity"))
 
 
-def orders_products_by_file(items: DataFrame, ids: IdScheme = SHA256, file_cols=("file_time", "file_path"),
-                            dated: bool = False) -> DataFrame:
+def orders_products_by_file(items: DataFrame, ids: IdScheme = SHA256, dated: bool = False) -> DataFrame:
     """Quantities when rows come from several files: within a file they add,
     across files the earliest file wins (T12, T13, W1).
 
-    Two aggregations, both with map-side partial aggregation: a count per
-    (order, product, file), then ``min_by`` on the file order per (order,
-    product). No window sorts a hot key's rows in one task.
+    A file may arrive as several parts; its time is that of its first part. Two
+    aggregations, both with map-side partial aggregation: a count per (order,
+    product, file), then ``min_by`` on the file order per (order, product). No
+    window sorts a hot key's rows in one task.
     """
     keys = ["order_id", "product_id"] + (["order_month"] if dated else [])
     per_file = (
         _link_rows(items, ids, dated)
-        .groupBy(*keys, *file_cols)
-        .agg(F.count(F.lit(1)).cast("int").alias("quantity"))
+        .groupBy(*keys, "file_path")
+        .agg(F.count(F.lit(1)).cast("int").alias("quantity"), F.min("file_time").alias("file_time"))
     )
-    first = F.min_by(F.struct("quantity", *file_cols), F.struct(*file_cols))
+    first = F.min_by(F.struct("quantity", "file_time", "file_path"), F.struct("file_time", "file_path"))
     return (
         per_file.groupBy(*keys)
         .agg(first.alias("w"))
-        .select(*keys, F.col("w.quantity").alias("quantity"), *[F.col(f"w.{c}").alias(c) for c in file_cols])
+        .select(*keys, "w.quantity", "w.file_time", "w.file_path")
     )
 
 
@@ -146,7 +170,7 @@ def orders_by_join(cleaned: DataFrame, store_table: DataFrame) -> DataFrame:
     The stores side is small (one row per store); AQE turns the sort-merge join
     into a broadcast when its measured size is under the broadcast threshold.
     """
-    o = cleaned.select("order_id", "timestamp", "store_name", "total_price", "payment_type").dropDuplicates(["order_id"])
+    o = cleaned.select("order_id", "timestamp", "store_name", "total_price", "payment_type").distinct()
     s = store_table.withColumnRenamed("store_name", "s_name")
     return o.join(s, o.store_name.eqNullSafe(s.s_name), "left").select(
         "order_id", "timestamp", "store_id", "total_price", "payment_type"
@@ -154,9 +178,14 @@ def orders_by_join(cleaned: DataFrame, store_table: DataFrame) -> DataFrame:
 
 
 def orders_products_by_join(items: DataFrame, product_table: DataFrame) -> DataFrame:
-    """J2 as written originally: look ``product_id`` up by (price, size, name)."""
-    linked = valid_items(items).select("order_id", *PRODUCT_COLS).join(product_table, PRODUCT_COLS, "left")
-    return linked.groupBy("order_id", "product_id").agg(F.count(F.lit(1)).cast("int").alias("quantity"))
+    """J2 as written originally: look ``product_id`` up by (price, size, name).
+
+    Items are counted per order first, so the join moves one row for each
+    product of an order, and a popular product no more than that.
+    """
+    counted = valid_items(items).groupBy("order_id", *PRODUCT_COLS).agg(F.count(F.lit(1)).cast("int").alias("quantity"))
+    linked = counted.join(product_table, PRODUCT_COLS, "left")
+    return linked.groupBy("order_id", "product_id").agg(F.sum("quantity").cast("int").alias("quantity"))
 
 
 class Normalized:
@@ -164,7 +193,7 @@ class Normalized:
 
     def __init__(self, receipts: DataFrame, ids: IdScheme = SHA256, by_file: bool = False):
         if "_reject" in receipts.columns:
-            receipts = receipts.filter(F.col("_reject").isNull()).drop("_reject")
+            receipts = receipts.filter(F.col("_reject").isNull()).drop("_reject", RECORD)
         self.receipts = receipts
         self.ids = ids
         self.by_file = by_file
@@ -201,7 +230,7 @@ class Normalized:
     def dated(self, name: str) -> DataFrame:
         """The table plus ``order_month`` where the target is month-partitioned."""
         if name == "orders":
-            return self.orders.select("*", _order_month())
+            return self.orders.select("*", order_month())
         if name == "orders_products":
             return self._link(dated=True)
         return self.table(name)

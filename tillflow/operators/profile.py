@@ -37,14 +37,16 @@ def preview(df: DataFrame, order_cols: list[str], n: int = 10) -> DataFrame:
 
 
 def lookup_by_key(link: DataFrame, orders: DataFrame, products: DataFrame) -> DataFrame:
-    """The first link row and its order and product rows (L2, F2).
+    """The first link row and its order and product rows (L2, F2), over stored tables.
 
-    The one-row side is tiny, so both lookups are semi-join shaped: only rows
-    whose key equals that row's key survive the scans' filters.
+    The key of one row is fetched (a top-1 over the key columns), then every
+    table is read with that key as a filter that reaches its scan.
     """
-    first = link.orderBy("order_id", "product_id").limit(1)
+    first = link.select("order_id", "product_id").orderBy("order_id", "product_id").limit(1).collect()
+    order, product = (first[0]["order_id"], first[0]["product_id"]) if first else (None, None)
     return (
-        first.join(orders.select("order_id", "timestamp", "total_price", "payment_type"), "order_id")
-        .join(products.select("product_id", "item_name", "item_size", "item_price"), "product_id")
+        link.where((F.col("order_id") == F.lit(order)) & (F.col("product_id") == F.lit(product)))
+        .join(orders.where(F.col("order_id") == F.lit(order)).select("order_id", "timestamp", "total_price", "payment_type"), "order_id")
+        .join(products.where(F.col("product_id") == F.lit(product)).select("product_id", "item_name", "item_size", "item_price"), "product_id")
         .select("order_id", "product_id", "quantity", "timestamp", "total_price", "payment_type", "item_name", "item_size", "item_price")
     )

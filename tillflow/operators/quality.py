@@ -11,6 +11,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tillflow.functions.hashing import SHA256, IdScheme
 from tillflow.schemas import FOREIGN_KEYS, KEYS, TABLES
 
 
@@ -65,19 +66,15 @@ def dq_not_null(tables: dict[str, DataFrame]) -> DataFrame:
     return _per_column(tables, lambda c, f: F.count_if(c.isNull())).withColumnRenamed("n", "n_nulls")
 
 
-def dq_length(tables: dict[str, DataFrame], id_length: int = 64) -> DataFrame:
-    """Per text column: values longer than the declared length (Q4).
-
-    Id columns are checked against ``id_length`` (16 for SHAKE ids as declared,
-    64 for SHA-256 hex ids).
-    """
+def dq_length(tables: dict[str, DataFrame], ids: IdScheme = SHA256) -> DataFrame:
+    """Per text column: values longer than the declared length, for ids that of their scheme (Q4)."""
 
     def measure(c, field):
         limit = field.metadata.get("max_length")
         if limit is None:
             return F.lit(0)
         if field.name.endswith("_id"):
-            limit = id_length
+            limit = ids.id_length(field.name)
         return F.count_if(F.length(c) > limit)
 
     return _per_column(tables, measure).withColumnRenamed("n", "n_too_long")

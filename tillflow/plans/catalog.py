@@ -7,6 +7,7 @@ checkpoint folder (``session.scratch_path``) and read the result back.
 
 from __future__ import annotations
 
+import functools
 from typing import Callable
 
 from pyspark import StorageLevel
@@ -17,14 +18,15 @@ from tillflow import fixtures
 from tillflow.functions import basket as B
 from tillflow.functions.hashing import SHA256, SHAKE256
 from tillflow.functions.jsonfields import arrival_event, event_fields, parse_object
-from tillflow.functions.naming import flatten_key, table_of_file
+from tillflow.functions.naming import flatten_key, logical_name, output_name as output_name_of, suffix_table, table_of_file
 from tillflow.functions.timeparse import DAY_FIRST_FORMATS, ISO_FORMATS, epoch_seconds, from_epoch_seconds, parse_ntz
-from tillflow.operators import metrics, normalize as N, profile, quality, upsert
+from tillflow.operators import load, metrics, normalize as N, processed, profile, quality, upsert
+from tillflow.operators.load import load_receipts
 from tillflow.operators.rowindex import with_row_index
 from tillflow.schemas import KEYS, RAW_COLUMNS, TABLE_SUFFIX
-from tillflow.session import ensure_checkpoint_dir, scratch_path
+from tillflow.session import file_system, scratch_path
 from tillflow.sinks import csv as csv_sink
-from tillflow.sinks.tables import conform, land_raw
+from tillflow.sinks.tables import append_rows, conform, land_raw, load_if_absent, read_target
 from tillflow.sources import csv as csv_source
 from tillflow.streaming import ingest
 
@@ -151,7 +153,7 @@ def _cleaned(spark, sf_dir):
 def split_basket(spark, sf_dir):
     arr = B.split_basket(F.col("basket_items"))
     return _cleaned(spark, sf_dir).select(
-        "order_id", F.size(arr).cast("bigint").alias("n_items"), F.get(arr, 0).alias("first_item"),
+        "order_id", F.coalesce(F.size(arr), F.lit(0)).cast("bigint").alias("n_items"), F.get(arr, 0).alias("first_item"),
         F.get(arr, F.size(arr) - 1).alias("last_item"),
     )
 
@@ -268,14 +270,19 @@ def row_counts(spark, sf_dir):
 
 # --- loads over two overlapping files (K2, K4, K5, W1, T13) -------------------
 
-def _file_tables(spark, sf_dir, path) -> dict[str, DataFrame]:
-    return _tables(N.normalize(fixtures.file_of(fixtures.two_files(spark, sf_dir), path)))
+FILES = ("receipts/file_a.csv", "receipts/file_b.csv")
+
+
+def _file(spark, sf_dir, path) -> N.Normalized:
+    return N.normalize(fixtures.file_of(fixtures.two_files(spark, sf_dir), path))
 
 
 def _upsert(spark, sf_dir, table):
-    a = _file_tables(spark, sf_dir, "receipts/file_a.csv")[table]
-    b = _file_tables(spark, sf_dir, "receipts/file_b.csv")[table]
-    return upsert.upsert(b, a, KEYS[table])
+    """The table after file A and then file B have been loaded into a target."""
+    base = scratch_path(spark, "targets")
+    for path in FILES:
+        load_if_absent({table: _file(spark, sf_dir, path).dated(table)}, base, spark)
+    return ingest.target(spark, base, table)
 
 
 @register("upsert_stores")
@@ -300,9 +307,10 @@ def upsert_orders_products(spark, sf_dir):
 
 @register("sink_append")
 def sink_append(spark, sf_dir):
-    a = _file_tables(spark, sf_dir, "receipts/file_a.csv")["orders"]
-    b = _file_tables(spark, sf_dir, "receipts/file_b.csv")["orders"]
-    return upsert.append(a, b)
+    base = scratch_path(spark, "targets")
+    for path in FILES:
+        append_rows(_file(spark, sf_dir, path).dated("orders"), base, "orders")
+    return ingest.target(spark, base, "orders")
 
 
 @register("first_arrival_wins")
@@ -345,12 +353,52 @@ def sink_csv_roundtrip(spark, sf_dir):
     return csv_source.read_staging(spark, paths["orders"], "orders")
 
 
+@register("load_processed")
+def load_processed(spark, sf_dir):
+    """Write the processed outputs, route and load them by name, and load them again."""
+    base, targets = scratch_path(spark, "processed"), scratch_path(spark, "targets")
+    csv_sink.write_processed(_tables(_norm(spark, sf_dir)), base, "receipts/all.csv")
+    for _ in range(2):
+        processed.load_processed(spark, base, targets)
+    return ingest.target(spark, targets, "orders_products")
+
+
+@register("route_processed")
+def route_processed(spark, sf_dir):
+    """Rows of each processed output, by the name and table that its part files tell."""
+    base = scratch_path(spark, "processed")
+    csv_sink.write_processed(_tables(_norm(spark, sf_dir)), base, "receipts/all.csv")
+    name = logical_name(F.col("_metadata.file_path"))
+    lines = spark.read.text(f"{base}/*").select(name.alias("file_name"))
+    return lines.groupBy("file_name", suffix_table(table_of_file(F.col("file_name"))).alias("table_name")).agg(F.count("*").alias("n_rows"))
+
+
 @register("raw_landing")
 def raw_landing(spark, sf_dir):
+    """Every line as it came; landing the same files again adds nothing."""
     src = _receipts_csv(spark, sf_dir)
     landing = scratch_path(spark, "landing")
-    land_raw(csv_source.read_receipts_text(spark, src), landing)
-    return spark.read.parquet(landing).select(*RAW_COLUMNS)
+    for _ in range(2):
+        land_raw(spark, src, landing)
+    return spark.read.parquet(landing).select("value")
+
+
+def _faulty_load(spark, sf_dir) -> str:
+    src, targets = scratch_path(spark, "faulty"), scratch_path(spark, "targets")
+    fixtures.faulty_lines(spark, sf_dir).write.text(src)
+    load_receipts(csv_source.read_receipts(spark, src), targets, spark)
+    return targets
+
+
+@register("reject_report")
+def reject_report(spark, sf_dir):
+    return load.reject_report(spark, _faulty_load(spark, sf_dir))
+
+
+@register("item_rejects")
+def item_rejects(spark, sf_dir):
+    rejects = read_target(spark, _faulty_load(spark, sf_dir), "item_rejects")
+    return rejects.groupBy("reason", "basket_item").agg(F.count_distinct("order_id").alias("n_orders"), F.sum("n").alias("n_items"))
 
 
 @register("sink_row_index")
@@ -361,7 +409,18 @@ def sink_row_index(spark, sf_dir):
 
 @register("conform_schema")
 def conform_schema(spark, sf_dir):
-    return conform(_norm(spark, sf_dir).products, "products")
+    """Columns of the four conformed tables in order: type, comment and values that are not null."""
+    out = []
+    for name, df in _tables(_norm(spark, sf_dir)).items():
+        fields = conform(df, name).schema.fields
+        row = conform(df, name).agg(*[F.count(f.name).alias(f.name) for f in fields])
+        entries = F.array(*[
+            F.struct(F.lit(i).alias("position"), F.lit(f.name).alias("column_name"), F.lit(f.dataType.simpleString()).alias("data_type"),
+                     F.lit(f.metadata.get("comment", "")).alias("comment"), F.col(f.name).alias("n_values"))
+            for i, f in enumerate(fields)
+        ])
+        out.append(row.select(F.lit(name).alias("table_name"), F.explode(entries).alias("f")).select("table_name", "f.*"))
+    return functools.reduce(DataFrame.unionByName, out)
 
 
 # --- names, JSON (C8, K7, K8, S3, S4) -------------------------------------------
@@ -375,15 +434,8 @@ def _url_parts(spark, sf_dir):
 
 @register("output_name")
 def output_name(spark, sf_dir):
-    p = _url_parts(spark, sf_dir)
-    tables = F.array(*[F.lit(t) for t in TABLE_SUFFIX])
-    rows = p.select("page_id", "object_key", F.explode(tables).alias("table_name"))
-    name = F.concat(flatten_key(F.col("object_key")), F.lit("_"), F.col("table_name"))
-    mapping = F.create_map(*[x for t, s in TABLE_SUFFIX.items() for x in (F.lit(t), F.lit(s + ".csv"))])
-    return rows.select(
-        "page_id", "table_name",
-        F.concat(flatten_key(F.col("object_key")), mapping[F.col("table_name")]).alias("output_name"),
-    )
+    names = F.array(*[F.struct(F.lit(t).alias("table_name"), output_name_of(F.col("object_key"), t).alias("output_name")) for t in TABLE_SUFFIX])
+    return _url_parts(spark, sf_dir).select("page_id", F.inline(names))
 
 
 @register("route_by_filename")
@@ -427,52 +479,68 @@ def metrics_lookback(spark, sf_dir):
 
 
 # --- data quality, lookups, previews (Q1-Q5, F2, L1, L2) ------------------------
-# The checks run on materialised tables, as they would after a load: the
-# receipts are normalised once, each table is checkpointed to the shared
-# checkpoint folder (lineage cut), and every check reads those.
+# The checks run on stored tables with seeded violations, each by the first
+# characters of an id, so that every check has something to find.
 
-def _loaded(spark, sf_dir) -> dict[str, DataFrame]:
-    ensure_checkpoint_dir(spark)
-    receipts = fixtures.receipts(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return {t: df.checkpoint(eager=True) for t, df in _tables(N.normalize(receipts)).items()}
-    finally:
-        receipts.unpersist()
+def _starts(column, prefix):
+    return F.col(column).startswith(prefix)
+
+
+def _seeded(spark, sf_dir, *names) -> dict[str, DataFrame]:
+    n = _norm(spark, sf_dir)
+    faulty = {
+        "stores": lambda: n.stores.where("store_name <> 'KENYA'"),
+        "orders": lambda: n.orders.withColumn("copy", F.explode(F.when(_starts("order_id", "00"), F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))))
+        .drop("copy")
+        .withColumn("payment_type", F.when(_starts("order_id", "2b"), "VOUCHER").when(~_starts("order_id", "1a"), F.col("payment_type"))),
+        "products": lambda: conform(n.products, "products")
+        .where(~_starts("product_id", "0"))
+        .withColumn("item_name", F.when(_starts("product_id", "2"), F.repeat("item_name", F.lit(50))).when(~_starts("product_id", "1"), F.col("item_name"))),
+        "orders_products": lambda: n.orders_products.where(~_starts("order_id", "4d")).withColumn(
+            "quantity", F.col("quantity") + F.when(_starts("order_id", "3c"), 1).otherwise(0)
+        ),
+    }
+    base = scratch_path(spark, "stored")
+    out = {}
+    for name in names:
+        faulty[name]().write.parquet(f"{base}/{name}")
+        out[name] = spark.read.parquet(f"{base}/{name}")
+    return out
 
 
 @register("dq_unique")
 def dq_unique(spark, sf_dir):
-    return quality.dq_unique(_loaded(spark, sf_dir))
+    return quality.dq_unique(_seeded(spark, sf_dir, *KEYS))
 
 
 @register("dq_foreign")
 def dq_foreign(spark, sf_dir):
-    return quality.dq_foreign(_loaded(spark, sf_dir))
+    return quality.dq_foreign(_seeded(spark, sf_dir, *KEYS))
 
 
 @register("dq_not_null")
 def dq_not_null(spark, sf_dir):
-    return quality.dq_not_null(_loaded(spark, sf_dir))
+    return quality.dq_not_null(_seeded(spark, sf_dir, *KEYS))
 
 
 @register("dq_length")
 def dq_length(spark, sf_dir):
-    return quality.dq_length(_loaded(spark, sf_dir), id_length=64)
+    return quality.dq_length(_seeded(spark, sf_dir, *KEYS), SHA256)
 
 
 @register("dq_quantity")
 def dq_quantity(spark, sf_dir):
-    n = _norm(spark, sf_dir)
-    valid = N.valid_items(n.items).withColumn(
-        "product_id", SHA256.product_id()
-    )
-    return quality.dq_quantity(valid, n.orders_products)
+    """The stored link table against a recount of the receipts' item rows."""
+    valid = N.valid_items(_norm(spark, sf_dir).items).withColumn("product_id", SHA256.product_id())
+    return quality.dq_quantity(valid, _seeded(spark, sf_dir, "orders_products")["orders_products"])
 
 
 @register("lookup_by_key")
 def lookup_by_key(spark, sf_dir):
-    n = _norm(spark, sf_dir)
-    return profile.lookup_by_key(n.orders_products, n.orders, conform(n.products, "products"))
+    base = scratch_path(spark, "targets")
+    load_receipts(fixtures.receipts(spark, sf_dir), base, spark)
+    t = load.targets(spark, base)
+    return profile.lookup_by_key(t["orders_products"], t["orders"], t["products"])
 
 
 @register("preview_limit")
@@ -487,10 +555,27 @@ def _stream_dirs(spark):
     return scratch_path(spark, "inbox"), scratch_path(spark, "targets"), scratch_path(spark, "stream-ckpt")
 
 
+#: Receipts before this come in a file that was last written a month before the others.
+LATE_BEFORE = "1993-01-01 00:00:00"
+MONTH_MS = 30 * 24 * 3600 * 1000
+
+
+def _age(spark, folder, by_ms):
+    """Set the files of a folder back in time."""
+    fs, p = file_system(spark, folder)
+    for s in fs.listStatus(p):
+        fs.setTimes(s.getPath(), s.getModificationTime() - by_ms, -1)
+
+
 @register("stream_ingest")
 def stream_ingest(spark, sf_dir):
+    """Two arrivals; the files of the second are a month older than those of the first."""
     inbox, targets, ckpt = _stream_dirs(spark)
-    csv_sink.write_csv(fixtures.receipts(spark, sf_dir), f"{inbox}/batch-0001")
+    late = F.col("timestamp") < F.lit(LATE_BEFORE).cast("timestamp_ntz")
+    csv_sink.write_csv(fixtures.receipts(spark, sf_dir).where(~late), f"{inbox}/new")
+    ingest.run_available(spark, f"{inbox}/*", targets, ckpt)
+    csv_sink.write_csv(fixtures.receipts(spark, sf_dir).where(late), f"{inbox}/late")
+    _age(spark, f"{inbox}/late", MONTH_MS)
     ingest.run_available(spark, f"{inbox}/*", targets, ckpt)
     return ingest.target(spark, targets, "orders_products")
 
@@ -512,9 +597,11 @@ def stream_upsert(spark, sf_dir):
 
 @register("stream_replay")
 def stream_replay(spark, sf_dir):
+    """Both files, then both again: the link rows, with the rows of each table beside them."""
     inbox, targets, ckpt = _stream_dirs(spark)
-    _write_file(spark, sf_dir, "receipts/file_a.csv", f"{inbox}/a")
-    ingest.run_available(spark, f"{inbox}/*", targets, ckpt)
-    _write_file(spark, sf_dir, "receipts/file_a.csv", f"{inbox}/a-again")
-    ingest.run_available(spark, f"{inbox}/*", targets, ckpt)
-    return ingest.target(spark, targets, "orders")
+    for again in ("", "-again"):
+        for path, name in zip(FILES, ("a", "b"), strict=True):
+            _write_file(spark, sf_dir, path, f"{inbox}/{name}{again}")
+            ingest.run_available(spark, f"{inbox}/*", targets, ckpt)
+    counts = [ingest.target(spark, targets, t).agg(F.count("*")).scalar().alias(f"n_{t}") for t in KEYS]
+    return ingest.target(spark, targets, "orders_products").select("order_id", "product_id", "quantity", *counts)

@@ -38,7 +38,7 @@ receipts AS (
          CASE WHEN o.o_orderpriority IN ('1-URGENT', '2-HIGH')
               THEN '5494' || lpad(CAST(o.o_custkey AS VARCHAR), 12, '0') END AS card_number
   FROM orders o
-  JOIN baskets b ON o.o_orderkey = b.l_orderkey
+  LEFT JOIN baskets b ON o.o_orderkey = b.l_orderkey
   JOIN customer c ON o.o_custkey = c.c_custkey
   JOIN nation n ON c.c_nationkey = n.n_nationkey
 ),
@@ -53,7 +53,7 @@ items AS (
   SELECT c.order_id, c.o_orderkey, c."timestamp", c.store_name, c.total_price, c.payment_type,
          i.basket_item, i.item, i.item_price, i.item_size, i.item_name,
          sha256(i.item_name || i.item_size || i.item_price) AS product_id
-  FROM clean c JOIN li_items i ON i.l_orderkey = c.o_orderkey
+  FROM clean c LEFT JOIN li_items i ON i.l_orderkey = c.o_orderkey
 ),
 t_stores AS (SELECT DISTINCT sha256(store_name) AS store_id, store_name FROM clean),
 t_orders AS (
@@ -61,15 +61,37 @@ t_orders AS (
 ),
 t_products AS (
   SELECT DISTINCT product_id, item_name, item_size, CAST(item_price AS DOUBLE) AS item_price FROM items
+  WHERE item_name IS NOT NULL
 ),
 t_orders_products AS (
-  SELECT order_id, product_id, CAST(count(*) AS INTEGER) AS quantity FROM items GROUP BY order_id, product_id
+  SELECT order_id, product_id, CAST(count(*) AS INTEGER) AS quantity FROM items
+  WHERE item_name IS NOT NULL GROUP BY order_id, product_id
+)
+"""
+
+
+# The stored tables that the checks run on: rows and values broken by the first characters of an id.
+_SEEDED = """
+s_stores AS (SELECT * FROM t_stores WHERE store_name <> 'KENYA'),
+s_orders AS (
+  SELECT order_id, "timestamp", store_id, total_price,
+         CASE WHEN order_id LIKE '2b%' THEN 'VOUCHER' WHEN order_id NOT LIKE '1a%' THEN payment_type END AS payment_type
+  FROM (SELECT * FROM t_orders UNION ALL SELECT * FROM t_orders WHERE order_id LIKE '00%')
+),
+s_products AS (
+  SELECT product_id, CASE WHEN product_id LIKE '2%' THEN repeat(item_name, 50) WHEN product_id NOT LIKE '1%' THEN item_name END AS item_name,
+         item_size, item_price
+  FROM t_products WHERE product_id NOT LIKE '0%'
+),
+s_orders_products AS (
+  SELECT order_id, product_id, CAST(quantity + CASE WHEN order_id LIKE '3c%' THEN 1 ELSE 0 END AS INTEGER) AS quantity
+  FROM t_orders_products WHERE order_id NOT LIKE '4d%'
 )
 """
 
 
 def _q(select: str, extra: str = "") -> str:
-    ctes = _BASE + (("," + extra) if extra else "")
+    ctes = _BASE + "," + _SEEDED + (("," + extra) if extra else "")
     return "WITH " + ctes.strip() + "\n" + select.strip()
 
 
@@ -113,7 +135,7 @@ FROM events
 """
 
 ORACLE_SQL["split_basket"] = _q(
-    "SELECT c.order_id, b.n_items, b.first_item, b.last_item FROM clean c JOIN baskets b ON b.l_orderkey = c.o_orderkey"
+    "SELECT c.order_id, coalesce(b.n_items, 0) AS n_items, b.first_item, b.last_item FROM clean c LEFT JOIN baskets b ON b.l_orderkey = c.o_orderkey"
 )
 ORACLE_SQL["explode_basket"] = _q("SELECT order_id, basket_item FROM items")
 ORACLE_SQL["split_item_price"] = _q("SELECT order_id, item, item_price FROM items")
@@ -165,14 +187,65 @@ ORACLE_SQL["first_arrival_wins"] = _q(
 ORACLE_SQL["scan_receipts_csv"] = ORACLE_SQL["project_rename_all"]
 ORACLE_SQL["staging_read_typed"] = ORACLE_SQL["norm_products"]
 ORACLE_SQL["sink_csv_roundtrip"] = ORACLE_SQL["norm_orders"]
+ORACLE_SQL["load_processed"] = ORACLE_SQL["norm_orders_products"]
+ORACLE_SQL["route_processed"] = _q(
+    "\nUNION ALL ".join(
+        f"SELECT 'receiptsall.csv{s}.csv' AS file_name, '{t}' AS table_name, count(*) AS n_rows FROM t_{t}"
+        for t, s in (("stores", "_stores"), ("orders", "_orders"), ("products", "_products"), ("orders_products", "_ordersproducts"))
+    )
+)
 ORACLE_SQL["raw_landing"] = _q(
-    "SELECT CAST(\"timestamp\" AS VARCHAR) AS \"timestamp\", store_name, customer_name, basket_items, "
-    "CAST(total_price AS VARCHAR) AS total_price, payment_type, card_number FROM receipts"
+    """
+SELECT concat_ws(',', CAST("timestamp" AS VARCHAR), store_name, customer_name,
+       CASE WHEN basket_items LIKE '%,%' THEN '"' || basket_items || '"' ELSE coalesce(basket_items, '') END,
+       CAST(total_price AS VARCHAR), payment_type, coalesce(card_number, '')) AS value
+FROM receipts
+"""
+)
+ORACLE_SQL["reject_report"] = _q(
+    """
+SELECT 'receipt_rejects' AS kind,
+       CASE o_orderkey % 7 WHEN 0 THEN 'total not a number' WHEN 1 THEN 'timestamp missing'
+            WHEN 2 THEN 'timestamp unparsed' ELSE 'wrong number of fields' END AS reason, count(*) AS n
+FROM receipts WHERE o_orderkey % 7 < 4 GROUP BY ALL
+UNION ALL
+SELECT 'item_rejects', unnest(['price not a number', 'no price', 'no size and name']), count(*)
+FROM receipts WHERE o_orderkey % 7 = 4 HAVING count(*) > 0
+"""
+)
+ORACLE_SQL["item_rejects"] = _q(
+    """
+SELECT r.reason, r.basket_item, count(*) AS n_orders, count(*) AS n_items
+FROM receipts, (VALUES ('price not a number', 'Large Tea - abc'), ('no price', 'Small Tea'), ('no size and name', 'Mocha - 2.3')) r(reason, basket_item)
+WHERE o_orderkey % 7 = 4 GROUP BY ALL
+"""
 )
 ORACLE_SQL["sink_row_index"] = _q(
     "SELECT row_number() OVER (ORDER BY \"timestamp\", order_id) - 1 AS row_index, order_id, \"timestamp\" FROM t_orders"
 )
-ORACLE_SQL["conform_schema"] = ORACLE_SQL["norm_products"]
+_COLUMNS = [
+    ("stores", "store_id", "string", "content hash of the store name"),
+    ("stores", "store_name", "string", ""),
+    ("orders", "order_id", "string", "content hash of the whole raw receipt row"),
+    ("orders", "timestamp", "timestamp_ntz", "receipt time, no zone"),
+    ("orders", "store_id", "string", ""),
+    ("orders", "total_price", "double", ""),
+    ("orders", "payment_type", "string", ""),
+    ("products", "product_id", "string", "content hash of name, size and price text"),
+    ("products", "item_name", "string", ""),
+    ("products", "item_size", "string", ""),
+    ("products", "item_price", "double", ""),
+    ("orders_products", "order_id", "string", ""),
+    ("orders_products", "product_id", "string", ""),
+    ("orders_products", "quantity", "int", "number of items per order and product"),
+]
+ORACLE_SQL["conform_schema"] = _q(
+    "\nUNION ALL ".join(
+        f"SELECT '{t}' AS table_name, {[c for u, c, _, _ in _COLUMNS if u == t].index(c)} AS position, '{c}' AS column_name, "
+        f"'{d}' AS data_type, '{m}' AS comment, count(\"{c}\") AS n_values FROM t_{t}"
+        for t, c, d, m in _COLUMNS
+    )
+)
 
 _URL_PARTS = """
 WITH parts AS (
@@ -203,14 +276,14 @@ SELECT page_id, bucket AS bucket_name, object_key, replace(object_key, '/', '')
 ORACLE_SQL["json_parse_struct"] = "SELECT event_id, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events"
 
 ORACLE_SQL["metrics_by_window"] = """
-SELECT date_trunc('hour', ts) AS window_start,
+SELECT date_trunc('hour', ts) AS window_start, event_type AS function_name,
        count(*) AS invocations,
        count(*) FILTER (WHERE event_type = 'error') AS errors,
-       CAST(sum(CAST(value AS DECIMAL(18, 2))) AS DOUBLE) / count(*) AS dur_avg,
-       CAST(sum(CAST(value AS DECIMAL(18, 2))) AS DOUBLE) AS dur_sum,
+       CAST(sum(CAST(value AS DECIMAL(30, 8))) AS DOUBLE) / count(*) AS dur_avg,
+       CAST(sum(CAST(value AS DECIMAL(30, 8))) AS DOUBLE) AS dur_sum,
        min(value) AS dur_min,
        max(value) AS dur_max
-FROM events GROUP BY 1
+FROM events GROUP BY 1, 2
 """
 ORACLE_SQL["metrics_lookback"] = """
 WITH h(horizon, hours) AS (VALUES ('24h', 24), ('2d', 48), ('7d', 168)),
@@ -218,8 +291,8 @@ latest AS (SELECT max(ts) AS m FROM events)
 SELECT h.horizon, e.event_type AS function_name,
        count(*) AS invocations,
        count(*) FILTER (WHERE e.event_type = 'error') AS errors,
-       CAST(sum(CAST(e.value AS DECIMAL(18, 2))) AS DOUBLE) / count(*) AS dur_avg,
-       CAST(sum(CAST(e.value AS DECIMAL(18, 2))) AS DOUBLE) AS dur_sum,
+       CAST(sum(CAST(e.value AS DECIMAL(30, 8))) AS DOUBLE) / count(*) AS dur_avg,
+       CAST(sum(CAST(e.value AS DECIMAL(30, 8))) AS DOUBLE) AS dur_sum,
        min(e.value) AS dur_min,
        max(e.value) AS dur_max
 FROM events e, h, latest
@@ -229,24 +302,24 @@ GROUP BY 1, 2
 
 ORACLE_SQL["dq_unique"] = _q(
     """
-SELECT 'stores' AS table_name, (SELECT count(*) FROM t_stores) AS n_rows,
-       (SELECT count(*) FROM (SELECT store_id FROM t_stores GROUP BY 1 HAVING count(*) > 1)) AS n_dup_keys
-UNION ALL SELECT 'orders', (SELECT count(*) FROM t_orders),
-       (SELECT count(*) FROM (SELECT order_id FROM t_orders GROUP BY 1 HAVING count(*) > 1))
-UNION ALL SELECT 'products', (SELECT count(*) FROM t_products),
-       (SELECT count(*) FROM (SELECT product_id FROM t_products GROUP BY 1 HAVING count(*) > 1))
-UNION ALL SELECT 'orders_products', (SELECT count(*) FROM t_orders_products),
-       (SELECT count(*) FROM (SELECT order_id, product_id FROM t_orders_products GROUP BY 1, 2 HAVING count(*) > 1))
+SELECT 'stores' AS table_name, (SELECT count(*) FROM s_stores) AS n_rows,
+       (SELECT count(*) FROM (SELECT store_id FROM s_stores GROUP BY 1 HAVING count(*) > 1)) AS n_dup_keys
+UNION ALL SELECT 'orders', (SELECT count(*) FROM s_orders),
+       (SELECT count(*) FROM (SELECT order_id FROM s_orders GROUP BY 1 HAVING count(*) > 1))
+UNION ALL SELECT 'products', (SELECT count(*) FROM s_products),
+       (SELECT count(*) FROM (SELECT product_id FROM s_products GROUP BY 1 HAVING count(*) > 1))
+UNION ALL SELECT 'orders_products', (SELECT count(*) FROM s_orders_products),
+       (SELECT count(*) FROM (SELECT order_id, product_id FROM s_orders_products GROUP BY 1, 2 HAVING count(*) > 1))
 """
 )
 ORACLE_SQL["dq_foreign"] = _q(
     """
 SELECT 'orders' AS child_table, 'stores' AS parent_table,
-       (SELECT count(*) FROM t_orders o WHERE NOT EXISTS (SELECT 1 FROM t_stores s WHERE s.store_id = o.store_id)) AS n_orphans
+       (SELECT count(*) FROM s_orders o WHERE NOT EXISTS (SELECT 1 FROM s_stores s WHERE s.store_id = o.store_id)) AS n_orphans
 UNION ALL SELECT 'orders_products', 'orders',
-       (SELECT count(*) FROM t_orders_products x WHERE NOT EXISTS (SELECT 1 FROM t_orders o WHERE o.order_id = x.order_id))
+       (SELECT count(*) FROM s_orders_products x WHERE NOT EXISTS (SELECT 1 FROM s_orders o WHERE o.order_id = x.order_id))
 UNION ALL SELECT 'orders_products', 'products',
-       (SELECT count(*) FROM t_orders_products x WHERE NOT EXISTS (SELECT 1 FROM t_products p WHERE p.product_id = x.product_id))
+       (SELECT count(*) FROM s_orders_products x WHERE NOT EXISTS (SELECT 1 FROM s_products p WHERE p.product_id = x.product_id))
 """
 )
 _NN = [
@@ -257,7 +330,7 @@ _NN = [
 ]
 ORACLE_SQL["dq_not_null"] = _q(
     "\nUNION ALL ".join(
-        f"SELECT '{t}' AS table_name, '{c}' AS column_name, count(*) FILTER (WHERE \"{c}\" IS NULL) AS n_nulls FROM t_{t}"
+        f"SELECT '{t}' AS table_name, '{c}' AS column_name, count(*) FILTER (WHERE \"{c}\" IS NULL) AS n_nulls FROM s_{t}"
         for t, cols in _NN
         for c in cols
     )
@@ -267,13 +340,16 @@ ORACLE_SQL["dq_length"] = _q(
     "\nUNION ALL ".join(
         f"SELECT '{t}' AS table_name, '{c}' AS column_name, "
         + (f"count(*) FILTER (WHERE length(\"{c}\") > {_LEN[c]})" if c in _LEN else "count(*) FILTER (WHERE false)")
-        + f" AS n_too_long FROM t_{t}"
+        + f" AS n_too_long FROM s_{t}"
         for t, cols in _NN
         for c in cols
     )
 )
 ORACLE_SQL["dq_quantity"] = _q(
-    "SELECT count(*) AS n_keys, CAST(0 AS BIGINT) AS n_mismatch FROM t_orders_products"
+    """
+SELECT count(*) AS n_keys, count(*) FILTER (WHERE s.quantity IS DISTINCT FROM t.quantity) AS n_mismatch
+FROM t_orders_products t FULL JOIN s_orders_products s ON s.order_id = t.order_id AND s.product_id = t.product_id
+"""
 )
 ORACLE_SQL["lookup_by_key"] = _q(
     """
@@ -290,4 +366,7 @@ ORACLE_SQL["preview_limit"] = _q(
 
 ORACLE_SQL["stream_ingest"] = ORACLE_SQL["norm_orders_products"]
 ORACLE_SQL["stream_upsert"] = ORACLE_SQL["norm_orders_products"]
-ORACLE_SQL["stream_replay"] = _q(f"SELECT * FROM t_orders WHERE {FILE_A}")
+ORACLE_SQL["stream_replay"] = _q(
+    "SELECT order_id, product_id, quantity, (SELECT count(*) FROM t_stores) AS n_stores, (SELECT count(*) FROM t_orders) AS n_orders, "
+    "(SELECT count(*) FROM t_products) AS n_products, (SELECT count(*) FROM t_orders_products) AS n_orders_products FROM t_orders_products"
+)

@@ -26,6 +26,10 @@ PII_COLUMNS = ["customer_name", "card_number"]
 # the NA spellings, the timestamp formats and bad numbers are handled in one place.
 RAW_TEXT = T.StructType([T.StructField(c, T.StringType(), True) for c in RAW_COLUMNS])
 
+# Text of a row that does not have exactly these fields (null for all others).
+RECORD = "_record"
+RAW_READ = T.StructType([*RAW_TEXT.fields, T.StructField(RECORD, T.StringType(), True)])
+
 # Raw receipt after typing (what the fixture view and the cleaner produce).
 RAW_TYPED = T.StructType(
     [
@@ -83,6 +87,28 @@ ORDERS_PRODUCTS = T.StructType(
     ]
 )
 
+# What a load turns away: receipts and items, with the reason and how often it occurs in a file.
+RECEIPT_REJECTS = T.StructType(
+    [
+        T.StructField("reject_id", T.StringType(), False),
+        T.StructField("reason", T.StringType(), False),
+        T.StructField("record", T.StringType(), True),
+        T.StructField("file_path", T.StringType(), True),
+        T.StructField("n", T.LongType(), False),
+    ]
+)
+ITEM_REJECTS = T.StructType(
+    [
+        T.StructField("reject_id", T.StringType(), False),
+        T.StructField("reason", T.StringType(), False),
+        T.StructField("order_id", T.StringType(), False),
+        T.StructField("basket_item", T.StringType(), True),
+        T.StructField("file_path", T.StringType(), True),
+        T.StructField("n", T.LongType(), False),
+    ]
+)
+REJECTS = {"receipt_rejects": RECEIPT_REJECTS, "item_rejects": ITEM_REJECTS}
+
 TABLES = {
     "stores": STORES,
     "orders": ORDERS,

@@ -1,42 +1,40 @@
-"""Session defaults and the shared scratch location.
+"""Session and the shared scratch location.
+
+The launcher rules: ``get_session`` sets neither master, shuffle partitions nor
+memory unless its caller passes them (``bench.py`` and the tests do).
 
 Scratch output (CSV round trips, streaming checkpoints, target tables built by
-a registered query) always lives under the folder the cluster names in
-``spark.checkpoint.dir``. Only when that is unset (local tests) do we create one.
+a registered query) lives under the folder the cluster names in
+``spark.checkpoint.dir`` and is deleted when the session's JVM ends. Only on a
+local master, and only when that setting is missing, a local folder is made.
 """
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
+_scratch: dict[str, str] = {}
+
 
-def get_session(master: str | None = None, app: str = "tillflow", shuffle_partitions: int | None = None) -> SparkSession:
-    """Session with AQE on. Cluster deployments pass their own master and sizes."""
-    cpus = os.environ.get("BENCH_CPUS", "8")
-    builder = (
-        SparkSession.builder.master(master or f"local[{cpus}]")
-        .appName(app)
-        .config("spark.ui.enabled", "false")
-        .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions or int(cpus)))
-        .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config("spark.driver.memory", os.environ.get("TILLFLOW_DRIVER_MEMORY", "16g"))
-    )
+def get_session(master: str | None = None, app: str | None = None, **conf: str) -> SparkSession:
+    """The session of the launcher, with only what is passed here set on top."""
+    builder = SparkSession.builder
+    if master:
+        builder = builder.master(master)
+    if app:
+        builder = builder.appName(app)
+    for k, v in conf.items():
+        builder = builder.config(k, v)
     spark = builder.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
     return spark
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder; set a local one only if none is configured."""
+    """The shared checkpoint folder; a local one is made only for a local master without one."""
     sc = spark.sparkContext
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base:
@@ -46,12 +44,33 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     base = tempfile.mkdtemp(prefix="tillflow-ckpt-")
     sc.setCheckpointDir(base)
+    _delete_on_exit(spark, base)
     return base
 
 
+def _delete_on_exit(spark: SparkSession, path: str) -> None:
+    """Have the file system delete an existing folder when the session's JVM ends."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(p)
+
+
+def file_system(spark: SparkSession, path: str):
+    """The file system of ``path`` and the path as it knows it."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, never reused folder under the shared checkpoint location."""
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/tillflow-scratch/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh, never reused folder under the shared checkpoint location; it goes with the session."""
+    app = spark.sparkContext.applicationId
+    if app not in _scratch:
+        root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tillflow-scratch-{uuid.uuid4().hex}"
+        fs, p = file_system(spark, root)
+        fs.mkdirs(p)
+        fs.deleteOnExit(p)
+        _scratch[app] = root
+    return f"{_scratch[app]}/{name}-{uuid.uuid4().hex[:12]}"

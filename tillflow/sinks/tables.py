@@ -3,27 +3,40 @@
 Targets are parquet folders. A load appends only the rows whose key is absent
 (``operators.upsert``), in the order stores, products, orders, orders_products
 so every foreign key holds at each commit. Each append is one Spark job with
-the file commit protocol, so a failed task or lost executor never leaves a
-half-written load, and a retried load adds nothing twice (the anti join sees
-the rows that made it).
+the file commit protocol, so a failed task or a lost executor leaves no partial
+table; the four tables are four commits, and a load that stopped between two is
+completed by running it again, which adds nothing twice.
+
+One writer at a time is assumed: two loads that run at once on one folder can
+both find a key absent. A table format with commits would lift that.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
+from pyspark.sql import types as T
 
 from tillflow.operators.upsert import insert_if_absent
-from tillflow.schemas import KEYS, LOAD_ORDER, PARTITION_COLUMN, TABLES
+from tillflow.schemas import KEYS, LOAD_ORDER, PARTITION_COLUMN, REJECTS, TABLES
+from tillflow.session import file_system
+
+#: Rows of one written file, about, and files of a partition from which ``compact`` rewrites it.
+ROWS_PER_FILE = 1_000_000
+COMPACT_FROM = 8
+#: Staged keys up to this many are broadcast to reduce the target before the anti join (64-byte keys: 64 MB).
+BROADCAST_KEYS = 500_000
 
 
 def conform(df: DataFrame, table: str, keep_partition: bool = False) -> DataFrame:
     """Column order, types and comments of the target (K6, P10).
 
-    ``try_cast`` turns a value that does not fit into null, which the not-null
-    check then reports, instead of failing the whole batch.
+    Values that do not fit have been rejected before (``normalize.valid_items``,
+    ``clean.type_receipts``); one that still arrives becomes null, which the
+    not-null check reports, instead of failing the whole batch.
     """
     cols = []
     for f in TABLES[table].fields:
@@ -37,100 +50,149 @@ def conform(df: DataFrame, table: str, keep_partition: bool = False) -> DataFram
     return df.select(*cols)
 
 
-def _stored_schema(table: str):
-    from pyspark.sql import types as T
-
-    schema = TABLES[table]
+def _stored_schema(table: str) -> T.StructType:
+    schema = (TABLES | REJECTS)[table]
     if table in PARTITION_COLUMN:
         schema = T.StructType(schema.fields + [T.StructField(PARTITION_COLUMN[table], T.DateType(), True)])
     return schema
 
 
-def read_target(spark: SparkSession, base: str, table: str) -> DataFrame:
-    """A target as stored (month-partitioned tables include ``order_month``); empty if absent."""
-    path = f"{base.rstrip('/')}/{table}"
-    try:
-        return spark.read.schema(_stored_schema(table)).parquet(path)
-    except AnalysisException:
-        return spark.createDataFrame([], _stored_schema(table))
+def _exists(spark: SparkSession, path: str) -> bool:
+    fs, p = file_system(spark, path)
+    return fs.exists(p)
 
 
-# A batch spanning more months than this (a backfill) is range-partitioned by
-# (month, key) before writing, so each task writes few month folders; the key
-# in the range splits a hot month across tasks.
-BACKFILL_MONTHS = 4
+def month_folders(spark: SparkSession, root: str, part: str, months: list) -> list[str]:
+    """The folders of these months that exist; others are not looked at."""
+    named = [f"{root}/{part}={m.isoformat() if m else '__HIVE_DEFAULT_PARTITION__'}" for m in months]
+    return [p for p in named if _exists(spark, p)]
 
 
-def new_rows(staging: DataFrame, spark: SparkSession, base: str, table: str, months: list | None = None) -> DataFrame:
-    """Rows of one load that are not in the target yet.
+def read_target(spark: SparkSession, base: str, table: str, months: list | None = None) -> DataFrame:
+    """A target as stored (month-partitioned tables include ``order_month``); empty if there is none yet.
 
-    For a month-partitioned target only the partitions of the batch's months
-    are read (a partition filter on the scan), so a load costs what its batch
-    touches, not the size of the warehouse. The month list is one small
-    distinct query: bounded by the calendar, not by the data.
+    With ``months`` only their folders are listed and read, so the cost does
+    not grow with the months that a load does not touch.
     """
-    target = read_target(spark, base, table)
-    part = PARTITION_COLUMN.get(table)
-    if part:
-        if months is None:
-            months = batch_months(staging, table)
-        target = target.filter(F.col(part).isin(months))
-    return insert_if_absent(staging, target.select(*KEYS[table]), KEYS[table])
+    root, part = f"{base.rstrip('/')}/{table}", PARTITION_COLUMN.get(table)
+    reader = spark.read.schema(_stored_schema(table))
+    if part and months is not None:
+        paths = month_folders(spark, root, part, months)
+        if paths:
+            return reader.option("basePath", root).parquet(*paths)
+    elif _exists(spark, root):
+        return reader.parquet(root)
+    return spark.createDataFrame([], _stored_schema(table))
 
 
 def batch_months(staging: DataFrame, table: str) -> list:
+    """The months of a batch: bounded by the calendar, not by the data."""
     return [r[0] for r in staging.select(PARTITION_COLUMN[table]).distinct().collect()]
 
 
-def load_if_absent(tables: dict[str, DataFrame], base: str, spark: SparkSession, months: list | None = None) -> None:
-    """Insert-if-absent of each table into its target folder (K4, K5).
+def new_rows(staging: DataFrame, spark: SparkSession, base: str, table: str, months: list | None = None) -> DataFrame:
+    """Rows of one load that are not in the target yet.
+
+    Of a month-partitioned target only the batch's months are read. If the
+    batch has few keys (counted), the target's keys are first reduced to those
+    by a broadcast semi join, so that only they are shuffled for the anti join;
+    a larger batch goes straight to the sort-merge anti join.
+    """
+    keys = KEYS.get(table, ["reject_id"])
+    if months is None and table in PARTITION_COLUMN:
+        months = batch_months(staging, table)
+    target = read_target(spark, base, table, months).select(*keys)
+    staged = staging.select(*keys).distinct()
+    if staged.count() <= BROADCAST_KEYS:
+        target = target.join(F.broadcast(staged), keys, "left_semi")
+    return insert_if_absent(staging, target, keys)
+
+
+def _append(rows: DataFrame, base: str, table: str) -> int:
+    """Write the rows in files of about ``ROWS_PER_FILE``; nothing is written if there are none."""
+    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        n = rows.count()
+        if n:
+            part = PARTITION_COLUMN.get(table)
+            order = [*([part] if part else []), *KEYS.get(table, ["reject_id"])]
+            files = -(-n // ROWS_PER_FILE)
+            writer = rows.repartitionByRange(files, *order).write.mode("append")
+            (writer.partitionBy(part) if part else writer).parquet(f"{base.rstrip('/')}/{table}")
+        return n
+    finally:
+        rows.unpersist()
+
+
+def load_if_absent(tables: dict[str, DataFrame], base: str, spark: SparkSession, months: list | None = None) -> dict[str, int]:
+    """Insert-if-absent of each table into its target folder (K4, K5); rows added by table.
 
     Fact tables must carry ``order_month`` (``Normalized.dated``). ``months``
     may be given (a superset is fine: it only widens the partitions read);
     otherwise it is taken from each staging table.
     """
-    for name in LOAD_ORDER:
+    added = {}
+    for name in (*LOAD_ORDER, *REJECTS):
         if name not in tables:
             continue
-        staging = conform(tables[name], name, keep_partition=True)
-        part = PARTITION_COLUMN.get(name)
-        backfill = False
-        if part:
-            if months is None:
-                # used three times (month list, range sample, write): computed once
-                staging = staging.persist(StorageLevel.MEMORY_AND_DISK)
-                table_months = batch_months(staging, name)
-            else:
-                table_months = months
-            backfill = len(table_months) > BACKFILL_MONTHS
-            if backfill and months is not None:
-                staging = staging.persist(StorageLevel.MEMORY_AND_DISK)
+        staging = tables[name] if name in REJECTS else conform(tables[name], name, keep_partition=True)
+        staging = staging.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            rows = new_rows(staging, spark, base, name, table_months if part else None)
-            if backfill:
-                rows = rows.repartitionByRange(part, *KEYS[name])
-            writer = rows.write.mode("append")
-            if part:
-                writer = writer.partitionBy(part)
-            writer.parquet(f"{base.rstrip('/')}/{name}")
+            added[name] = _append(new_rows(staging, spark, base, name, months), base, name)
         finally:
-            if staging.storageLevel.useMemory or staging.storageLevel.useDisk:
-                staging.unpersist()
+            staging.unpersist()
+    return added
 
 
-def append_rows(df: DataFrame, base: str, table: str) -> None:
-    """Blind append, no key check (K2)."""
-    conform(df, table).write.mode("append").parquet(f"{base.rstrip('/')}/{table}")
+def append_rows(df: DataFrame, base: str, table: str) -> int:
+    """Blind append, no key check (K2); fact tables must carry ``order_month``."""
+    return _append(conform(df, table, keep_partition=True), base, table)
 
 
-def land_raw(raw_text: DataFrame, path: str) -> None:
-    """Keep every raw row unchanged, with its source file, before any transform (K9).
+def compact(spark: SparkSession, base: str, table: str) -> int:
+    """Rewrite the folders of a target that hold many small files; returns how many were rewritten.
 
-    Partitioned by landing day so later reads prune by date.
+    Maintenance, while no load runs. A folder is first copied next to the
+    target in files of ``ROWS_PER_FILE`` rows, then the copy replaces it; until
+    that is done the copy stays, so a stop in between loses nothing.
+    """
+    root, part = f"{base.rstrip('/')}/{table}", PARTITION_COLUMN.get(table)
+    fs, p = file_system(spark, root)
+    if not fs.exists(p):
+        return 0
+    folders = [s.getPath().toString() for s in fs.listStatus(p) if s.isDirectory()] if part else [root]
+    done = 0
+    for folder in folders:
+        status = fs.listStatus(file_system(spark, folder)[1])
+        files = [s for s in status if s.isFile() and not s.getPath().getName().startswith(("_", "."))]
+        if len(files) < COMPACT_FROM:
+            continue
+        rows = spark.read.schema((TABLES | REJECTS)[table]).parquet(folder)
+        copy = f"{base.rstrip('/')}/_compact-{table}-{uuid.uuid4().hex}"
+        rows.repartitionByRange(-(-max(rows.count(), 1) // ROWS_PER_FILE), *KEYS.get(table, ["reject_id"])).write.parquet(copy)
+        old, new = file_system(spark, folder)[1], file_system(spark, copy)[1]
+        fs.delete(old, True)
+        if not fs.rename(new, old):
+            raise OSError(f"{copy} holds the rows of {folder} and could not take its place")
+        done += 1
+    return done
+
+
+def land_raw(spark: SparkSession, source: str, landing: str) -> None:
+    """Keep every line of the files under ``source`` as it is, before any transform (K9).
+
+    One partition for each file (a digest of its path), below the day the file
+    was written (UTC). A file that is landed again replaces its own partition.
     """
+    lines = spark.read.text(source).select(
+        "value",
+        F.col("_metadata.file_path").alias("file_path"),
+        F.date_from_unix_date(F.floor(F.unix_seconds("_metadata.file_modification_time") / 86400).cast("int")).alias("landing_date"),
+    )
     (
-        raw_text.withColumn("landing_date", F.to_date(F.col("file_time")))
-        .write.mode("append")
-        .partitionBy("landing_date")
-        .parquet(path)
+        lines.withColumn("file_key", F.sha2("file_path", 256))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("landing_date", "file_key")
+        .parquet(landing)
     )
