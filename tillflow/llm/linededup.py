@@ -8,7 +8,8 @@ several lines is a single line. Chunks that occur again anywhere are removed
 but for their first occurrence, after their bytes have been compared.
 
 What is shuffled for all chunks is a digest and a position. Texts are shuffled
-twice: to cut out the chunks whose digest repeats, and to apply the decisions.
+once, to apply the decisions; before that only the text of chunks whose digest
+may repeat, by a bitmap of fixed size, is sent to be compared.
 """
 
 from __future__ import annotations
@@ -23,6 +24,9 @@ WINDOW, FACTOR, DIVISOR = 3, 31, 2
 #: A chunk must have so many lines that are not blank to be removed.
 MIN_LINES = 2
 
+#: Bits of the bitmap of repeated digests (8 MB in 2048 rows).
+BITS = 1 << 26
+
 _ROW = ["_doc", "_hash", "_size"]
 
 
@@ -79,12 +83,26 @@ def _several(lines: Column) -> Column:
     return F.size(F.filter(lines, lambda x: F.trim(x) != "")) >= MIN_LINES
 
 
-def _occurrences(docs: DataFrame) -> DataFrame:
-    """Row key, position and digest of each chunk of several lines; no text."""
-    told = F.transform(chunks(F.col("text")), lambda c: F.when(_several(c), F.unhex(F.md5(_joined(c).cast("binary")))))
-    return (
-        docs.where(F.instr("text", "\n") > 0).select(*_row_key(), F.posexplode(told).alias("pos", "digest")).where("digest IS NOT NULL")
-    )
+def _occurrences(docs: DataFrame, *more) -> DataFrame:
+    """Row key, position and digest of each chunk of several lines, and what ``more`` makes of its lines."""
+    digest = lambda c: F.when(_several(c), F.unhex(F.md5(_joined(c).cast("binary")))).alias("digest")
+    told = F.transform(chunks(F.col("text")), lambda c: F.struct(digest(c), *[f(c) for f in more]))
+    found = docs.where(F.instr("text", "\n") > 0).select(*_row_key(), F.posexplode(told).alias("pos", "told"))
+    return found.select(*_ROW, "pos", "told.*").where("digest IS NOT NULL")
+
+
+def _bit(digest: Column) -> Column:
+    return F.pmod(F.xxhash64(digest), F.lit(BITS))
+
+
+def _maybe_in(rows: DataFrame, digests: DataFrame) -> DataFrame:
+    """The rows whose digest may be among ``digests``: a bitmap of ``BITS`` bits, whatever their number, is broadcast."""
+    bit = _bit(F.col("digest"))
+    maps = digests.groupBy(F.bitmap_bucket_number(bit).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("map"))
+    at = F.bitmap_bit_position(bit)
+    byte = F.conv(F.hex(F.substring("map", F.shiftright(at, 3).cast("int") + 1, F.lit(1))), 16, 10).cast("long")
+    hit = F.getbit(byte, (at % 8).cast("int")) == 1
+    return rows.withColumn("bucket", F.bitmap_bucket_number(bit)).join(F.broadcast(maps), "bucket").where(hit).drop("bucket", "map")
 
 
 def repeated_chunks(docs: DataFrame) -> DataFrame:
@@ -93,18 +111,12 @@ def repeated_chunks(docs: DataFrame) -> DataFrame:
     The first occurrence, by doc_id (nulls last), text hash and position, stays.
     """
     here = F.struct(F.col("_doc").isNull().alias("null"), "_doc", "_hash", "_size", "pos")
-    seen = _occurrences(docs)
-    first = seen.groupBy("digest").agg(F.min(here).alias("first"), F.max(here).alias("last")).where("first <> last").select("digest", "first")
-    again = seen.join(first, "digest").withColumn("is_first", here == F.col("first")).select(*_ROW, "pos", "digest", "is_first")
-    wanted = again.groupBy(*_ROW).agg(F.collect_set(F.struct("pos", "digest", "is_first")).alias("wanted"))
-
-    texts = _with_row(docs.select(*_row_key(), "text"), wanted, "inner").dropDuplicates(_ROW)
-    candidates = durable(
-        texts.select(*_ROW, chunks(F.col("text")).alias("chunks"), F.explode("wanted").alias("w")).select(
-            *_ROW, "w.*", _joined(F.element_at("chunks", F.col("w.pos") + 1)).alias("chunk")
-        )
-    )
-    model = candidates.where("is_first").select("digest", F.col("chunk").alias("model"))
+    seen = _occurrences(docs).groupBy("digest").agg(F.min(here).alias("first"), F.max(here).alias("last"))
+    first = durable(seen.where("first <> last").select("digest", "first"))
+
+    texts = _maybe_in(_occurrences(docs, lambda c: _joined(c).alias("chunk")), first)
+    candidates = durable(texts.join(first, "digest").select(*_ROW, "pos", "digest", "chunk", (here == F.col("first")).alias("is_first")))
+    model = candidates.where("is_first").groupBy("digest").agg(F.min("chunk").alias("model"))
     same = candidates.where("NOT is_first").join(model, "digest").where(F.col("chunk") == F.col("model"))
     return same.groupBy(*_ROW).agg(F.collect_set("pos").alias("gone"))
 
