@@ -17,6 +17,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tillflow.llm.common import durable
+
 #: Greatest distance, in code points, between the starts of two parts of one credential.
 SCOPE = 400
 
@@ -143,7 +145,7 @@ def scan(docs: DataFrame) -> DataFrame:
     or empty text has none (zeros and empty strings). Rows that share a doc_id
     are judged each by its text, null ids as well; other columns are ignored.
     """
-    found = apart(parts(docs))
+    found = durable(apart(parts(docs)))
     all_ = found.where("strong").unionByName(linked(found))
     said = F.concat_ws(":", "kind", F.col("start").cast("string"), F.col("end").cast("string"))
     listed = lambda only: F.array_join(F.transform(F.sort_array(F.collect_list(F.when(only, F.struct("start", "order", "end", said.alias("said"))))), lambda s: s["said"]), ",")
