@@ -25,5 +25,6 @@ ORACLE_SQL: dict[str, str] = {
     "op1_near_duplicates": minhash.ORACLE,
     "op3_secrets": secrets.oracle(),
     "op6_line_dedup": linededup.ORACLE,
+    "op9_url_filter": urlfilter.oracle(),
     "op10_chat_format": chat.ORACLE,
 }

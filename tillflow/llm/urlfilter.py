@@ -187,4 +187,80 @@ def judge(pages: DataFrame, labels: DataFrame | None = None, rules: Sequence[tup
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdict on the url of every page; templates learn from the pages that the rules decide."""
-    return judge(table(spark, sf_dir, "pages").select("page_id", "url"))
+    return judge(table(spark, sf_dir, "pages").select("page_id", "url")).drop("url")
+
+
+def oracle() -> str:
+    """The same judgement in DuckDB, one group of subqueries for each level and step."""
+    rule = " ".join(
+        f"WHEN (host = '{r[: r.index('/')]}' OR host LIKE '%.{r[: r.index('/')]}') AND starts_with(path, '{r[r.index('/') :]}') THEN '{r}'"
+        for _, r in sorted(RULES, key=lambda r: -len(r[1]))
+    )
+    verdict = " ".join(f"WHEN '{r}' THEN '{v}'" for v, r in RULES)
+    parts = [
+        """rests AS (SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages)""",
+        """hosts AS (SELECT page_id, rest, regexp_extract(rest, '^[^/?#]*') AS h FROM rests)""",
+        f"""parsed AS (SELECT page_id, translate(h, '{_UPPER}', '{_LOWER}') AS host, regexp_extract(substr(rest, length(h) + 1), '^[^?#]*') AS path FROM hosts)""",
+        f"""ruled AS (SELECT *, CASE {rule} END AS rule FROM parsed)""",
+        f"""cut AS (SELECT *, CASE rule {verdict} END AS ruling,
+          list_transform(list_filter(string_split(path, '/'), lambda s: s <> ''), lambda s: regexp_replace(s, '[0-9]+', '#', 'g')) AS s FROM ruled)""",
+        f"""shaped AS MATERIALIZED (SELECT * EXCLUDE (s), CASE WHEN len(s) > {LEVELS} THEN list_append(s[1:{LEVELS - 1}], array_to_string(s[{LEVELS}:], '/')) ELSE s END AS segments FROM cut)""",
+        """tree AS MATERIALIZED (SELECT host, array_to_string(segments, '/') AS shape, segments, count(*) AS n, count(ruling) AS labelled,
+          count(*) FILTER (ruling = 'allow') AS good FROM shaped GROUP BY host, segments)""",
+    ]
+    tree = "tree"
+
+    def level(d: int, name: str, found: list[str], by: str) -> None:
+        nonlocal tree
+        parts.append(
+            f"""{name}h AS MATERIALIZED (SELECT *, array_to_string(segments[1:{d}], '/') AS above, segments[{d + 1}] AS here,
+              array_to_string(segments[{d + 2}:], '/') AS below FROM {tree})"""
+        )
+        parts.extend(found)
+        parts.append(
+            f"""{name} AS MATERIALIZED (SELECT host, shape, CASE WHEN {by} IS NULL THEN segments
+              ELSE list_concat(list_append(segments[1:{d}], {by}), segments[{d + 2}:]) END AS segments, n, labelled, good
+              FROM {name}h LEFT JOIN {name}f USING (host, above, here))"""
+        )
+        tree = name
+
+    for d in range(LEVELS):
+        g = f"g{d}"
+        level(
+            d,
+            g,
+            [
+                f"{g}k AS MATERIALIZED (SELECT host, above, here, sum(n) AS k FROM {g}h WHERE here IS NOT NULL GROUP BY ALL)",
+                f"""{g}n AS (SELECT host, above, sum(k) AS r FROM {g}k GROUP BY ALL
+                  HAVING count(*) > {KINDS} AND count(*) > {SHARE} * sum(k))""",
+                f"{g}f AS (SELECT host, above, here, '*' AS name FROM {g}k JOIN {g}n USING (host, above) WHERE k < {FREQUENT} * r)",
+            ],
+            "name",
+        )
+    bound = math.sqrt(0.5 * math.log(2 / ALPHA))
+    for d in reversed(range(LEVELS)):
+        m = f"m{d}"
+        level(
+            d,
+            m,
+            [
+                f"{m}b AS (SELECT host, above, here, below, sum(labelled) AS l, sum(good) AS g FROM {m}h WHERE here IS NOT NULL GROUP BY ALL)",
+                f"""{m}s AS MATERIALIZED (SELECT host, above, here, string_agg(below, chr(1) ORDER BY below) AS sign, sum(l) AS l, sum(g) AS g,
+                  sum(l) > 0 AS known FROM {m}b GROUP BY ALL)""",
+                f"""{m}p AS (SELECT host, above, sign, known, sum(l) AS al, sum(g) AS ag, min(here) AS first FROM {m}s GROUP BY ALL HAVING count(*) > 1)""",
+                f"""{m}f AS (SELECT host, above, here, '{{' || first || CASE WHEN known THEN '}}' ELSE '?}}' END AS name
+                  FROM {m}s JOIN {m}p USING (host, above, sign, known)
+                  WHERE NOT known OR abs(g / l - ag / al) < {bound!r} * (1 / sqrt(l) + 1 / sqrt(al)))""",
+            ],
+            "name",
+        )
+    parts.append(f"named AS MATERIALIZED (SELECT host, shape, array_to_string(segments, '/') AS template, labelled, good FROM {tree})")
+    parts.append(f"pure AS (SELECT host, template, (sum(good) + {WEIGHT * PRIOR!r}) / (sum(labelled) + {WEIGHT!r}) AS purity FROM named GROUP BY ALL)")
+    return (
+        "WITH "
+        + ",\n".join(parts)
+        + f"""
+SELECT page_id, s.host, path, rule, n.template, purity,
+  coalesce(ruling, CASE WHEN purity < {REJECT} THEN 'block' ELSE 'allow' END) AS verdict
+FROM shaped s JOIN named n ON n.host = s.host AND n.shape = array_to_string(s.segments, '/') JOIN pure p ON p.host = n.host AND p.template = n.template"""
+    )
