@@ -12,21 +12,26 @@ full shingle sets is high enough. No pair of a large group is made just
 because both are in it:
 
 1. Documents with equal sets are one class from the start.
-2. In each bucket, the classes are compared with one pivot, the one that shares
+2. In each bucket, every class is compared with one pivot, the one that shares
    most buckets with others, so a group of near copies meets its common origin.
 3. Buckets whose members all are in one component by then are done. In the
-   others this is repeated once, and then every pair of classes of different
-   components that share a bucket is compared, so that no link is lost.
+   others, classes outside the largest component are held against all others,
+   but only where a link is still possible: what two classes share with the same
+   pivot bounds what they can share with each other. That is a range join on
+   the overlap with the pivot, sharpened by 64-bit masks of the differences.
+
+So no link is lost, and a large group of loosely similar texts makes few pairs.
 """
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillflow.llm.common import durable
@@ -39,8 +44,8 @@ COORDINATES = BANDS * ROWS
 UNIVERSE = 1 << 20
 #: Words of a shingle, and the least similarity of a link in percent.
 WORDS, PERCENT = 5, 80
-#: Pivot rounds before the buckets that still hold several components are compared in full.
-PIVOT_ROUNDS = 2
+#: Cells that the overlaps with a pivot are cut into, for the range join.
+CELLS = 16
 #: Shingles folded into a signature at once.
 BLOCK = 1024
 
@@ -149,60 +154,107 @@ def shingle_sets(docs: DataFrame, words: int) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "id long, hashes array<long>")
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets are similar enough, once each."""
+def _mask(hashes: Column) -> Column:
+    """64 bits: which remainders modulo 64 the hashes have."""
+    one = F.lit(1).cast("long")
+    bit = lambda h: F.call_function("shiftleft", one, F.pmod(h, F.lit(64)).cast("int"))
+    return F.aggregate(hashes, F.lit(0).cast("long"), lambda m, h: m.bitwiseOR(bit(h)))
+
+
+def overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b), once each, with the sizes n and m of their full sets, that of the
+    intersection, ``common``, and masks of what only the one and only the other has."""
     left = sets.select(F.col("id").alias("a"), F.col("hashes").alias("left"))
     right = sets.select(F.col("id").alias("b"), F.col("hashes").alias("right"))
-    common = F.size(F.array_intersect("left", "right"))
-    return (
-        pairs.join(left, "a")
-        .join(right, "b")
-        .select("a", "b", common.alias("common"), (F.size("left") + F.size("right") - common).alias("all"))
-        .where(100 * F.col("common").cast("long") >= percent * F.col("all").cast("long"))
-        .select("a", "b")
-        .distinct()
-    )
+    both = pairs.join(left, "a").join(right, "b").withColumn("both", F.array_intersect("left", "right"))
+    sizes = [F.size(c).cast("long").alias(x) for c, x in (("left", "n"), ("right", "m"), ("both", "common"))]
+    masks = [_mask(F.array_except(c, "both")).alias(x) for c, x in (("left", "only_a"), ("right", "only_b"))]
+    return both.select("a", "b", *sizes, *masks).distinct()
 
 
-def _alike_in_size(x: str, y: str, percent: int) -> F.Column:
-    return 100 * F.least(x, y) >= percent * F.greatest(x, y)
+def _linked(common, total, percent: int) -> Column:
+    """Jaccard similarity from the intersection and the sum of both sizes."""
+    return 100 * common >= percent * (total - common)
 
 
-def _open_buckets(shared: DataFrame, links: DataFrame) -> DataFrame:
-    """Members (key, rep, n, comp) of the buckets that hold more than one component."""
-    comp = components(links)
-    named = shared.join(comp.withColumnRenamed("node", "rep"), "rep", "left").select(
-        "key", "rep", "n", F.coalesce("component", "rep").alias("comp")
-    )
-    mixed = named.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("key")
-    return named.join(mixed, "key")
+def _pivots(shared: DataFrame) -> DataFrame:
+    """(key, pivot, weight): the member with most bucket mates over all buckets; the least of several."""
+    sizes = shared.groupBy("key").agg(F.count("*").alias("mates"))
+    weight = shared.join(sizes, "key").groupBy("rep").agg(F.sum("mates").alias("weight"))
+    best = F.max_by(F.struct(F.col("rep").alias("pivot"), "weight"), F.struct("weight", -F.col("rep")))
+    return shared.join(weight, "rep").groupBy("key").agg(best.alias("best")).select("key", "best.*")
 
 
-def _pivot_pairs(members: DataFrame, percent: int) -> DataFrame:
-    """Each bucket's members with its pivot: the one with most bucket mates over all buckets."""
-    sizes = members.groupBy("key").agg(F.count("*").alias("mates"))
-    weight = members.join(sizes, "key").groupBy("rep", "n").agg(F.sum("mates").alias("weight"))
-    best = (
-        members.join(weight.select("rep", "weight"), "rep")
+def _open(shared: DataFrame, pivots: DataFrame, seen: DataFrame, percent: int) -> DataFrame:
+    """Members (key, rep, n, comp, most, ref, and near and far) of the buckets that hold more than one component.
+
+    ``most`` is the component with most members and ``ref`` the weightiest
+    pivot of all the member's buckets. ``near`` (for the bucket's pivot) and
+    ``far`` (for ref) hold the overlap p with that class, and masks of the
+    shingles that are extra and that lack.
+    """
+    comp = components(seen.where(_linked(F.col("common"), F.col("n") + F.col("m"), percent)).select("a", "b"))
+    comp = comp.select(F.col("node").alias("rep"), F.col("component").alias("comp"))
+    named = shared.join(comp, "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
+    mixed = (
+        named.groupBy("key", "comp")
+        .agg(F.count("*").alias("k"))
         .groupBy("key")
-        .agg(F.max_by(F.struct("rep", "n", "comp"), F.struct("weight", -F.col("rep"))).alias("pivot"))
+        .agg(F.count("*").alias("comps"), F.max_by("comp", F.struct("k", "comp")).alias("most"))
+        .where("comps > 1")
     )
-    return (
-        members.join(best, "key")
-        .where((F.col("comp") != F.col("pivot.comp")) & _alike_in_size("n", "pivot.n", percent))
-        .select(F.least("rep", "pivot.rep").alias("a"), F.greatest("rep", "pivot.rep").alias("b"))
-        .distinct()
+    refs = shared.join(pivots, "key").groupBy("rep").agg(F.max_by("pivot", F.struct("weight", -F.col("pivot"))).alias("ref"))
+    ways = [("a", "b"), ("b", "a")]
+    known = functools.reduce(
+        DataFrame.unionByName,
+        [seen.select(F.col(x).alias("rep"), F.col(y).alias("other"), "common", F.col(f"only_{x}").alias("extra"), F.col(f"only_{y}").alias("lack")) for x, y in ways],
     )
+    none = F.lit(0).cast("long")
+
+    def compared(members: DataFrame, other: str, name: str) -> DataFrame:
+        own = F.struct(F.col("n").alias("p"), none.alias("extra"), none.alias("lack"))
+        told = members.join(known.withColumnRenamed("other", other), ["rep", other], "left")
+        by = F.when(F.col("rep") == F.col(other), own).otherwise(F.struct(F.col("common").alias("p"), "extra", "lack"))
+        return told.withColumn(name, by).drop("common", "extra", "lack")
+
+    members = named.join(mixed, "key").join(pivots.select("key", "pivot"), "key").join(refs, "rep")
+    members = compared(compared(members, "pivot", "near"), "ref", "far")
+    return members.select("key", "rep", "n", "comp", "most", "ref", "near", "far")
+
 
+def _possible_pairs(members: DataFrame, percent: int) -> DataFrame:
+    """The pairs of a bucket that lie in different components and may be linked for all that is known."""
+    same = _within_reach(members.withColumn("group", F.struct("key", "ref")).withColumn("by", F.col("far")), percent, F.lit(True))
+    others = _within_reach(members.withColumn("group", F.col("key")).withColumn("by", F.col("near")), percent, F.col("ref") != F.col("ref_"))
+    return same.unionByName(others).distinct()
 
-def _cross_pairs(members: DataFrame, percent: int) -> DataFrame:
-    """All pairs of a bucket that lie in different components and may be similar by their sizes."""
-    other = members.select("key", F.col("rep").alias("b"), F.col("n").alias("m"), F.col("comp").alias("other"))
+
+def _within_reach(members: DataFrame, percent: int, also: Column) -> DataFrame:
+    """Pairs (a, b) of a group whose overlaps with the same class, in ``by``, allow a link.
+
+    Two classes of n and n' shingles that share p and p' with that class have at
+    most min(p, p') of them in common from it and min(n - p, n' - p') beside it.
+    So they are linked only if (100 + percent) * |p - p'| <= (100 - percent) * (n + n'),
+    which is a range join on p. Within the range the masks sharpen the bound: a
+    bit that is set for one class only stands for a shingle that lacks, or is
+    extra, there alone.
+    """
+    told = members.withColumns({"p": F.col("by.p"), "extra": F.col("by.extra"), "lack": F.col("by.lack")})
+    group = told.groupBy("group").agg(F.max("n").alias("top"), F.greatest(F.max("n") / CELLS, F.lit(1)).cast("long").alias("width"))
+    told = told.join(group, "group")
+    reach = ((100 - percent) * (F.col("n") + F.col("top")) / (100 + percent)).cast("long")
+    cell = lambda c: F.floor(c / F.col("width"))
+    kept = ("rep", "n", "p", "extra", "lack", "comp", "ref")
+    few = told.where("comp <> most").withColumn("cell", F.explode(F.sequence(cell(F.col("p") - reach), cell(F.col("p") + reach))))
+    other = told.select("group", cell(F.col("p")).alias("cell"), *[F.col(c).alias(f"{c}_") for c in kept])
+    alone = lambda x, y: F.bit_count(F.col(x).bitwiseAND(F.bitwise_not(F.col(y))))
+    from_it = F.least(F.col("p") - alone("lack_", "lack"), F.col("p_") - alone("lack", "lack_"))
+    beside = F.least(F.col("n") - F.col("p") - alone("extra", "extra_"), F.col("n_") - F.col("p_") - alone("extra_", "extra"))
     return (
-        members.join(other, "key")
-        .where((F.col("rep") < F.col("b")) & (F.col("comp") != F.col("other")) & _alike_in_size("n", "m", percent))
-        .select(F.col("rep").alias("a"), "b")
-        .distinct()
+        few.select("group", "cell", *kept)
+        .join(other, ["group", "cell"])
+        .where((F.col("comp") != F.col("comp_")) & also & _linked(from_it + beside, F.col("n") + F.col("n_"), percent))
+        .select(F.least("rep", "rep_").alias("a"), F.greatest("rep", "rep_").alias("b"))
     )
 
 
@@ -230,14 +282,12 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     wanted = shared.select(F.col("rep").alias("doc_id")).distinct()
     sets = durable(shingle_sets(docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi"), words))
 
-    none = links.limit(0)
-    found = none
-    for step in range(PIVOT_ROUNDS + 1):
-        open_ = durable(_open_buckets(shared, found))
-        if open_.isEmpty():
-            break
-        pairs = _pivot_pairs(open_, percent) if step < PIVOT_ROUNDS else _cross_pairs(open_, percent)
-        found = durable(found.unionByName(verified(pairs, sets, percent)).distinct())
+    pivots = durable(_pivots(shared))
+    star = shared.join(pivots.select("key", "pivot"), "key").where("rep <> pivot").select(F.least("rep", "pivot").alias("a"), F.greatest("rep", "pivot").alias("b")).distinct()
+    seen = durable(overlaps(star, sets))
+    members = durable(_open(shared, pivots, seen, percent))
+    rest = overlaps(_possible_pairs(members, percent).join(seen, ["a", "b"], "left_anti"), sets)
+    found = seen.unionByName(rest).where(_linked(F.col("common"), F.col("n") + F.col("m"), percent)).select("a", "b")
 
     comp = components(links.unionByName(found))
     return rows.join(comp.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(
