@@ -25,9 +25,9 @@ from tillflow.llm.vocabulary import END, Splitter, Vocabulary, load
 #: Words with more parts are merged with a heap.
 SHORT = 200
 #: Words whose ids a worker remembers.
-REMEMBER = 400_000
+REMEMBER = 100_000
 #: Rows and characters of an output batch, about.
-ROWS, CHARS = 1000, 1 << 22
+ROWS, CHARS = 1000, 1 << 20
 
 _NONE = 1 << 60
 _workers: dict[tuple, Codec] = {}

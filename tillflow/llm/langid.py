@@ -33,7 +33,7 @@ MIN_CONTEXT = 4
 #: What a text gets that has no language.
 UNKNOWN = "und"
 #: Bytes scored at once.
-BLOCK = 1 << 20
+BLOCK = 1 << 18
 #: What stands before a text.
 START = b" " * ORDER
 

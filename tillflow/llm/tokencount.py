@@ -23,7 +23,7 @@ from tillflow.llm.common import boxed, unboxed
 from tillflow.llm.vocabulary import END, Splitter, Vocabulary, load
 
 #: Words whose counts a worker remembers.
-REMEMBER = 400_000
+REMEMBER = 100_000
 
 _END = 256
 _workers: dict[tuple, Counter] = {}
