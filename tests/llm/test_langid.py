@@ -79,6 +79,7 @@ def test_blocks_do_not_change_a_score(monkeypatch):
     monkeypatch.setattr(L, "BLOCK", 64)
     parts = L.score_texts(m, [text, None, "the", "12"])
     assert whole[0] == parts[0] and whole[0][1] == whole[0][3] == "und"
+    assert L.score_texts(m, ["½ ² Ⅷ 12", "ª"])[0][0] == "und" != L.score_texts(m, ["ª"])[0][0]
     assert np.allclose(whole[1], parts[1]) and np.allclose(whole[2], parts[2], rtol=1e-5)
 
 

@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import re
-
+import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillflow.session import ensure_checkpoint_dir
 
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
