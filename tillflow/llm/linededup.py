@@ -98,7 +98,9 @@ def _bit(digest: Column) -> Column:
 def _maybe_in(rows: DataFrame, digests: DataFrame) -> DataFrame:
     """The rows whose digest may be among ``digests``: a bitmap of ``BITS`` bits, whatever their number, is broadcast."""
     bit = _bit(F.col("digest"))
-    maps = digests.groupBy(F.bitmap_bucket_number(bit).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("map"))
+    # rows are dealt out by bitmap before they are set, so that no partial bitmaps are shuffled
+    bits = digests.select(F.bitmap_bucket_number(bit).alias("bucket"), F.bitmap_bit_position(bit).alias("at")).repartition("bucket")
+    maps = bits.groupBy("bucket").agg(F.bitmap_construct_agg("at").alias("map"))
     at = F.bitmap_bit_position(bit)
     byte = F.conv(F.hex(F.substring("map", F.shiftright(at, 3).cast("int") + 1, F.lit(1))), 16, 10).cast("long")
     hit = F.getbit(byte, (at % 8).cast("int")) == 1
