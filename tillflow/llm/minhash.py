@@ -283,7 +283,8 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     sets = durable(shingle_sets(docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi"), words))
 
     pivots = durable(_pivots(shared))
-    star = shared.join(pivots.select("key", "pivot"), "key").where("rep <> pivot").select(F.least("rep", "pivot").alias("a"), F.greatest("rep", "pivot").alias("b")).distinct()
+    star = shared.join(pivots.select("key", "pivot"), "key").where("rep <> pivot")
+    star = star.select(F.least("rep", "pivot").alias("a"), F.greatest("rep", "pivot").alias("b")).distinct()
     seen = durable(overlaps(star, sets))
     members = durable(_open(shared, pivots, seen, percent))
     rest = overlaps(_possible_pairs(members, percent).join(seen, ["a", "b"], "left_anti"), sets)

@@ -148,7 +148,11 @@ def scan(docs: DataFrame) -> DataFrame:
     found = durable(apart(parts(docs)))
     all_ = found.where("strong").unionByName(linked(found))
     said = F.concat_ws(":", "kind", F.col("start").cast("string"), F.col("end").cast("string"))
-    listed = lambda only: F.array_join(F.transform(F.sort_array(F.collect_list(F.when(only, F.struct("start", "order", "end", said.alias("said"))))), lambda s: s["said"]), ",")
+
+    def listed(only: Column) -> Column:
+        found = F.sort_array(F.collect_list(F.when(only, F.struct("start", "order", "end", said.alias("said")))))
+        return F.array_join(F.transform(found, lambda s: s["said"]), ",")
+
     by_row = all_.groupBy(*_ROW).agg(
         *[F.count_if(F.col("kind") == k).alias(f"n_{k}") for k in BASE],
         listed(F.col("strong")).alias("base_spans"),

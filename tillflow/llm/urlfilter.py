@@ -204,7 +204,8 @@ def oracle() -> str:
         f"""ruled AS (SELECT *, CASE {rule} END AS rule FROM parsed)""",
         f"""cut AS (SELECT *, CASE rule {verdict} END AS ruling,
           list_transform(list_filter(string_split(path, '/'), lambda s: s <> ''), lambda s: regexp_replace(s, '[0-9]+', '#', 'g')) AS s FROM ruled)""",
-        f"""shaped AS MATERIALIZED (SELECT * EXCLUDE (s), CASE WHEN len(s) > {LEVELS} THEN list_append(s[1:{LEVELS - 1}], array_to_string(s[{LEVELS}:], '/')) ELSE s END AS segments FROM cut)""",
+        f"""shaped AS MATERIALIZED (SELECT * EXCLUDE (s), CASE WHEN len(s) > {LEVELS}
+          THEN list_append(s[1:{LEVELS - 1}], array_to_string(s[{LEVELS}:], '/')) ELSE s END AS segments FROM cut)""",
         """tree AS MATERIALIZED (SELECT host, array_to_string(segments, '/') AS shape, segments, count(*) AS n, count(ruling) AS labelled,
           count(*) FILTER (ruling = 'allow') AS good FROM shaped GROUP BY host, segments)""",
     ]
