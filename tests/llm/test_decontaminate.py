@@ -102,3 +102,33 @@ def test_odd_rows(spark):
     assert sorted(r.doc_id for r in left.collect()) == [1, 2, 5, 8] and "leaks" not in left.columns
     assert D.find_leaks(df, bench.limit(0)).where("size(leaks) > 0").count() == 0
     assert D.find_leaks(df.limit(0), bench).count() == 0
+
+
+def test_long_items_are_found_with_edits():
+    """Items of 1 to 10 KB, beyond four times the largest window, with a comma after them, one typo or random edits."""
+    rnd = random.Random(11)
+    words = ["".join(rnd.choices("etaoinshrdlu", k=rnd.randrange(2, 9))) for _ in range(3000)]
+    items = [(k, " ".join(rnd.choices(words, k=n))) for k, n in enumerate((180, 200, 400, 800, 1700))]
+    index = D.Index(items)
+    assert len(items[0][1]) > 4 * D.SIZES[-1] and len(items[-1][1]) > 9000 and not index.plain
+    around = " ".join(rnd.choices(words, k=300))
+    for k, text in items:
+        middle = len(text) // 2
+        for new, edits in ((text, 0), (f'"{text},', 0), (text[:middle] + "#" + text[middle + 1 :], 1)):
+            assert index.search([f"{around} {new} {around}"]) == [{k: edits}]
+        assert list(index.search([f"{around} {changed(rnd, text, 0.05)} {around}"])[0]) == [k]
+        assert index.search([f"{around} {text[: len(text) * 8 // 10]} {around}"]) == [{}]
+    # a block does not grow with the length of its items
+    many = [(0, items[-1][1])] * 300
+    assert max(map(len, _blocks_of(many))) * len(items[-1][1]) <= D.LETTERS + len(items[-1][1])
+
+
+def _blocks_of(items):
+    class Benchmark:
+        def select(self, *_):
+            return self
+
+        def toLocalIterator(self):
+            return iter({"item_id": i, "text": t} for i, t in items)
+
+    return list(D._blocks(Benchmark()))

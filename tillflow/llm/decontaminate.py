@@ -12,7 +12,8 @@ text around it.
 Windows start at anchors: of each ``RUN`` neighbouring words, the one whose
 first bytes hash least. They depend on the words alone, so an item and a text
 that share a run of that many words share an anchor. Windows are sized by the
-item: from a quarter of its length to all of it, in powers of two.
+item: from a quarter of its length to all of it, in powers of two; an item of
+over four times the largest size has windows of that size at all its anchors.
 
 The items are the stated query set. They are taken in blocks of bounded size,
 each broadcast and held against all documents; the documents are not shuffled.
@@ -40,8 +41,8 @@ SIZES = (32, 64, 128, 256)
 #: Sampled steps: those that all sizes share, by their 32 steps, and so many more for each size. They
 #: are denser at the start, where a start whose steps no item shares is dropped.
 SHARED, MORE = (4, 2), 3
-#: Items of a block, bytes of text searched at once, and starts that walk together.
-ITEMS, BYTES, TOGETHER = 2000, 1 << 21, 1 << 14
+#: Items of a block, letters after which it takes no further item, bytes of text searched at once, and starts that walk together.
+ITEMS, LETTERS, BYTES, TOGETHER = 2000, 1 << 20, 1 << 21, 1 << 14
 #: Letters of the grams that are counted before an edit distance is worked out.
 GRAM = 4
 
@@ -127,6 +128,7 @@ class Index:
         ]
         self.ids = [i for i, _ in items]
         self.texts = [normal(t) for _, t in items]
+        self.sizes = [len(t.encode("utf-8", "replace")) for t in self.texts]
         self.grams = [_grams(t) for t in self.texts]
         self.allowed = [int(len(t) * EDITS) for t in self.texts]
         self.windows: list[tuple[int, int]] = []  # item, byte offset of the anchor
@@ -136,15 +138,16 @@ class Index:
         for k, t in enumerate(self.texts):
             data = t.encode("utf-8", "replace")
             buf = np.frombuffer(b" " + data + b" " * 9, np.uint8)
-            own = [(a - 1, [s for s in SIZES if len(data) / 4 <= s <= len(data) - (a - 1)]) for a in anchors(buf).tolist()]
+            least = min(len(data) / 4, SIZES[-1])
+            own = [(a - 1, [s for s in SIZES if least <= s <= len(data) - (a - 1)]) for a in anchors(buf).tolist()]
             own = [(a, s) for a, s in own if s]
             if not own and data:
                 self.plain.append(k)
             for a, s in own:
                 self.windows.append((k, a))
                 sizes.append(s)
-                bufs.append(data[a:] + b"\0" * (2 * SIZES[-1] + 8))
-        self.longest = max((len(t.encode("utf-8", "replace")) for t in self.texts), default=0)
+                bufs.append(data[a : a + 2 * SIZES[-1]].ljust(2 * SIZES[-1] + 8, b"\0"))  # a walk is no longer
+        self.longest = max(self.sizes, default=0)
         self.filters, self.keys = [], []
         if not bufs:
             return
@@ -245,12 +248,13 @@ class Index:
             at = int(np.searchsorted(starts, pos, "right")) - 1
             own = found[held[at][0]]
             slack = self.allowed[k]
-            begin = pos - offset
+            # an edit is at most four bytes long; begins that lie so close together are tried as one
+            reach = 4 * slack
+            begin = (pos - offset) // (reach + 1) * (reach + 1)
             if own.get(self.ids[k]) == 0 or (at, k, begin) in tried:
                 continue
             tried.add((at, k, begin))
-            # an edit is at most four bytes long
-            a, b = max(begin - 4 * slack, int(starts[at])), min(begin + len(self.texts[k].encode("utf-8", "replace")) + 4 * slack, int(starts[at + 1]) - 3)
+            a, b = max(begin - reach, int(starts[at])), min(begin + reach + self.sizes[k] + reach, int(starts[at + 1]) - 3)
             text = data[a:b].decode("utf-8", "ignore")
             # an edit changes at most GRAM grams, so a text within reach has the others
             if len(self.grams[k] & _grams(text)) < len(self.grams[k]) - GRAM * slack:
@@ -262,11 +266,13 @@ class Index:
 
 def _blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, str | None]]]:
     block: list[tuple[int, str | None]] = []
+    letters = 0
     for row in benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").toLocalIterator():
         block.append((row["item_id"], row["text"]))
-        if len(block) == ITEMS:
+        letters += len(row["text"] or "")
+        if len(block) == ITEMS or letters >= LETTERS:
             yield block
-            block = []
+            block, letters = [], 0
     if block:
         yield block
 
