@@ -110,7 +110,7 @@ def test_long_items_are_found_with_edits():
     words = ["".join(rnd.choices("etaoinshrdlu", k=rnd.randrange(2, 9))) for _ in range(3000)]
     items = [(k, " ".join(rnd.choices(words, k=n))) for k, n in enumerate((180, 200, 400, 800, 1700))]
     index = D.Index(items)
-    assert len(items[0][1]) > 4 * D.SIZES[-1] and len(items[-1][1]) > 9000 and not index.plain
+    assert len(items[0][1]) > 4 * D.SIZES[-1] and len(items[-1][1]) > 9000 and not index.short.own
     around = " ".join(rnd.choices(words, k=300))
     for k, text in items:
         middle = len(text) // 2
@@ -132,3 +132,46 @@ def _blocks_of(items):
             return iter({"item_id": i, "text": t} for i, t in items)
 
     return list(D._blocks(Benchmark()))
+
+
+def test_short_items_match_brute_force():
+    """Items of up to SHORT letters, and longer ones without blanks, are found wherever the edit distance allows."""
+    rnd = random.Random(5)
+    words = ["".join(rnd.choices("etaoins", k=rnd.randrange(1, 9))) for _ in range(300)] + ["naïve", "é", "straße"]
+    items = [(k, " ".join(rnd.choices(words, k=rnd.randrange(2, 12)))) for k in range(60)]
+    items += [(60 + k, "".join(chr(rnd.randrange(0x4E00, 0x4F00)) for _ in range(n))) for k, n in enumerate((3, 12, 40, 90, 400))]
+    items += [(70, "https://example.com/" + "a1b2/" * 30), (71, "x" * 64), (72, "")]
+    texts = []
+    for k in range(250):
+        _, item = items[k % len(items)]
+        new = changed(rnd, item, rnd.choice((0, 0.03, 0.08)))
+        texts.append(" ".join([*rnd.choices(words, k=rnd.randrange(30)), rnd.choice(("", '"')) + new + rnd.choice(("", ",", "?")), *rnd.choices(words, k=9)]))
+    texts += [None, "", "a", items[60][1], "x" * 70]
+    found = D.Index(items).search(texts)
+    hits = 0
+    for text, got in zip(texts, found, strict=True):
+        text = D.normal(text)
+        for k, item in items:
+            item = D.normal(item)
+            allowed = int(D.EDITS * len(item))
+            if not item or len(item) > D.SHORT and " " in item:
+                continue
+            if allowed:
+                e = D.edits(item, text)
+                want = e if e <= allowed else None
+            else:
+                at = [p for p in range(len(text)) if text.startswith(item, p) and D.bounded(text, p, p + len(item))]
+                want = 0 if at else None
+            assert got.get(k) == want, (item, text, got.get(k), want)
+            hits += want is not None
+    assert hits > 200
+
+
+def test_short_items_beside_marks_and_in_pieces(monkeypatch):
+    index = D.Index([(1, "Who wrote it?"), (2, "seven"), (3, "東京"), (4, "What is the capital of France in Europe?")])
+    texts = ['"Who wrote it?"', "who wrotte it?", "(seven)", "seventy", "私は東京都に住む", "so: what is the capitol of france in europe?!", "sevén"]
+    want = [{1: 0}, {1: 1}, {2: 0}, {}, {3: 0}, {4: 1}, {}]
+    assert index.search(texts) == want
+    monkeypatch.setattr(D, "BYTES", 7)
+    monkeypatch.setattr(D, "POSITIONS", 5)
+    assert index.search(texts) == want

@@ -15,6 +15,11 @@ that share a run of that many words share an anchor. Windows are sized by the
 item: from a quarter of its length to all of it, in powers of two; an item of
 over four times the largest size has windows of that size at all its anchors.
 
+Items of at most ``SHORT`` letters, and those without an anchor, such as texts
+without blanks, have no windows: they are cut into one part more than edits are
+allowed, so that one part at least is left whole, and the parts are looked up at
+every position. That misses none.
+
 The items are the stated query set. They are taken in blocks of bounded size,
 each broadcast and held against all documents; the documents are not shuffled.
 """
@@ -25,6 +30,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,6 +49,10 @@ SIZES = (32, 64, 128, 256)
 SHARED, MORE = (4, 2), 3
 #: Items of a block, letters after which it takes no further item, bytes of text searched at once, and starts that walk together.
 ITEMS, LETTERS, BYTES, TOGETHER = 2000, 1 << 20, 1 << 21, 1 << 14
+#: Items of so many letters at most are searched for by their parts; one bit of a word stands for each of their first letters.
+SHORT, HEAD = 128, 64
+#: Positions looked up at once.
+POSITIONS = 1 << 14
 #: Letters of the grams that are counted before an edit distance is worked out.
 GRAM = 4
 
@@ -113,6 +123,146 @@ def anchors(buf: np.ndarray) -> np.ndarray:
     return start[slide(np.concatenate([pad, least, pad]), np.maximum) == h]
 
 
+#: Two letters of one word; in scripts that set no blanks any letter may begin a word.
+_JOINED = regex.compile(r"(?V1)[\w--[\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}]]{2}")
+
+
+def bounded(text: str, a: int, b: int) -> bool:
+    """Whether ``text[a:b]`` neither begins nor ends inside a word."""
+    return not any(0 < p < len(text) and _JOINED.match(text, p - 1, p + 1) for p in (a, b))
+
+
+class Short:
+    """The items ``own`` of a block, found by parts that edits leave whole."""
+
+    END = 0x110000
+
+    def __init__(self, texts: list[str], allowed: list[int], own: list[int]):
+        self.texts, self.allowed, self.own = [texts[k] for k in own], [allowed[k] for k in own], own
+        self.grams = [_grams(t) for t in self.texts]
+        self.n = np.array([len(t) for t in self.texts], np.int64)
+        self.slack = np.array(self.allowed, np.int64)
+        self.longest = int(self.n.max(initial=0))
+        parts: dict[int, list[tuple[int, int, int]]] = {}
+        for i, t in enumerate(self.texts):
+            of = self.allowed[i] + 1
+            cuts = [len(t) * j // of for j in range(of + 1)]
+            codes = self._codes(t)
+            for a, b in zip(cuts, cuts[1:]):
+                parts.setdefault(b - a, []).append((int(self._hashes(codes[a:b], [b - a])[b - a][0]), i, a))
+        #: by length: which leading bits occur, and hash, item and offset of the parts by hash
+        self.parts = {}
+        for size, rows in parts.items():
+            rows.sort()
+            h = np.array([r[0] for r in rows], np.uint64)
+            seen = np.zeros(1 << 18, bool)
+            seen[h >> np.uint64(46)] = True
+            self.parts[size] = (seen, h, np.array([r[1] for r in rows]), np.array([r[2] for r in rows]))
+        #: where each class of letters stands in an item
+        self.where = np.zeros((len(own), 256), np.uint64)
+        for i, t in enumerate(self.texts):
+            if len(t) <= SHORT:
+                for j, c in enumerate(self._codes(t[:HEAD]).tolist()):
+                    self.where[i, c % 255] |= np.uint64(1 << j)
+
+    @staticmethod
+    def _codes(text: str) -> np.ndarray:
+        return np.frombuffer(text.encode("utf-32-le", "replace"), "<u4")
+
+    @staticmethod
+    def _hashes(codes: np.ndarray, sizes) -> dict[int, np.ndarray]:
+        """For each size the hashes of all parts of that size."""
+        codes = codes.astype(np.uint64) + np.uint64(1)
+        out, h, factor = {}, np.zeros(len(codes) + 1, np.uint64), 1
+        for size in range(1, max(sizes) + 1):
+            factor = factor * int(_P) % (1 << 64)
+            if size > len(codes):
+                break
+            h = h[:-1] + codes[size - 1 :] * np.uint64(factor)
+            if size in sizes:
+                out[size] = h
+        return out
+
+    def _near(self, codes: np.ndarray, begin: np.ndarray, item: np.ndarray) -> np.ndarray:
+        """Which candidates may be within reach: :func:`edits` of their first letters for all at once, by classes of letters."""
+        slack, n = self.slack[item], np.minimum(self.n[item], HEAD)
+        one = np.uint64(1)
+        top = one << (n - 1).astype(np.uint64)
+        plus, minus = np.full(len(item), ~np.uint64(0)), np.zeros(len(item), np.uint64)
+        score = n.copy()
+        best = n.copy()
+        for j in range(int((n + 2 * slack).max(initial=0))):
+            c = codes.take(begin - slack + j, mode="clip")
+            eq = self.where[item, np.where(c == self.END, 255, c % 255)]
+            x = (((eq & plus) + plus) ^ plus) | eq | minus
+            up, down = minus | ~(x | plus), plus & x
+            score += ((up & top) != 0).astype(np.int64) - ((down & top) != 0)
+            best = np.minimum(best, score)
+            up, down = up << one, down << one
+            plus, minus = down | ~(eq | minus | up), up & (eq | minus)
+        return best <= slack
+
+    def _candidates(self, codes: np.ndarray) -> Iterator[tuple[int, int]]:
+        """(begin, item) of the places where some part occurs and the rest may be within reach."""
+        longest = max(self.parts)
+        begins, items, held = [], [], 0
+        for at in range(0, len(codes), POSITIONS):
+            for size, h in self._hashes(codes[at : at + POSITIONS + longest - 1], self.parts).items():
+                seen, known, item, offset = self.parts[size]
+                hit = np.flatnonzero(seen.take((h >> np.uint64(46)).view(np.int64)))
+                lo, hi = np.searchsorted(known, h[hit]), np.searchsorted(known, h[hit], "right")
+                times = hi - lo
+                row = np.repeat(lo - np.cumsum(times) + times, times) + np.arange(times.sum())
+                begins.append(np.repeat(hit, times) + at - offset[row])
+                items.append(item[row])
+                held += len(row)
+            if held < POSITIONS and at + POSITIONS < len(codes) or not begins:
+                continue
+            begin, item = np.concatenate(begins), np.concatenate(items)
+            begins, items, held = [], [], 0
+            # items that are not looked at by their first letters are tried once for begins that lie within one reach
+            step = np.where(self.n[item] <= SHORT, 1, self.slack[item] + 1)
+            begin = begin // step * step
+            order = np.lexsort((begin, item))
+            begin, item = begin[order], item[order]
+            new = np.ones(len(item), bool)
+            new[1:] = (begin[1:] != begin[:-1]) | (item[1:] != item[:-1])
+            begin, item = begin[new], item[new]
+            for a in range(0, len(item), POSITIONS):
+                i, b = item[a : a + POSITIONS], begin[a : a + POSITIONS]
+                on = self.n[i] > SHORT
+                on[~on] = self._near(codes, b[~on], i[~on])
+                yield from zip(b[on].tolist(), i[on].tolist())
+
+    def search(self, held: list[tuple[int, str, int, str]], found: list[dict[int, int]], ids: list[int]) -> None:
+        """Adds what occurs in ``held``: number of the text, the text, and a piece of it with its offset."""
+        if not held or not self.parts:
+            return
+        codes = [np.array([self.END], "<u4")]
+        for _, _, _, piece in held:
+            codes += [self._codes(piece), codes[0]]
+        starts = np.cumsum([1, *(len(piece) + 1 for _, _, _, piece in held)])
+        for begin, k in self._candidates(np.concatenate(codes)):
+            item, slack, n = self.texts[k], self.allowed[k], len(self.texts[k])
+            late = 2 * slack if n > SHORT else slack  # an occurrence begins so far behind at most, and ends later
+            at = min(max(int(np.searchsorted(starts, begin + late, "right")) - 1, 0), len(held) - 1)
+            i, text, offset, _ = held[at]
+            key, own = ids[self.own[k]], found[i]
+            a = begin - int(starts[at]) + offset
+            if own.get(key) == 0:
+                continue
+            if not slack:
+                if a >= 0 and text[a : a + n] == item and bounded(text, a, a + n):
+                    own[key] = 0
+                continue
+            near = text[max(a - slack, 0) : max(a + n + late + slack, 0)]
+            if n > SHORT and len(self.grams[k] & _grams(near)) < len(self.grams[k]) - GRAM * slack:
+                continue
+            distance = edits(item, near)
+            if distance <= slack and distance < own.get(key, slack + 1):
+                own[key] = distance
+
+
 class Index:
     """Keys of the windows of a block of items, for every repetition."""
 
@@ -132,7 +282,7 @@ class Index:
         self.grams = [_grams(t) for t in self.texts]
         self.allowed = [int(len(t) * EDITS) for t in self.texts]
         self.windows: list[tuple[int, int]] = []  # item, byte offset of the anchor
-        self.plain: list[int] = []  # items that are too short for a window are searched for as they are
+        plain: list[int] = []  # items that are too short for a window are searched for by their parts
         sizes: list[list[int]] = []
         bufs = []
         for k, t in enumerate(self.texts):
@@ -141,13 +291,16 @@ class Index:
             least = min(len(data) / 4, SIZES[-1])
             own = [(a - 1, [s for s in SIZES if least <= s <= len(data) - (a - 1)]) for a in anchors(buf).tolist()]
             own = [(a, s) for a, s in own if s]
-            if not own and data:
-                self.plain.append(k)
+            if len(t) <= SHORT or not own:
+                if data:
+                    plain.append(k)
+                continue
             for a, s in own:
                 self.windows.append((k, a))
                 sizes.append(s)
                 bufs.append(data[a : a + 2 * SIZES[-1]].ljust(2 * SIZES[-1] + 8, b"\0"))  # a walk is no longer
         self.longest = max(self.sizes, default=0)
+        self.short = Short(self.texts, self.allowed, plain)
         self.filters, self.keys = [], []
         if not bufs:
             return
@@ -221,11 +374,16 @@ class Index:
         held: list[tuple[int, bytes]] = []
         size = 0
         margin = 2 * self.longest + 2 * SIZES[-1]
+        whole: list[tuple[int, str, int, str]] = []
+        letters, beside = 0, 2 * self.short.longest
         for i, t in enumerate(texts):
             t = normal(t)
-            for k in self.plain:
-                if f" {self.texts[k]} " in f" {t} ":
-                    found[i][self.ids[k]] = 0
+            for at in range(0, max(len(t) - beside, 1), BYTES) if self.short.own else ():
+                whole.append((i, t, at, t[at : at + BYTES + beside]))
+                letters += len(whole[-1][3])
+                if letters >= BYTES:
+                    self.short.search(whole, found, self.ids)
+                    whole, letters = [], 0
             data = t.encode("utf-8", "replace")
             for at in range(0, max(len(data) - margin, 1), BYTES):
                 piece = data[at : at + BYTES + margin]
@@ -235,6 +393,7 @@ class Index:
                     self._search(held, found)
                     held, size = [], 0
         self._search(held, found)
+        self.short.search(whole, found, self.ids)
         return found
 
     def _search(self, held: list[tuple[int, bytes]], found: list[dict[int, int]]) -> None:
@@ -291,8 +450,9 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     ``benchmark`` has item_id and text. An item is contained when some part of
     the text is within ``EDITS`` of its length in edit distance, after lower-casing
-    and with white space as one blank. Items without an anchor (a few words)
-    count only if they occur as they are; items without text never occur, and
+    and with white space as one blank. Items of under ten letters, which allow no
+    edit, count where they begin and end no word in the middle; in scripts without
+    blanks any letter may begin a word. Items without text never occur, and
     neither does anything in a null or empty text. Items with one id count as
     one; a null id is listed as null. Other columns of ``docs`` pass through, a
     column named leaks is replaced, repeated rows are searched one by one.
