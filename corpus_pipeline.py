@@ -17,14 +17,18 @@ from pyspark.sql import functions as F
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from tillflow.llm import bpe, decontaminate, langid, linededup, minhash  # noqa: E402
-from tillflow.llm.common import table  # noqa: E402
+from tillflow.llm.common import has_letter, table  # noqa: E402
 from tillflow.session import ensure_checkpoint_dir  # noqa: E402
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents without a language: no text, no letters, or text that no learned
-    language codes in fewer bits than its raw bytes have. All others stay as they are."""
-    judged = langid.predict(docs, langid.learn(docs.where("doc_id IS NOT NULL")))
+    language codes in fewer bits than its raw bytes have. All others stay as they are.
+    If no row has a label there is no language to tell, and every text with letters stays."""
+    model = langid.learn(docs.where("doc_id IS NOT NULL"))
+    if not model.langs:
+        return docs.where(F.udf(has_letter, "boolean")("text"))
+    judged = langid.predict(docs, model)
     return judged.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("bits_per_byte") < 8)).select(*docs.columns)
 
 

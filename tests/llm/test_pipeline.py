@@ -95,3 +95,10 @@ def test_clean_documents_pass_unchanged(spark, documents):
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
     for name, stage in P.STAGES[:-1]:
         assert sorted(map(tuple, stage(spark, docs, SMOKE_DIR).collect())) == sorted(rows), name
+
+
+def test_without_labels_every_text_with_letters_stays(spark):
+    docs = spark.createDataFrame([(i, t, None, s, n) for i, t, _, s, n in ODD], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = STAGES["language_id"](spark, docs, SMOKE_DIR)
+    assert kept.columns == docs.columns
+    assert sorted(r.doc_id or 0 for r in kept.collect()) == [0, 1, 5, 6, 6, 7, 8]
