@@ -16,5 +16,5 @@ def test_matches_sql(spark, key):
 
 def test_one_query_per_operator():
     numbers = sorted(int(k[2:].split("_")[0]) for k in queries.QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert {*queries.QUERIES, "pipeline"} <= set(entry_mod.queries())

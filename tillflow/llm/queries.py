@@ -6,7 +6,21 @@ from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillflow.llm import bpe, chat, decontaminate, fingerprint, langid, linededup, minhash, secrets, tokencount, urlfilter
+from tillflow.llm import (
+    bpe,
+    chat,
+    decontaminate,
+    embeddedup,
+    fingerprint,
+    hardnegatives,
+    langid,
+    linededup,
+    minhash,
+    periodicruns,
+    secrets,
+    tokencount,
+    urlfilter,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_duplicates": minhash.query,
@@ -19,6 +33,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontamination": decontaminate.query,
     "op9_url_filter": urlfilter.query,
     "op10_chat_format": chat.query,
+    "op11_hard_negatives": hardnegatives.query,
+    "op12_periodic_runs": periodicruns.query,
+    "op13_embedding_duplicates": embeddedup.query,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -27,4 +44,6 @@ ORACLE_SQL: dict[str, str] = {
     "op6_line_dedup": linededup.ORACLE,
     "op9_url_filter": urlfilter.oracle(),
     "op10_chat_format": chat.ORACLE,
+    "op11_hard_negatives": hardnegatives.ORACLE,
+    "op13_embedding_duplicates": embeddedup.ORACLE,
 }
