@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import os
 import sys
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,27 +16,32 @@ from pyspark.sql import functions as F
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from tillflow.llm import bpe, decontaminate, langid, linededup, minhash  # noqa: E402
-from tillflow.llm.common import has_letter, table  # noqa: E402
-from tillflow.session import ensure_checkpoint_dir  # noqa: E402
+from tillflow.llm.common import boxed, table, unboxed  # noqa: E402
+from tillflow.session import file_system, scratch_path  # noqa: E402
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents without a language: no text, no letters, or text that no learned
-    language codes in fewer bits than its raw bytes have. All others stay as they are.
-    If no row has a label there is no language to tell, and every text with letters stays."""
+    """Drop documents without a language: no text, no letters, or text that no learned language
+    codes in fewer bits than its raw bytes have. The others stay, and where ``lang`` is null
+    it becomes the predicted one. If no row has a label there is no language to tell, and
+    every text with letters stays as it is."""
     model = langid.learn(docs.where("doc_id IS NOT NULL"))
     if not model.langs:
-        return docs.where(F.udf(has_letter, "boolean")("text"))
-    judged = langid.predict(docs, model)
-    return judged.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("bits_per_byte") < 8)).select(*docs.columns)
+        return docs.where(F.col("text").rlike(r"\p{L}"))
+    judged = langid.predict(boxed(docs, F.col("text")), model)
+    stays = (F.col("lang_pred") != langid.UNKNOWN) & (F.col("bits_per_byte") < 8)
+    return unboxed(judged.where(stays), replaced={"lang": F.coalesce("box.lang", "lang_pred")})
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Remove chunks of lines that occur before. A document of which nothing is left goes;
     ``n_chars`` follows the text where it is shortened."""
-    left = linededup.deduplicate(docs).where("n_removed = 0 OR text <> ''")
-    n_chars = F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("n_chars"))
-    return left.withColumn("n_chars", n_chars.cast("long")).select(*docs.columns)
+    rows = boxed(docs, F.col("doc_id"), F.col("text"), adds=("doc_id", "text"))
+    left = linededup.deduplicate(rows).where("n_removed = 0 OR text <> ''")
+    own = {"doc_id": F.col("doc_id"), "text": F.col("text")}
+    if "n_chars" in docs.columns:
+        own["n_chars"] = F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("box.n_chars")).cast("long")
+    return left.select(*[own.get(c, F.col("box").getField(c)).alias(c) for c in docs.columns])
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -68,10 +72,17 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each result written to the shared folder and read again."""
-    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/corpus-pipeline-{uuid.uuid4().hex}"
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for k, (name, stage) in enumerate(STAGES):
-        stage(spark, docs, sf_dir).write.parquet(f"{base}/{k}-{name}")
-        docs = spark.read.parquet(f"{base}/{k}-{name}")
+    """All stages over ``documents``, each result written to the shared folder and read again.
+
+    A stage's table is deleted once the next one is written; the last one goes with the session.
+    """
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
+    for name, stage in STAGES:
+        path = scratch_path(spark, name)
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
+        if before:
+            fs, p = file_system(spark, before)
+            fs.delete(p, True)
+        before = path
     return docs

@@ -5,8 +5,9 @@ memory unless its caller passes them (``bench.py`` and the tests do).
 
 Scratch output (CSV round trips, streaming checkpoints, target tables built by
 a registered query) lives under the folder the cluster names in
-``spark.checkpoint.dir`` and is deleted when the session's JVM ends. Only on a
-local master, and only when that setting is missing, a local folder is made.
+``spark.checkpoint.dir`` and is deleted when the session's JVM ends, as is the
+folder of this application's own checkpoints there. Only on a local master, and
+only when that setting is missing, a local folder is made.
 """
 
 from __future__ import annotations
@@ -17,6 +18,8 @@ import uuid
 from pyspark.sql import SparkSession
 
 _scratch: dict[str, str] = {}
+#: Applications whose checkpoint folder will be deleted.
+_forgotten: set[str] = set()
 
 
 def get_session(master: str | None = None, app: str | None = None, **conf: str) -> SparkSession:
@@ -40,6 +43,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if base:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(base)
+        own = sc.getCheckpointDir()  # base/<id of this application's checkpoints>
+        if own.rstrip("/") != base.rstrip("/") and sc.applicationId not in _forgotten:
+            _delete_on_exit(spark, own)
+            _forgotten.add(sc.applicationId)
         return base
     current = sc.getCheckpointDir()
     if current:
