@@ -79,6 +79,44 @@ def test_a_group_around_an_origin(spark):
     assert {r.doc_id: r.component_id for r in got.collect()} == brute(rows, 2)
 
 
+@pytest.mark.parametrize("words_,changed,origin", [(5, 4, False), (2, 9, False), (5, 8, True)])
+def test_a_loose_group_makes_few_pairs(spark, monkeypatch, words_, changed, origin):
+    """Texts that have drifted from one origin: most pairs share a band, few are compared."""
+    rnd, n = random.Random(7), 500
+    base = [f"w{k}" for k in range(200)]
+    rows = [(n, " ".join(base))] if origin else []
+    for i in range(n):
+        w = list(base)
+        for p in rnd.sample(range(200), changed):
+            w[p] = f"x{i}-{p}"
+        rows.append((i, " ".join(w)))
+    made, exact = [], M.overlaps
+    monkeypatch.setattr(M, "overlaps", lambda pairs, sets: made.append(pairs.distinct().count()) or exact(pairs, sets))
+    got = M.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), words=words_)
+    assert {r.doc_id: r.component_id for r in got.collect()} == brute(rows, words_)
+    assert sum(made) < 20 * len(rows)
+
+
+def test_ids_with_several_texts(spark):
+    """Private shingles and sizes are those of the text, not of the id."""
+    rnd = random.Random(8)
+    rows = corpus(9, 50)
+    rows += [(i, rnd.choice(rows)[1]) for i, _ in rows[:15]] + [(i, " ".join(f"q{rnd.random()}" for _ in range(90))) for i, _ in rows[:9]]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id: r.component_id for r in M.near_duplicates(df, words=2).collect()} == brute(rows, 2)
+
+
+def test_tables_are_deleted(spark):
+    import glob
+
+    from tillflow.session import scratch_path
+
+    root = scratch_path(spark, "x").rsplit("/", 1)[0].removeprefix("file:")
+    before = set(glob.glob(f"{root}/step-*"))
+    M.near_duplicates(spark.createDataFrame(corpus(3), "doc_id long, text string"), words=2).count()
+    assert len(set(glob.glob(f"{root}/step-*")) - before) == 1  # the result
+
+
 def test_odd_rows(spark):
     long = " ".join(f"t{k}" for k in range(30_000))
     rows = [

@@ -97,6 +97,29 @@ def test_clean_documents_pass_unchanged(spark, documents):
         assert sorted(map(tuple, stage(spark, docs, SMOKE_DIR).collect())) == sorted(rows), name
 
 
+def test_language_id_uses_the_prediction(spark):
+    """A text without a label gets the predicted one; labels that are there stay."""
+    import random
+
+    rnd = random.Random(4)
+    kinds = {"en": "the and was of that with her not they from this".split(), "fr": "les des une dans est pour qui sur avec été plus".split()}
+    say = lambda lang, n: " ".join(rnd.choices(kinds[lang], k=n))
+    rows = [(i, say(lang, 60), lang, "s", 1) for i, lang in enumerate(["en", "fr"] * 60)]
+    rows += [(1000 + i, say(lang, 40), None, "s", 1) for i, lang in enumerate(["en", "fr"] * 10)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r.doc_id: r.lang for r in STAGES["language_id"](spark, docs, SMOKE_DIR).collect()}
+    assert got == {i: lang or ["en", "fr"][i % 2] for i, _, lang, _, _ in rows}
+
+
+def test_columns_with_the_operators_names_pass(spark):
+    names = "lang_pred score bits_per_byte n_lines n_removed kept component_id box gone key left".split()
+    docs = spark.createDataFrame([(*r, *range(len(names))) for r in ODD], ", ".join(["doc_id long, text string, lang string, source string, n_chars long", *[f"{n} int" for n in names]]))
+    for name, stage in P.STAGES[:-1]:
+        out = stage(spark, docs, SMOKE_DIR)
+        assert out.columns == docs.columns, name
+        assert {tuple(r[n] for n in names) for r in out.collect()} == {tuple(range(len(names)))}, name
+
+
 def test_without_labels_every_text_with_letters_stays(spark):
     docs = spark.createDataFrame([(i, t, None, s, n) for i, t, _, s, n in ODD], "doc_id long, text string, lang string, source string, n_chars long")
     kept = STAGES["language_id"](spark, docs, SMOKE_DIR)

@@ -6,7 +6,7 @@ import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillflow.session import ensure_checkpoint_dir
+from tillflow.session import ensure_checkpoint_dir, file_system, scratch_path
 
 _LETTER = regex.compile(r"\p{L}")
 
@@ -21,6 +21,49 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+class Tables:
+    """Intermediate tables in the session's folder under the shared checkpoint location.
+
+    Calling it writes a DataFrame and returns what reads it back, cut from its
+    lineage. ``drop`` deletes one of them, leaving the ``with`` block the rest,
+    so only what the block returns through ``durable`` or ``result`` stays. What
+    nobody deletes goes with the session.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self._made: list[tuple[DataFrame, str]] = []
+
+    def __call__(self, df: DataFrame) -> DataFrame:
+        out, path = self._written(df)
+        self._made.append((out, path))
+        return out
+
+    def _written(self, df: DataFrame) -> tuple[DataFrame, str]:
+        # executors delete the shuffle files of earlier steps once the driver's JVM has collected those steps
+        self.spark._jvm.System.gc()
+        path = scratch_path(self.spark, "step")
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path), path
+
+    def result(self, df: DataFrame) -> DataFrame:
+        """``df`` in a table that outlives the ``with`` block."""
+        return self._written(df)[0]
+
+    def drop(self, *tables: DataFrame) -> None:
+        """Delete tables that nothing reads any more."""
+        for _, path in [m for m in self._made if any(m[0] is t for t in tables)]:
+            fs, p = file_system(self.spark, path)
+            fs.delete(p, True)
+        self._made = [m for m in self._made if not any(m[0] is t for t in tables)]
+
+    def __enter__(self) -> Tables:
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.drop(*[t for t, _ in self._made])
+
+
 def has_letter(text: str | None) -> bool:
     return bool(text) and _LETTER.search(text) is not None
 

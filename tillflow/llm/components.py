@@ -5,26 +5,30 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillflow.llm.common import durable
+from tillflow.llm.common import Tables
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, keep: Tables | None = None) -> DataFrame:
     """``(node, component)`` for every node of ``edges`` (columns a, b: long); component is the least node reachable.
 
     Large-star and small-star steps alternate until nothing changes, about
     log(nodes) times. A step is one aggregation with partial sums and one join,
     never a collected neighbourhood, so a node with very many edges is no group
-    in one task: the join's large side is split by adaptive execution. Nulls
-    and self-loops are ignored; an empty list gives an empty result.
+    in one task: the join's large side is split by adaptive execution. Each
+    step's table is deleted once the next is written; ``keep`` holds the last
+    one, which the result reads. Nulls and self-loops are ignored; an empty list
+    gives an empty result.
     """
-    edges = durable(
+    keep = keep or Tables(edges.sparkSession)
+    edges = keep(
         edges.where("a IS NOT NULL AND b IS NOT NULL AND a <> b")
         .select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo"))
         .distinct()
     )
     state = _state(edges)
     while state[0]:
-        edges = durable(_small_star(_large_star(edges)))
+        before, edges = edges, keep(_small_star(_large_star(edges)))
+        keep.drop(before)
         after = _state(edges)
         if after == state:
             break

@@ -20,7 +20,6 @@ input to the shuffle however many blocks there are.
 
 from __future__ import annotations
 
-import functools
 import math
 from collections.abc import Iterator
 
@@ -30,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillflow.llm.common import durable, table
+from tillflow.llm.common import Tables, table
 from tillflow.llm.components import components
 
 #: Least cosine of a link.
@@ -46,6 +45,9 @@ TILE = 1024
 #: More than the rounding of doubles adds to any bound.
 SLACK = 1e-9
 
+#: A class with links in a task: how many, and the representative of its component there.
+_LINKS = "digest binary, rep long, links long, other long"
+
 
 class Quantised:
     """Vectors of one length: unit vectors, int8 components (as float32, in which their products are exact), and bounds."""
@@ -185,26 +187,32 @@ def near_duplicates(vectors: DataFrame, embedding: str = "embedding", threshold:
     vec_id links with nothing; its component_id is null and it is kept. An empty
     table gives an empty result.
     """
-    spark = vectors.sparkSession
-    rows = durable(_vectors(vectors, embedding))
+    with Tables(vectors.sparkSession) as keep:
+        return keep.result(_groups(vectors, embedding, threshold, keep))
+
+
+def _groups(vectors: DataFrame, embedding: str, threshold: float, keep: Tables) -> DataFrame:
+    rows = keep(_vectors(vectors, embedding))
     real = rows.where("digest IS NOT NULL")
-    classes = durable(
+    classes = keep(
         real.groupBy("digest")
         .agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"), F.first("x").alias("x"))
         .withColumn("width", (F.length("x") / 8).cast("long"))
     )
     sizes = {r["width"]: r["n"] for r in classes.groupBy("width").agg(F.count("*").alias("n")).collect()}
-    found = [r for width, n in sorted(sizes.items()) for r in _waves(classes.where(F.col("width") == width), width, n, threshold)]
-    schema = "digest binary, rep long, links long, other long"
-    links = durable(functools.reduce(DataFrame.unionByName, found)) if found else spark.createDataFrame([], schema)
+    links = vectors.sparkSession.createDataFrame([], _LINKS)
+    for width, n in sorted(sizes.items()):
+        for wave in _waves(classes.where(F.col("width") == width), width, n, threshold):
+            links = links.unionByName(keep(wave))
 
     several = real.groupBy("vec_id").agg(F.min("digest").alias("x"), F.max("digest").alias("y")).where("x <> y")
     named = real.select("vec_id", "digest").join(several.select("vec_id"), "vec_id", "left_semi").join(classes.select("digest", "rep"), "digest")
     edges = links.select(F.col("rep").alias("a"), F.col("other").alias("b")).unionByName(named.select(F.col("rep").alias("a"), F.col("vec_id").alias("b")))
-    comp = components(edges)
+    comp = components(edges, keep)
     counted = links.groupBy("digest").agg(F.sum("links").alias("links"))
     told = (
-        classes.join(counted, "digest", "left")
+        classes.select("digest", "rep", "copies")
+        .join(counted, "digest", "left")
         .join(comp.withColumnRenamed("node", "rep"), "rep", "left")
         .where("copies > 1 OR links IS NOT NULL OR component IS NOT NULL")
         .select("digest", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "rep").alias("component_id"))
@@ -218,10 +226,9 @@ def near_duplicates(vectors: DataFrame, embedding: str = "embedding", threshold:
 
 
 def _waves(classes: DataFrame, width: int, n: int, threshold: float) -> Iterator[DataFrame]:
-    """(digest, rep, links, other) of classes of one width, for every pair of blocks, wave by wave."""
+    """Links of classes of one width, for every pair of blocks, wave by wave."""
     blocks = max(math.ceil(n * width / BLOCK_VALUES), min(BLOCKS, math.ceil(n / TILE)))
     dealt = classes.withColumn("block", F.pmod(F.xxhash64("digest"), F.lit(blocks)).cast("int"))
-    schema = "digest binary, rep long, links long, other long"
     for first in range(0, blocks, WAVE):
         # pairs (i, j), i <= j, whose lesser block belongs to this wave
         rows = F.sequence(F.lit(first), F.lit(min(first + WAVE, blocks) - 1))
@@ -229,7 +236,7 @@ def _waves(classes: DataFrame, width: int, n: int, threshold: float) -> Iterator
         greater = F.transform(F.sequence(F.col("block") + 1, F.lit(blocks - 1)), lambda j: F.struct(F.col("block").alias("i"), j.alias("j")))
         own = F.when(F.col("block").between(first, first + WAVE - 1) & (F.col("block") < blocks - 1), F.concat(lesser, greater)).otherwise(lesser)
         pairs = dealt.select("*", F.explode(own).alias("pair")).select("*", "pair.i", "pair.j").drop("pair")
-        yield durable(pairs.groupBy("i", "j").applyInArrow(_compare(threshold), schema))
+        yield pairs.groupBy("i", "j").applyInArrow(_compare(threshold), _LINKS)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,15 +12,20 @@ full shingle sets is high enough. No pair of a large group is made just
 because both are in it:
 
 1. Documents with equal sets are one class from the start.
-2. In each bucket, every class is compared with one pivot, the one that shares
+2. A shingle of one class alone is private: it is in no intersection. A class
+   with too many of them can have no link and goes, and so does a bucket left
+   with one class.
+3. In each bucket, every class is compared with one pivot, the one that shares
    most buckets with others, so a group of near copies meets its common origin.
-3. Buckets whose members all are in one component by then are done. In the
+4. Buckets whose members all are in one component by then are done. In the
    others, classes outside the largest component are held against all others,
    but only where a link is still possible: what two classes share with the same
-   pivot bounds what they can share with each other. That is a range join on
-   the overlap with the pivot, sharpened by 64-bit masks of the differences.
+   pivot, and what each has alone, bounds what they can share with each other.
+   That is a range join on the overlap with the pivot, sharpened by 64-bit masks
+   of the differences.
 
-So no link is lost, and a large group of loosely similar texts makes few pairs.
+No step loses a link. Texts that drift apart by replaced words have private
+shingles, so a group of them makes few pairs even if its origin is not there.
 """
 
 from __future__ import annotations
@@ -34,7 +39,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillflow.llm.common import durable
+from tillflow.llm.common import Tables
 from tillflow.llm.components import components
 
 #: Bands and rows of each. A pair at similarity 0.8 shares no band with chance (1 - 0.8**5)**32 = 3e-6.
@@ -161,15 +166,36 @@ def _mask(hashes: Column) -> Column:
     return F.aggregate(hashes, F.lit(0).cast("long"), lambda m, h: m.bitwiseOR(bit(h)))
 
 
+def private_shingles(sets: DataFrame) -> DataFrame:
+    """(part, hash) of every shingle that one set alone has."""
+    each = sets.select("part", F.explode("hashes").alias("hash"))
+    return each.groupBy("hash").agg(F.min("part").alias("part"), F.max("part").alias("last")).where("part = last").select("part", "hash")
+
+
+def linkable(sets: DataFrame, private: DataFrame, percent: int) -> DataFrame:
+    """The sets that may have a link: id, n (all shingles), own (the private ones) and the others, ``hashes``.
+
+    A partner has at most 100 * n / percent shingles, and lacks all private ones.
+    """
+    counts = private.groupBy("part").agg(F.count("*").alias("own"))
+    few = (
+        sets.join(counts, "part", "left")
+        .withColumns({"n": F.size("hashes").cast("long"), "own": F.coalesce("own", F.lit(0))})
+        .where(F.col("own") * percent <= (100 - percent) * F.col("n"))
+    )
+    gone = private.groupBy("part").agg(F.collect_list("hash").alias("gone"))  # part of one set
+    left = F.array_except("hashes", F.coalesce("gone", F.array().cast("array<long>")))
+    return few.join(gone, "part", "left").select("id", "n", "own", left.alias("hashes"))
+
+
 def overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b), once each, with the sizes n and m of their full sets, that of the
-    intersection, ``common``, and masks of what only the one and only the other has."""
-    left = sets.select(F.col("id").alias("a"), F.col("hashes").alias("left"))
-    right = sets.select(F.col("id").alias("b"), F.col("hashes").alias("right"))
-    both = pairs.join(left, "a").join(right, "b").withColumn("both", F.array_intersect("left", "right"))
-    sizes = [F.size(c).cast("long").alias(x) for c, x in (("left", "n"), ("right", "m"), ("both", "common"))]
+    """The pairs (a, b), once each, with the sizes n and m of their full sets, that of the intersection,
+    ``common``, and masks of the shingles, private ones left out, that only the one and only the other has."""
+    left = sets.select(F.col("id").alias("a"), "n", F.col("hashes").alias("left"))
+    right = sets.select(F.col("id").alias("b"), F.col("n").alias("m"), F.col("hashes").alias("right"))
+    both = pairs.distinct().join(left, "a").join(right, "b").withColumn("both", F.array_intersect("left", "right"))
     masks = [_mask(F.array_except(c, "both")).alias(x) for c, x in (("left", "only_a"), ("right", "only_b"))]
-    return both.select("a", "b", *sizes, *masks).distinct()
+    return both.select("a", "b", "n", "m", F.size("both").cast("long").alias("common"), *masks)
 
 
 def _linked(common, total, percent: int) -> Column:
@@ -185,15 +211,15 @@ def _pivots(shared: DataFrame) -> DataFrame:
     return shared.join(weight, "rep").groupBy("key").agg(best.alias("best")).select("key", "best.*")
 
 
-def _open(shared: DataFrame, pivots: DataFrame, seen: DataFrame, percent: int) -> DataFrame:
-    """Members (key, rep, n, comp, most, ref, and near and far) of the buckets that hold more than one component.
+def _open(shared: DataFrame, pivots: DataFrame, seen: DataFrame, percent: int, keep: Tables) -> DataFrame:
+    """Members (key, rep, n, own, comp, most, ref, and near and far) of the buckets that hold more than one component.
 
     ``most`` is the component with most members and ``ref`` the weightiest
     pivot of all the member's buckets. ``near`` (for the bucket's pivot) and
     ``far`` (for ref) hold the overlap p with that class, and masks of the
     shingles that are extra and that lack.
     """
-    comp = components(seen.where(_linked(F.col("common"), F.col("n") + F.col("m"), percent)).select("a", "b"))
+    comp = components(seen.where(_linked(F.col("common"), F.col("n") + F.col("m"), percent)).select("a", "b"), keep)
     comp = comp.select(F.col("node").alias("rep"), F.col("component").alias("comp"))
     named = shared.join(comp, "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
     mixed = (
@@ -212,14 +238,14 @@ def _open(shared: DataFrame, pivots: DataFrame, seen: DataFrame, percent: int) -
     none = F.lit(0).cast("long")
 
     def compared(members: DataFrame, other: str, name: str) -> DataFrame:
-        own = F.struct(F.col("n").alias("p"), none.alias("extra"), none.alias("lack"))
+        itself = F.struct((F.col("n") - F.col("own")).alias("p"), none.alias("extra"), none.alias("lack"))
         told = members.join(known.withColumnRenamed("other", other), ["rep", other], "left")
-        by = F.when(F.col("rep") == F.col(other), own).otherwise(F.struct(F.col("common").alias("p"), "extra", "lack"))
+        by = F.when(F.col("rep") == F.col(other), itself).otherwise(F.struct(F.col("common").alias("p"), "extra", "lack"))
         return told.withColumn(name, by).drop("common", "extra", "lack")
 
     members = named.join(mixed, "key").join(pivots.select("key", "pivot"), "key").join(refs, "rep")
     members = compared(compared(members, "pivot", "near"), "ref", "far")
-    return members.select("key", "rep", "n", "comp", "most", "ref", "near", "far")
+    return members.select("key", "rep", "n", "own", "comp", "most", "ref", "near", "far")
 
 
 def _possible_pairs(members: DataFrame, percent: int) -> DataFrame:
@@ -235,21 +261,22 @@ def _within_reach(members: DataFrame, percent: int, also: Column) -> DataFrame:
     Two classes of n and n' shingles that share p and p' with that class have at
     most min(p, p') of them in common from it and min(n - p, n' - p') beside it.
     So they are linked only if (100 + percent) * |p - p'| <= (100 - percent) * (n + n'),
-    which is a range join on p. Within the range the masks sharpen the bound: a
-    bit that is set for one class only stands for a shingle that lacks, or is
-    extra, there alone.
+    which is a range join on p. Within the range, private shingles are no common
+    ones, and the masks sharpen the bound: a bit that is set for one class only
+    stands for a shingle that lacks, or is extra, there alone.
     """
     told = members.withColumns({"p": F.col("by.p"), "extra": F.col("by.extra"), "lack": F.col("by.lack")})
     group = told.groupBy("group").agg(F.max("n").alias("top"), F.greatest(F.max("n") / CELLS, F.lit(1)).cast("long").alias("width"))
     told = told.join(group, "group")
     reach = ((100 - percent) * (F.col("n") + F.col("top")) / (100 + percent)).cast("long")
     cell = lambda c: F.floor(c / F.col("width"))
-    kept = ("rep", "n", "p", "extra", "lack", "comp", "ref")
+    kept = ("rep", "n", "own", "p", "extra", "lack", "comp", "ref")
     few = told.where("comp <> most").withColumn("cell", F.explode(F.sequence(cell(F.col("p") - reach), cell(F.col("p") + reach))))
     other = told.select("group", cell(F.col("p")).alias("cell"), *[F.col(c).alias(f"{c}_") for c in kept])
     alone = lambda x, y: F.bit_count(F.col(x).bitwiseAND(F.bitwise_not(F.col(y))))
     from_it = F.least(F.col("p") - alone("lack_", "lack"), F.col("p_") - alone("lack", "lack_"))
-    beside = F.least(F.col("n") - F.col("p") - alone("extra", "extra_"), F.col("n_") - F.col("p_") - alone("extra_", "extra"))
+    rest = lambda s: F.col(f"n{s}") - F.col(f"own{s}") - F.col(f"p{s}")
+    beside = F.least(rest("") - alone("extra", "extra_"), rest("_") - alone("extra_", "extra"))
     return (
         few.select("group", "cell", *kept)
         .join(other, ["group", "cell"])
@@ -268,29 +295,44 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     all, and each gets a row. A null doc_id is linked with nothing; its
     component_id is null and it is kept. An empty table gives an empty result.
     """
-    rows = durable(sketches(docs, words))
+    with Tables(docs.sparkSession) as keep:
+        return keep.result(_groups(docs, words, percent, keep))
+
+
+def _several(members: DataFrame) -> DataFrame:
+    """Without the buckets of one class only."""
+    crowded = members.groupBy("key").agg(F.min("rep").alias("x"), F.max("rep").alias("y")).where("x <> y").select("key")
+    return members.join(crowded, "key")
+
+
+def _groups(docs: DataFrame, words: int, percent: int, keep: Tables) -> DataFrame:
+    rows = keep(sketches(docs, words))
     real = rows.where("doc_id IS NOT NULL AND digest IS NOT NULL")
     classes = real.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"))
     copies = real.select("digest", "doc_id").join(classes.where("copies > 1"), "digest").where("doc_id <> rep")
-    links = durable(copies.select(F.col("rep").alias("a"), F.col("doc_id").alias("b")).distinct())
+    links = keep(copies.select(F.col("rep").alias("a"), F.col("doc_id").alias("b")).distinct())
 
     reps = real.join(classes.select("digest", F.col("rep").alias("doc_id")), ["digest", "doc_id"])
-    members = reps.select(F.explode("bands").alias("key"), F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"))
-    crowded = members.groupBy("key").agg(F.min("rep").alias("x"), F.max("rep").alias("y")).where("x <> y").select("key")
-    shared = durable(members.join(crowded, "key").distinct())
-
-    wanted = shared.select(F.col("rep").alias("doc_id")).distinct()
-    sets = durable(shingle_sets(docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi"), words))
-
-    pivots = durable(_pivots(shared))
+    crowded = keep(_several(reps.select(F.explode("bands").alias("key"), F.col("doc_id").alias("rep"))).distinct())
+    wanted = crowded.select(F.col("rep").alias("doc_id")).distinct()
+    whole = shingle_sets(docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi"), words)
+    whole = keep(whole.withColumn("part", F.monotonically_increasing_id()))
+    private = keep(private_shingles(whole))
+    sets = keep(linkable(whole, private, percent))
+    keep.drop(whole, private)
+    shared = keep(_several(crowded.join(sets.select(F.col("id").alias("rep"), "n", "own"), "rep").select("key", "rep", "n", "own").distinct()))
+    keep.drop(crowded)
+
+    pivots = keep(_pivots(shared))
     star = shared.join(pivots.select("key", "pivot"), "key").where("rep <> pivot")
-    star = star.select(F.least("rep", "pivot").alias("a"), F.greatest("rep", "pivot").alias("b")).distinct()
-    seen = durable(overlaps(star, sets))
-    members = durable(_open(shared, pivots, seen, percent))
-    rest = overlaps(_possible_pairs(members, percent).join(seen, ["a", "b"], "left_anti"), sets)
-    found = seen.unionByName(rest).where(_linked(F.col("common"), F.col("n") + F.col("m"), percent)).select("a", "b")
-
-    comp = components(links.unionByName(found))
+    seen = keep(overlaps(star.select(F.least("rep", "pivot").alias("a"), F.greatest("rep", "pivot").alias("b")), sets))
+    members = keep(_open(shared, pivots, seen, percent, keep))
+    pairs = keep(_possible_pairs(members, percent).join(seen, ["a", "b"], "left_anti"))
+    keep.drop(shared, pivots, members)
+    found = keep(seen.unionByName(overlaps(pairs, sets)).where(_linked(F.col("common"), F.col("n") + F.col("m"), percent)).select("a", "b"))
+    keep.drop(sets, seen, pairs)
+
+    comp = components(links.unionByName(found), keep)
     return rows.join(comp.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(
         "doc_id",
         "n_shingles",
