@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from tillflow.llm import bpe, decontaminate, langid, linededup, minhash  # noqa: E402
-from tillflow.llm.common import boxed, table, unboxed  # noqa: E402
+from tillflow.llm.common import boxed, table  # noqa: E402
 from tillflow.session import file_system, scratch_path  # noqa: E402
 
 
@@ -28,9 +28,10 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = langid.learn(docs.where("doc_id IS NOT NULL"))
     if not model.langs:
         return docs.where(F.col("text").rlike(r"\p{L}"))
-    judged = langid.predict(boxed(docs, F.col("text")), model)
-    stays = (F.col("lang_pred") != langid.UNKNOWN) & (F.col("bits_per_byte") < 8)
-    return unboxed(judged.where(stays), replaced={"lang": F.coalesce("box.lang", "lang_pred")})
+    judged = langid.predict(boxed(docs, F.col("text"), adds=("text",)), model)
+    left = judged.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("bits_per_byte") < 8))
+    own = {"text": F.col("text"), "lang": F.coalesce("box.lang", "lang_pred")}
+    return left.select(*[own.get(c, F.col("box").getField(c)).alias(c) for c in docs.columns])
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
