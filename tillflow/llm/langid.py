@@ -266,6 +266,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
         lang, share, bits = score_texts(shared.value, text.tolist())
         return pd.DataFrame({"lang_pred": lang, "score": share, "bits_per_byte": bits})
 
+    judge = judge.asNondeterministic()  # so that a filter on its result is not evaluated apart, with a second call
     names = ("lang_pred", "score", "bits_per_byte")
     return unboxed(boxed(docs, judge(F.col("text")).alias("judged"), adds=names), *[F.col(f"judged.{n}").alias(n) for n in names])
 
