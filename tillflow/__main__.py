@@ -2,6 +2,7 @@
 
 batch   load every receipt file under --source into the targets
 stream  keep loading files as they arrive (or --once: process what is there)
+events  load the files that arrival events name, then stop
 rejects reasons and counts of what the loads have turned away
 write-processed  the four tables of the receipts under --source as processed CSV outputs
 load    load processed CSV outputs into the targets, by their names
@@ -38,9 +39,10 @@ def main(argv=None) -> None:
     p = argparse.ArgumentParser(prog="tillflow")
     p.add_argument("--master", default=None)
     sub = p.add_subparsers(dest="cmd", required=True)
-    for name in ("batch", "stream", "write-processed"):
+    for name in ("batch", "stream", "events", "write-processed"):
         s = sub.add_parser(name)
-        s.add_argument("--source", required=True, help="folder (or glob) of headerless receipt CSV files")
+        if name != "events":
+            s.add_argument("--source", required=True, help="folder (or glob) of headerless receipt CSV files")
         if name != "write-processed":
             s.add_argument("--targets", required=True, help="folder holding the target tables")
         s.add_argument("--id-hash", choices=["sha256", "shake256"], default="sha256")
@@ -52,8 +54,13 @@ def main(argv=None) -> None:
         if name == "write-processed":
             s.add_argument("--out", required=True, help="folder for the outputs")
             s.add_argument("--name", required=True, help="name of the source, as in receipts/2021-08-25.csv")
-        if name == "stream":
+        if name == "events":
+            s.add_argument("--events", required=True, help="folder (or glob) of event files, one JSON event to a line")
+            s.add_argument("--root", required=True, help="folder or store URL in which the buckets lie")
+            s.add_argument("--archive", help="folder that takes up event files once they are done")
+        if name in ("stream", "events"):
             s.add_argument("--checkpoint", required=True)
+        if name == "stream":
             s.add_argument("--once", action="store_true")
             s.add_argument("--every", default="1 minute")
             s.add_argument("--max-files", type=int, default=None, help="files of a micro-batch at most (default: all)")
@@ -86,6 +93,12 @@ def main(argv=None) -> None:
             _say(ingest.run_available(spark, args.source, args.targets, args.checkpoint, **options))
         else:
             ingest.start(spark, args.source, args.targets, args.checkpoint, args.every, **options).awaitTermination()
+    elif args.cmd == "events":
+        from tillflow.streaming import events
+
+        done = events.run_available(spark, args.events, args.root, args.targets, args.checkpoint, args.archive, _ids(args), _formats(args), args.multiline)
+        _say(done.added)
+        print(f"files {done.files}, missing {done.missing}, unreadable events {done.unreadable}")
     elif args.cmd == "write-processed":
         from tillflow.operators.normalize import normalize
         from tillflow.sinks.csv import write_processed

@@ -51,6 +51,19 @@ def event_fields(event: Column) -> tuple[Column, Column]:
     return rec["bucket"]["name"], rec["object"]["key"]
 
 
+def event_objects(event: Column) -> Column:
+    """(bucket, key) of every record of an event, as an array; keys as the store has them.
+
+    Events carry keys in URL encoding. A text that is no event gives null, a
+    record without bucket or key does not count.
+    """
+    records = F.transform(
+        F.from_json(event, ARRIVAL_EVENT)["Records"],
+        lambda r: F.struct(r["s3"]["bucket"]["name"].alias("bucket"), F.try_url_decode(r["s3"]["object"]["key"]).alias("key")),
+    )
+    return F.filter(records, lambda r: r["bucket"].isNotNull() & r["key"].isNotNull())
+
+
 def parse_object(text: Column, schema: T.StructType = CONFIG) -> Column:
     """JSON object text (newlines allowed) to a typed struct."""
     return F.from_json(text, schema)

@@ -8,6 +8,7 @@ checkpoint folder (``session.scratch_path``) and read the result back.
 from __future__ import annotations
 
 import functools
+import json
 from typing import Callable
 
 from pyspark import StorageLevel
@@ -28,7 +29,7 @@ from tillflow.session import file_system, scratch_path
 from tillflow.sinks import csv as csv_sink
 from tillflow.sinks.tables import append_rows, conform, land_raw, load_if_absent, read_target
 from tillflow.sources import csv as csv_source
-from tillflow.streaming import ingest
+from tillflow.streaming import events as arrivals, ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -580,6 +581,21 @@ def stream_ingest(spark, sf_dir):
     return ingest.target(spark, targets, "orders_products")
 
 
+@register("event_ingest")
+def event_ingest(spark, sf_dir):
+    """Loads that events start: one event for one file, then one event for two, the first file again among them."""
+    store, events, targets, ckpt = (scratch_path(spark, n) for n in ("store", "events", "targets", "events-ckpt"))
+    early = F.col("timestamp") < F.lit(LATE_BEFORE).cast("timestamp_ntz")
+    for key, part in (("day 1.csv", ~early), ("day+2.csv", early)):
+        csv_sink.write_csv(fixtures.receipts(spark, sf_dir).where(part), f"{store}/till/{key}")
+    said = [["day+1.csv"], ["day%2B2.csv", "day+1.csv"]]  # keys as events spell them
+    for k, keys in enumerate(said):
+        records = [{"s3": {"bucket": {"name": "till"}, "object": {"key": key}}} for key in keys]
+        spark.createDataFrame([(json.dumps({"Records": records}),)], "value string").write.text(f"{events}/{k}")
+        arrivals.run_available(spark, f"{events}/*", store, targets, ckpt)
+    return ingest.target(spark, targets, "orders_products")
+
+
 def _write_file(spark, sf_dir, path, dest):
     files = fixtures.two_files(spark, sf_dir)
     csv_sink.write_csv(fixtures.file_of(files, path), dest)

@@ -365,6 +365,7 @@ ORACLE_SQL["preview_limit"] = _q(
 )
 
 ORACLE_SQL["stream_ingest"] = ORACLE_SQL["norm_orders_products"]
+ORACLE_SQL["event_ingest"] = ORACLE_SQL["norm_orders_products"]
 ORACLE_SQL["stream_upsert"] = ORACLE_SQL["norm_orders_products"]
 ORACLE_SQL["stream_replay"] = _q(
     "SELECT order_id, product_id, quantity, (SELECT count(*) FROM t_stores) AS n_stores, (SELECT count(*) FROM t_orders) AS n_orders, "

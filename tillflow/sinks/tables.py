@@ -13,17 +13,17 @@ both find a key absent. A table format with commits would lift that.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillflow.operators.upsert import insert_if_absent
+from tillflow.operators.upsert import anti_join, one_per_key
 from tillflow.schemas import KEYS, LOAD_ORDER, PARTITION_COLUMN, REJECTS, TABLES
 from tillflow.session import file_system
 
+#: Tasks that share the months of a small load between them.
+MONTH_WRITERS = 16
 #: Rows of one written file, about, and files of a partition from which ``compact`` rewrites it.
 ROWS_PER_FILE = 1_000_000
 COMPACT_FROM = 8
@@ -68,21 +68,24 @@ def month_folders(spark: SparkSession, root: str, part: str, months: list) -> li
     return [p for p in named if _exists(spark, p)]
 
 
+def stored(spark: SparkSession, base: str, table: str, months: list | None = None) -> DataFrame | None:
+    """A target as stored, or None if there is none yet; with ``months``, only of these."""
+    root, part = f"{base.rstrip('/')}/{table}", PARTITION_COLUMN.get(table)
+    reader = spark.read.schema(_stored_schema(table))
+    if part and months is not None:
+        paths = month_folders(spark, root, part, months)
+        return reader.option("basePath", root).parquet(*paths) if paths else None
+    return reader.parquet(root) if _exists(spark, root) else None
+
+
 def read_target(spark: SparkSession, base: str, table: str, months: list | None = None) -> DataFrame:
     """A target as stored (month-partitioned tables include ``order_month``); empty if there is none yet.
 
     With ``months`` only their folders are listed and read, so the cost does
     not grow with the months that a load does not touch.
     """
-    root, part = f"{base.rstrip('/')}/{table}", PARTITION_COLUMN.get(table)
-    reader = spark.read.schema(_stored_schema(table))
-    if part and months is not None:
-        paths = month_folders(spark, root, part, months)
-        if paths:
-            return reader.option("basePath", root).parquet(*paths)
-    elif _exists(spark, root):
-        return reader.parquet(root)
-    return spark.createDataFrame([], _stored_schema(table))
+    found = stored(spark, base, table, months)
+    return spark.createDataFrame([], _stored_schema(table)) if found is None else found
 
 
 def batch_months(staging: DataFrame, table: str) -> list:
@@ -90,38 +93,72 @@ def batch_months(staging: DataFrame, table: str) -> list:
     return [r[0] for r in staging.select(PARTITION_COLUMN[table]).distinct().collect()]
 
 
-def new_rows(staging: DataFrame, spark: SparkSession, base: str, table: str, months: list | None = None) -> DataFrame:
-    """Rows of one load that are not in the target yet.
+def known_keys(staged: DataFrame, n: int, target: DataFrame, keys: list[str]) -> DataFrame:
+    """The staged keys that the target holds; ``n`` is how many keys are staged.
 
-    Of a month-partitioned target only the batch's months are read. If the
-    batch has few keys (counted), the target's keys are first reduced to those
-    by a broadcast semi join, so that only they are shuffled for the anti join;
-    a larger batch goes straight to the sort-merge anti join.
+    Up to ``BROADCAST_KEYS`` of them go to where the target's files are, so the
+    target is scanned and not shuffled, and what is found is no more than was
+    staged. More keys meet the target in a sort-merge join.
     """
+    return target.join(F.broadcast(staged) if n <= BROADCAST_KEYS else staged, keys, "left_semi").distinct()
+
+
+def _write(rows: DataFrame, n: int, base: str, table: str) -> int:
+    """Write ``rows``, at most ``n``, in files of about ``ROWS_PER_FILE``; the rows written, as the write observed them."""
+    part = PARTITION_COLUMN.get(table)
+    order = [*([part] if part else []), *KEYS.get(table, ["reject_id"])]
+    files = -(-n // ROWS_PER_FILE)
+    if files > 1:
+        dealt = rows.repartitionByRange(files, *order)
+    else:  # a month is one file either way; opening them takes longer than filling them
+        dealt = rows.repartition(MONTH_WRITERS, part) if part else rows.repartition(1)
+    written = Observation()
+    writer = dealt.sortWithinPartitions(*order).observe(written, F.count(F.lit(1)).alias("n")).write.mode("append")
+    (writer.partitionBy(part) if part else writer).parquet(f"{base.rstrip('/')}/{table}")
+    return written.get["n"]
+
+
+def _batch_months(staging: DataFrame, table: str, months: list | None) -> list | None:
+    return batch_months(staging, table) if months is None and table in PARTITION_COLUMN else months
+
+
+def _without(staging: DataFrame, known: DataFrame | None, n: int, keys: list[str]) -> DataFrame:
+    """One row of each of the ``n`` staged keys but for the known ones."""
+    rows = one_per_key(staging, keys)
+    if known is None:
+        return rows
+    return anti_join(rows, F.broadcast(known) if n <= BROADCAST_KEYS else known, keys)
+
+
+def new_rows(staging: DataFrame, spark: SparkSession, base: str, table: str, months: list | None = None) -> DataFrame:
+    """The rows of one load that are not in the target yet; of a month-partitioned one only the batch's months are read."""
     keys = KEYS.get(table, ["reject_id"])
-    if months is None and table in PARTITION_COLUMN:
-        months = batch_months(staging, table)
-    target = read_target(spark, base, table, months).select(*keys)
+    target = stored(spark, base, table, _batch_months(staging, table, months))
     staged = staging.select(*keys).distinct()
-    if staged.count() <= BROADCAST_KEYS:
-        target = target.join(F.broadcast(staged), keys, "left_semi")
-    return insert_if_absent(staging, target, keys)
+    n = staged.count()
+    known = None if target is None else known_keys(staged, n, target.select(*keys), keys)
+    return _without(staging, known, n, keys)
+
 
+def insert_new(staging: DataFrame, spark: SparkSession, base: str, table: str, months: list | None = None) -> int:
+    """Insert the rows of one load whose key is not in the target yet; the rows added.
 
-def _append(rows: DataFrame, base: str, table: str) -> int:
-    """Write the rows in files of about ``ROWS_PER_FILE``; nothing is written if there are none."""
-    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    The staged keys are counted, then those that the target holds already. If
+    that leaves none, nothing is written; else one job writes the rest. A batch
+    of up to ``BROADCAST_KEYS`` keys is joined without a shuffle of the target.
+    """
+    keys = KEYS.get(table, ["reject_id"])
+    staged = staging.select(*keys).distinct()
+    n = staged.count()
+    target = stored(spark, base, table, _batch_months(staging, table, months)) if n else None
+    if target is None:
+        return _write(_without(staging, None, n, keys), n, base, table) if n else 0
+    known = known_keys(staged, n, target.select(*keys), keys).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        n = rows.count()
-        if n:
-            part = PARTITION_COLUMN.get(table)
-            order = [*([part] if part else []), *KEYS.get(table, ["reject_id"])]
-            files = -(-n // ROWS_PER_FILE)
-            writer = rows.repartitionByRange(files, *order).write.mode("append")
-            (writer.partitionBy(part) if part else writer).parquet(f"{base.rstrip('/')}/{table}")
-        return n
+        left = n - known.count()
+        return _write(_without(staging, known, n, keys), left, base, table) if left else 0
     finally:
-        rows.unpersist()
+        known.unpersist()
 
 
 def load_if_absent(tables: dict[str, DataFrame], base: str, spark: SparkSession, months: list | None = None) -> dict[str, int]:
@@ -135,10 +172,11 @@ def load_if_absent(tables: dict[str, DataFrame], base: str, spark: SparkSession,
     for name in (*LOAD_ORDER, *REJECTS):
         if name not in tables:
             continue
+        recover(spark, base, name)
         staging = tables[name] if name in REJECTS else conform(tables[name], name, keep_partition=True)
         staging = staging.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            added[name] = _append(new_rows(staging, spark, base, name, months), base, name)
+            added[name] = insert_new(staging, spark, base, name, months)
         finally:
             staging.unpersist()
     return added
@@ -146,16 +184,23 @@ def load_if_absent(tables: dict[str, DataFrame], base: str, spark: SparkSession,
 
 def append_rows(df: DataFrame, base: str, table: str) -> int:
     """Blind append, no key check (K2); fact tables must carry ``order_month``."""
-    return _append(conform(df, table, keep_partition=True), base, table)
+    rows = conform(df, table, keep_partition=True).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        n = rows.count()
+        return _write(rows, n, base, table) if n else 0
+    finally:
+        rows.unpersist()
 
 
 def compact(spark: SparkSession, base: str, table: str) -> int:
     """Rewrite the folders of a target that hold many small files; returns how many were rewritten.
 
     Maintenance, while no load runs. A folder is first copied next to the
-    target in files of ``ROWS_PER_FILE`` rows, then the copy replaces it; until
-    that is done the copy stays, so a stop in between loses nothing.
+    target in files of ``ROWS_PER_FILE`` rows; then it steps aside and the copy
+    takes its place. If a run stops in between, ``recover`` (which this and
+    every load call first) puts the copy in place, or the folder back.
     """
+    recover(spark, base, table)
     root, part = f"{base.rstrip('/')}/{table}", PARTITION_COLUMN.get(table)
     fs, p = file_system(spark, root)
     if not fs.exists(p):
@@ -168,13 +213,51 @@ def compact(spark: SparkSession, base: str, table: str) -> int:
         if len(files) < COMPACT_FROM:
             continue
         rows = spark.read.schema((TABLES | REJECTS)[table]).parquet(folder)
-        copy = f"{base.rstrip('/')}/_compact-{table}-{uuid.uuid4().hex}"
+        copy, aside = _compact_paths(base, table, folder if part else "")
         rows.repartitionByRange(-(-max(rows.count(), 1) // ROWS_PER_FILE), *KEYS.get(table, ["reject_id"])).write.parquet(copy)
-        old, new = file_system(spark, folder)[1], file_system(spark, copy)[1]
-        fs.delete(old, True)
-        if not fs.rename(new, old):
-            raise OSError(f"{copy} holds the rows of {folder} and could not take its place")
+        _rename(spark, folder, aside)
+        _rename(spark, copy, folder)
+        fs.delete(file_system(spark, aside)[1], True)
         done += 1
+    fs.delete(file_system(spark, f"{base.rstrip('/')}/_compact-{table}")[1], True)
+    return done
+
+
+def _compact_paths(base: str, table: str, folder: str) -> tuple[str, str]:
+    """Where the copy of a folder is made, and where the folder waits meanwhile."""
+    name = f"{base.rstrip('/')}/_compact-{table}/{folder.rstrip('/').rsplit('/', 1)[-1] or 'all'}"
+    return f"{name}.copy", f"{name}.old"
+
+
+def _rename(spark: SparkSession, source: str, dest: str) -> None:
+    fs, p = file_system(spark, dest)
+    fs.mkdirs(p.getParent())
+    if not fs.rename(file_system(spark, source)[1], p):
+        raise OSError(f"{source} could not be renamed to {dest}")
+
+
+def recover(spark: SparkSession, base: str, table: str) -> int:
+    """Finish or undo compactions that stopped halfway; returns how many folders were put in place.
+
+    A copy without ``_SUCCESS`` is unfinished and goes. Where a folder had
+    stepped aside, its finished copy takes its place, or else it comes back.
+    """
+    root, part = f"{base.rstrip('/')}/{table}", PARTITION_COLUMN.get(table)
+    fs, p = file_system(spark, f"{base.rstrip('/')}/_compact-{table}")
+    if not fs.exists(p):
+        return 0
+    left = {s.getPath().getName() for s in fs.listStatus(p)}
+    done = 0
+    for name in sorted({n.rsplit(".", 1)[0] for n in left}):
+        copy, aside = _compact_paths(base, table, name)
+        folder = f"{root}/{name}" if part else root
+        whole = f"{name}.copy" in left and _exists(spark, f"{copy}/_SUCCESS")
+        if f"{name}.old" in left and not _exists(spark, folder):
+            _rename(spark, copy if whole else aside, folder)
+            done += 1
+        for path in (copy, aside):
+            fs.delete(file_system(spark, path)[1], True)
+    fs.delete(p, True)
     return done
 
 
