@@ -1,11 +1,14 @@
 """Line dedup by content-defined chunks of lines. DataFrame functions only.
 
-Each line is hashed, and a hash rolls over every ``WINDOW`` line hashes. A chunk
-ends after a line whose rolling hash is divisible by ``DIVISOR`` unless that of
-the line before is as well. So a boundary depends on the few lines before it
-alone, and a passage is cut alike wherever it stands; no chunk of a text of
-several lines is a single line. Chunks that occur again anywhere are removed
-but for their first occurrence, after their bytes have been compared.
+A passage that repeats is often a few sentences inside long lines, so lines are
+first split into pieces: a piece ends with its line, with a sentence, with a word
+that ends in one of a few letters, or after ``WORDS`` words. Each piece is hashed,
+and a hash rolls over every ``WINDOW`` piece hashes. A chunk ends after a piece
+whose rolling hash is greater than that of its two neighbours. So a boundary
+depends on a few pieces around it alone, a passage is cut alike wherever it
+stands, and no chunk of several pieces is a single one. Chunks that occur again
+anywhere are removed but for their first occurrence, after their bytes have been
+compared; the blanks and line ends after a chunk go with it and are not compared.
 
 What is shuffled for all chunks is a digest and a position. Texts are shuffled
 once, to apply the decisions; before that only the text of chunks whose digest
@@ -19,10 +22,16 @@ from pyspark.sql import functions as F
 
 from tillflow.llm.common import boxed, durable, unboxed
 
-#: Lines under a rolling hash, its multiplier, and one in how many lines may end a chunk.
-WINDOW, FACTOR, DIVISOR = 3, 31, 2
-#: A chunk must have so many lines that are not blank to be removed.
-MIN_LINES = 2
+#: Pieces under a rolling hash, its multiplier and its modulus.
+WINDOW, FACTOR, MODULUS = 2, 31, 1_000_003
+#: Most words of a piece.
+WORDS = 16
+#: A piece with the blank or line end behind it; the pieces of a text joined are the text. RE2 and Java read it alike.
+PIECE = r"(?:[^ \n。！？]*[^ \n。！？.!?;:sdn] ){0,%d}(?:[^ \n。！？]*[ \n。！？]|[^ \n。！？]+)" % (WORDS - 1)
+#: To be removed a chunk must have so many pieces that are not blank, and so many code points unless it is a whole text.
+MIN_PIECES, MIN_CHARS = 2, 40
+#: What may differ behind a piece or a chunk.
+BEHIND = " \n"
 
 #: Bits of the bitmap of repeated digests (8 MB in 2048 rows).
 BITS = 1 << 26
@@ -36,8 +45,12 @@ def _row_key() -> list[Column]:
     return [F.col("doc_id").cast("long").alias("_doc"), F.xxhash64(text).alias("_hash"), F.length(text).alias("_size")]
 
 
-def line_hash(line: Column) -> Column:
-    return F.conv(F.substring(F.md5(line.cast("binary")), 1, 8), 16, 10).cast("long")
+def _bare(value: Column) -> Column:
+    return F.rtrim(value, F.lit(BEHIND))
+
+
+def piece_hash(piece: Column) -> Column:
+    return F.conv(F.substring(F.md5(_bare(piece).cast("binary")), 1, 8), 16, 10).cast("long")
 
 
 def _let(value: Column, body) -> Column:
@@ -46,12 +59,12 @@ def _let(value: Column, body) -> Column:
 
 
 def chunks(text: Column) -> Column:
-    """The chunks of a text, arrays of lines, in order; a null text counts as empty."""
+    """The chunks of a text, arrays of pieces, in order; none of a null or empty text."""
 
-    def ends(lines: Column, divisible: Column) -> Column:
-        n = F.size(lines)
-        at = F.sequence(F.lit(1), n)
-        inner = F.filter(at, lambda i: (i >= 2) & (i <= n - 2) & F.get(divisible, i - 1) & ~F.get(divisible, i - 2))
+    def ends(pieces: Column, rolled: Column) -> Column:
+        n = F.size(pieces)
+        peak = lambda i: (F.get(rolled, i - 1) > F.get(rolled, i - 2)) & (F.get(rolled, i - 1) > F.get(rolled, i))
+        inner = F.filter(F.sequence(F.lit(1), n), lambda i: (i >= 2) & (i <= n - 2) & peak(i))
         return F.concat(F.array(F.lit(0)), inner, F.array(n))
 
     def rolled(hashes: Column) -> Column:
@@ -59,35 +72,41 @@ def chunks(text: Column) -> Column:
             total = F.lit(0).cast("long")
             for k in range(WINDOW):
                 total = total + F.get(hashes, i - k) * FACTOR**k
-            return F.coalesce(F.pmod(total, F.lit(DIVISOR)) == 0, F.lit(False))  # no hash before the window is full
+            return F.pmod(total, F.lit(MODULUS))  # null before the window is full
 
         return F.transform(hashes, at)
 
-    def cut(lines: Column) -> Column:
-        hashes = F.transform(lines, line_hash)
-        return _let(
-            _let(_let(hashes, rolled), lambda divisible: ends(lines, divisible)),
+    def cut(pieces: Column) -> Column:
+        hashes = F.transform(pieces, piece_hash)
+        several = _let(
+            _let(_let(hashes, rolled), lambda r: ends(pieces, r)),
             lambda e: F.zip_with(
-                F.slice(e, F.lit(1), F.size(e) - 1), F.slice(e, F.lit(2), F.size(e) - 1), lambda a, b: F.slice(lines, a + 1, b - a)
+                F.slice(e, F.lit(1), F.size(e) - 1), F.slice(e, F.lit(2), F.size(e) - 1), lambda a, b: F.slice(pieces, a + 1, b - a)
             ),
         )
+        return F.when(F.size(pieces) > 3, several).when(F.size(pieces) > 0, F.array(pieces)).otherwise(F.array())
 
-    return _let(F.split(F.coalesce(text, F.lit("")), "\n", -1), cut)
+    return _let(F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(PIECE), F.lit(0)), cut)
 
 
-def _joined(lines: Column) -> Column:
-    return F.array_join(lines, "\n")
+def _joined(pieces: Column) -> Column:
+    return F.array_join(pieces, "")
 
 
-def _several(lines: Column) -> Column:
-    return F.size(F.filter(lines, lambda x: F.trim(x) != "")) >= MIN_LINES
+def _removable(pieces: Column, whole: Column) -> Column:
+    several = F.size(F.filter(pieces, lambda x: _bare(x) != "")) >= MIN_PIECES
+    return several & (whole | (F.length(_bare(_joined(pieces))) >= MIN_CHARS))
 
 
 def _occurrences(docs: DataFrame, *more) -> DataFrame:
-    """Row key, position and digest of each chunk of several lines, and what ``more`` makes of its lines."""
-    digest = lambda c: F.when(_several(c), F.unhex(F.md5(_joined(c).cast("binary")))).alias("digest")
-    told = F.transform(chunks(F.col("text")), lambda c: F.struct(digest(c), *[f(c) for f in more]))
-    found = docs.where(F.instr("text", "\n") > 0).select(*_row_key(), F.posexplode(told).alias("pos", "told"))
+    """Row key, position and digest of each chunk that may be removed, and what ``more`` makes of its pieces."""
+
+    def told(all_chunks: Column) -> Column:
+        whole = F.size(all_chunks) == 1
+        digest = lambda c: F.when(_removable(c, whole), F.unhex(F.md5(_bare(_joined(c)).cast("binary")))).alias("digest")
+        return F.transform(all_chunks, lambda c: F.struct(digest(c), *[f(c) for f in more]))
+
+    found = docs.where(F.length("text") > 1).select(*_row_key(), F.posexplode(_let(chunks(F.col("text")), told)).alias("pos", "told"))
     return found.select(*_ROW, "pos", "told.*").where("digest IS NOT NULL")
 
 
@@ -116,7 +135,7 @@ def repeated_chunks(docs: DataFrame) -> DataFrame:
     seen = _occurrences(docs).groupBy("digest").agg(F.min(here).alias("first"), F.max(here).alias("last"))
     first = durable(seen.where("first <> last").select("digest", "first"))
 
-    texts = _maybe_in(_occurrences(docs, lambda c: _joined(c).alias("chunk")), first)
+    texts = _maybe_in(_occurrences(docs, lambda c: _bare(_joined(c)).alias("chunk")), first)
     candidates = durable(texts.join(first, "digest").select(*_ROW, "pos", "digest", "chunk", (here == F.col("first")).alias("is_first")))
     model = candidates.where("is_first").groupBy("digest").agg(F.min("chunk").alias("model"))
     same = candidates.where("NOT is_first").join(model, "digest").where(F.col("chunk") == F.col("model"))
@@ -133,7 +152,7 @@ def _with_row(rows: DataFrame, other: DataFrame, how: str) -> DataFrame:
 
 
 def deduplicate(docs: DataFrame) -> DataFrame:
-    """``docs`` with the remaining lines as ``text``, and ``n_lines`` and ``n_removed`` (lines) added.
+    """``docs`` with the remaining pieces as ``text``, and ``n_lines`` (lines) and ``n_removed`` (pieces) added.
 
     A text without repeated chunks stays as it is, null included (no lines); one
     whose chunks are all repeated becomes empty. Rows that share doc_id and text
@@ -143,11 +162,12 @@ def deduplicate(docs: DataFrame) -> DataFrame:
     """
     gone = repeated_chunks(docs)
     joined = _with_row(boxed(docs, F.col("text"), *_row_key(), adds=("n_lines", "n_removed")), gone, "left")
+    of = lambda all_chunks, stays: F.filter(all_chunks, lambda _, i: F.array_contains("gone", i) != stays)
     left = _let(
-        F.filter(chunks(F.col("text")), lambda _, i: ~F.array_contains("gone", i)),
-        lambda kept: F.struct(
-            F.array_join(F.transform(kept, _joined), "\n").alias("text"),
-            F.aggregate(kept, F.lit(0), lambda n, c: n + F.size(c)).alias("lines"),
+        chunks(F.col("text")),
+        lambda c: F.struct(
+            F.array_join(F.transform(of(c, True), _joined), "").alias("text"),
+            F.aggregate(of(c, False), F.lit(0), lambda n, x: n + F.size(x)).alias("removed"),
         ),
     )
     n_lines = F.when(F.col("text").isNull(), 0).otherwise(F.length("text") - F.length(F.replace(F.col("text"), F.lit("\n"))) + 1)
@@ -155,13 +175,13 @@ def deduplicate(docs: DataFrame) -> DataFrame:
     return unboxed(
         told,
         F.col("lines").cast("long").alias("n_lines"),
-        F.when(F.col("left").isNull(), 0).otherwise(F.col("lines") - F.col("left.lines")).cast("long").alias("n_removed"),
+        F.coalesce("left.removed", F.lit(0)).cast("long").alias("n_removed"),
         replaced={"text": F.coalesce("left.text", "text")},
     )
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines and removed lines of every document, and a digest of what is left."""
+    """Lines and removed pieces of every document, and a digest of what is left."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     return deduplicate(docs).select(
         "doc_id", "n_lines", "n_removed", F.length("text").cast("long").alias("n_chars_left"), F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256")
@@ -170,15 +190,20 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 #: Whole texts are compared where the operator compares digests first.
 ORACLE = f"""
-WITH lines AS (SELECT doc_id, text, string_split(text, chr(10)) AS l FROM documents),
-hashed AS (SELECT *, list_transform(l, lambda x: ('0x' || substr(md5(x), 1, 8))::BIGINT) AS h FROM lines),
-rolled AS (SELECT *, list_transform(range(1, len(h) + 1), lambda i: i >= {WINDOW} AND
-  ({" + ".join(f"h[greatest(i - {k}, 1)] * {FACTOR**k}" for k in range(WINDOW))}) % {DIVISOR} = 0) AS d FROM hashed),
-cuts AS (SELECT doc_id, text, l, list_concat(list_concat([0], list_filter(range(2, len(l) - 1), lambda i: d[i] AND NOT d[i - 1])), [len(l)]) AS e FROM rolled),
-pieces AS (SELECT doc_id, k - 1 AS pos, l[e[k] + 1 : e[k + 1]] AS c FROM (SELECT *, unnest(range(1, len(e))) AS k FROM cuts)),
-told AS (SELECT doc_id, pos, len(c) AS n, array_to_string(c, chr(10)) AS chunk, len(list_filter(c, lambda x: trim(x, ' ') <> '')) >= {MIN_LINES} AS several FROM pieces),
-ranked AS (SELECT *, several AND row_number() OVER (PARTITION BY chunk, several ORDER BY doc_id, pos) > 1 AS gone FROM told),
-kept AS (SELECT doc_id, sum(n)::BIGINT AS n_lines, coalesce(sum(n) FILTER (gone), 0)::BIGINT AS n_removed,
-  coalesce(string_agg(chunk, chr(10) ORDER BY pos) FILTER (NOT gone), '') AS left_ FROM ranked GROUP BY doc_id)
-SELECT doc_id, n_lines, n_removed, length(left_) AS n_chars_left, sha256(left_) AS text_sha256 FROM kept
+WITH pieces AS (SELECT doc_id, text, regexp_extract_all(text, '{PIECE}') AS l FROM documents),
+hashed AS (SELECT *, list_transform(l, lambda x: ('0x' || substr(md5(rtrim(x, ' ' || chr(10))), 1, 8))::BIGINT) AS h FROM pieces),
+rolled AS (SELECT *, list_transform(range(1, len(h) + 1), lambda i: CASE WHEN i >= {WINDOW} THEN
+  ({" + ".join(f"h[greatest(i - {k}, 1)] * {FACTOR**k}" for k in range(WINDOW))}) % {MODULUS} END) AS r FROM hashed),
+cuts AS (SELECT doc_id, l, list_concat(list_concat([0], list_filter(range(2, len(l) - 1), lambda i: r[i] > r[i - 1] AND r[i] > r[i + 1])), [len(l)]) AS e
+  FROM rolled WHERE len(l) > 0),
+parts AS (SELECT doc_id, k - 1 AS pos, l[e[k] + 1 : e[k + 1]] AS c, len(e) = 2 AS whole FROM (SELECT *, unnest(range(1, len(e))) AS k FROM cuts)),
+told AS (SELECT doc_id, pos, len(c) AS n, whole, array_to_string(c, '') AS chunk, rtrim(array_to_string(c, ''), ' ' || chr(10)) AS bare,
+  len(list_filter(c, lambda x: rtrim(x, ' ' || chr(10)) <> '')) AS n_full FROM parts),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY bare, n_full >= {MIN_PIECES} AND (whole OR length(bare) >= {MIN_CHARS}) ORDER BY doc_id, pos) > 1
+  AND n_full >= {MIN_PIECES} AND (whole OR length(bare) >= {MIN_CHARS}) AS gone FROM told),
+kept AS (SELECT doc_id, coalesce(sum(n) FILTER (gone), 0)::BIGINT AS n_removed,
+  coalesce(string_agg(chunk, '' ORDER BY pos) FILTER (NOT gone), '') AS left_ FROM ranked GROUP BY doc_id)
+SELECT d.doc_id, CASE WHEN d.text IS NULL THEN 0 ELSE len(string_split(d.text, chr(10))) END::BIGINT AS n_lines, coalesce(n_removed, 0) AS n_removed,
+  length(coalesce(left_, d.text)) AS n_chars_left, sha256(coalesce(left_, d.text)) AS text_sha256
+FROM documents d LEFT JOIN kept k ON k.doc_id IS NOT DISTINCT FROM d.doc_id
 """
