@@ -26,7 +26,7 @@ def spans(text):
     role = lambda f: S.KINDS[f[2]][3]
     out = []
     for f in found:
-        roles = {role(g) for g in found if abs(g[0] - f[0]) <= S.SCOPE and role(g) != role(f) and role(g) != "endpoint"}
+        roles = {role(g) for g in found if max(g[0], f[0]) - min(g[3], f[3]) <= S.SCOPE and role(g) != role(f) and role(g) != "endpoint"}
         if f[4] or len(roles) >= (2 if role(f) == "endpoint" else 1):
             out.append(f)
     return ",".join(f"{k}:{s}:{e}" for s, _, k, e, _ in sorted(out))
@@ -61,6 +61,16 @@ def test_known_cases(spark):
     )
 
 
+def test_scope_is_the_gap(spark):
+    """Long parts that touch belong together; the last code point too many between them parts them."""
+    long = "aB3" * 900
+    rows = [(1, f"login: somebody_or_other {long}"), (2, f"client_id=foo12345678 https://h.example/{'y' * 1300} {long}")]
+    rows += [(i, f"{long}{' ' * (S.SCOPE + i - 3)}AKIA12345678") for i in (3, 4)]
+    check(spark, rows)
+    got = {r.doc_id: r.spans for r in S.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert "secret:25:" in got[1] and "endpoint:22:" in got[2] and "secret:0:" in got[3] and got[4] == ""
+
+
 def test_random_texts_match_brute_force(spark):
     rnd = random.Random(4)
     bits = ["token", "API_KEY", "secret", "=", " = ", ": ", "'", "AKIA", "ASIA1234567890", "0123456789abcdef", "deadbeef", "abcDEF123" * 3, "ü", "\n", " ", "x" * 120,

@@ -3,13 +3,14 @@
 Strong findings (the base kinds) stand alone. Weak ones, of little meaning by
 themselves, are candidates: identifiers, high-variety strings that may be
 secrets, and endpoints. The candidates and all findings of a document are
-interval-joined: two parts belong to one scope when they start at most
-``SCOPE`` code points apart. A weak identifier is reported if its scope holds a
+interval-joined: two parts belong to one scope when at most ``SCOPE`` code
+points lie between them, however long they are. A weak identifier is reported if its scope holds a
 secret, a weak secret if it holds an identifier, an endpoint if it holds both.
 
 Positions come from lengths alone: a text is cut at the matches of a kind, and
 running sums over the lengths of pieces and matches give starts and ends. Only
-documents in which something can be found are cut, and only lengths are shuffled.
+documents in which something can be found are cut, where they are read, and
+only lengths are shuffled.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from pyspark.sql import functions as F
 
 from tillflow.llm.common import durable
 
-#: Greatest distance, in code points, between the starts of two parts of one credential.
+#: Most code points between the end of one part of a credential and the start of another.
 SCOPE = 400
 
 
@@ -60,7 +61,7 @@ def _row_key(docs: DataFrame) -> list[Column]:
 
 
 def _cut(kind: str) -> Column:
-    """Array of (kind, before, size, valid): length of the piece before a match and of the match."""
+    """Array of (before, size, valid): length of the piece before a match and of the match."""
     pattern, group, least, _ = KINDS[kind]
     text = F.col("text")
     whole = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
@@ -75,19 +76,19 @@ def _cut(kind: str) -> Column:
         return ok
 
     matches = F.zip_with(whole, counted, lambda m, g: F.struct(F.length(m).alias("size"), valid(m, g).alias("valid")))
-    order = list(KINDS).index(kind)
     return F.zip_with(
         F.slice(pieces, 1, F.size(whole)),
         matches,
-        lambda p, m: F.struct(F.lit(order).alias("order"), F.length(p).alias("before"), m["size"].alias("size"), m["valid"].alias("valid")),
+        lambda p, m: F.struct(F.length(p).alias("before"), m["size"].alias("size"), m["valid"].alias("valid")),
     )
 
 
 def parts(docs: DataFrame) -> DataFrame:
     """Every valid match of every kind: row key, order (of the kind), kind, role, strong, start, end (exclusive)."""
     texts = docs.select(*_row_key(docs), F.col("text").cast("string").alias("text")).where(F.col("text").rlike(POSSIBLE))
-    cut = texts.dropDuplicates(_ROW).select(*_ROW, F.explode(F.array(*map(_cut, KINDS))).alias("found"))
-    rows = cut.select(*_ROW, F.posexplode("found").alias("at", "m")).select(*_ROW, "at", "m.*")
+    cut = texts.select(*_ROW, F.posexplode(F.array(*map(_cut, KINDS))).alias("order", "found")).where(F.size("found") > 0)
+    once = cut.dropDuplicates([*_ROW, "order"])
+    rows = once.select(*_ROW, "order", F.posexplode("found").alias("at", "m")).select(*_ROW, "order", "at", "m.*")
     before = Window.partitionBy(*_ROW, "order").orderBy("at")
     names = F.create_map(*[F.lit(x) for i, k in enumerate(KINDS) for x in (i, k)])
     roles = F.create_map(*[F.lit(x) for i, k in enumerate(KINDS) for x in (i, KINDS[k][3])])
@@ -121,11 +122,13 @@ def apart(found: DataFrame) -> DataFrame:
 
 def linked(found: DataFrame) -> DataFrame:
     """The weak parts whose scope holds what completes them, by an interval join on blocks of ``SCOPE`` code points."""
-    weak = found.where("NOT strong").withColumn("_block", F.explode(F.expr(f"sequence(start div {SCOPE} - 1, start div {SCOPE} + 1)")))
+    blocks = lambda more: F.explode(F.expr(f"sequence(start div {SCOPE} - {more}, end div {SCOPE} + {more})"))
+    weak = found.where("NOT strong").withColumn("_block", blocks(1))
     near = found.where("role <> 'endpoint'").select(
-        *[F.col(c).alias(f"n{c}") for c in _ROW], F.expr(f"start div {SCOPE}").alias("_nblock"), F.col("start").alias("_nstart"), F.col("role").alias("_nrole")
+        *[F.col(c).alias(f"n{c}") for c in _ROW], blocks(0).alias("_nblock"), F.col("start").alias("_nstart"), F.col("end").alias("_nend"), F.col("role").alias("_nrole")
     )
-    same = (F.col("_block") == F.col("_nblock")) & (F.abs(F.col("start") - F.col("_nstart")) <= SCOPE) & (F.col("role") != F.col("_nrole"))
+    gap = F.greatest("start", "_nstart") - F.least("end", "_nend")
+    same = (F.col("_block") == F.col("_nblock")) & (gap <= SCOPE) & (F.col("role") != F.col("_nrole"))
     for c in _ROW:
         same = same & F.col(c).eqNullSafe(F.col(f"n{c}"))
     columns = [c for c in found.columns]
@@ -199,7 +202,7 @@ found AS (SELECT doc_id, ord, kind, role, ord < {len(BASE)} AS strong, fin - siz
   WHERE ok AND (kind <> 'secret' OR ({variety}))),
 apart AS (SELECT * FROM found f WHERE strong OR NOT EXISTS (SELECT 1 FROM found s WHERE s.strong AND s.doc_id = f.doc_id AND s.start < f.fin AND f.start < s.fin)),
 weak AS (SELECT w.doc_id, w.ord, w.kind, w.strong, w.start, w.fin FROM apart w JOIN apart n
-  ON n.doc_id = w.doc_id AND abs(n.start - w.start) <= {SCOPE} AND n.role <> w.role AND n.role <> 'endpoint'
+  ON n.doc_id = w.doc_id AND greatest(n.start, w.start) - least(n.fin, w.fin) <= {SCOPE} AND n.role <> w.role AND n.role <> 'endpoint'
   WHERE NOT w.strong GROUP BY w.doc_id, w.ord, w.kind, w.strong, w.start, w.fin, w.role HAVING count(DISTINCT n.role) >= CASE WHEN w.role = 'endpoint' THEN 2 ELSE 1 END),
 all_ AS (SELECT doc_id, ord, kind, strong, start, fin, kind || ':' || start::BIGINT || ':' || fin::BIGINT AS said
   FROM (SELECT doc_id, ord, kind, strong, start, fin FROM apart WHERE strong UNION ALL SELECT * FROM weak))
