@@ -76,6 +76,23 @@ def test_purity_rejects_templates(spark):
     assert p.verdict == "block" and p.purity == U.PRIOR * U.WEIGHT / (12 + U.WEIGHT)
 
 
+def test_traffic_does_not_decide(spark):
+    """The same urls visited more often, all or some of them, get the same templates and verdicts."""
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    urls = [f"s://h.org/user{a}{b}/page" for a in letters for b in letters[:3]]  # variable segment
+    urls += [f"s://h.org/{part}/{a}{b}" for part in ("news", "ads") for a in letters for b in letters]
+    bad = set(urls[:20]) | {u for u in urls if "/ads/" in u}
+    seen = []
+    for visits in (lambda u: 1, lambda u: 20, lambda u: 30 if "/user" in u else 1):
+        visited = [u for u in urls for _ in range(visits(u))]
+        firsts = {u: i for i, u in reversed(list(enumerate(visited)))}
+        labels = [(firsts[u], u not in bad) for u in urls if u in bad or "/news/" in u]
+        got = U.judge(pages(spark, visited), spark.createDataFrame(labels, "page_id long, good boolean"), rules=())
+        seen.append({(r.url, r.template, r.verdict) for r in got.select("url", "template", "verdict").distinct().collect()})
+    assert seen[0] == seen[1] == seen[2]
+    assert {v for u, _, v in seen[0] if "/user" in u or "/ads/" in u} == {"block"} and {v for u, _, v in seen[0] if "/news/" in u} == {"allow"}
+
+
 def test_equal_branches_share_their_evidence(spark):
     urls, good = [], {}
     for branch, label in (("de", False), ("en", True), ("es", False), ("fr", False)):

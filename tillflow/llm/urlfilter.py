@@ -2,8 +2,8 @@
 
 Rules name a host and a path prefix and decide first. All other URLs are judged
 by their template. The paths of a host form a tree, built level by level:
-digits become ``#``; where a node's segments vary too much for its rows, they
-become the wildcard ``*``; then, from the leaves up, branches with the same
+digits become ``#``; where a node's segments are too many for the shapes below
+them, they become the wildcard ``*``, however often each is visited; then, from the leaves up, branches with the same
 templates below them and a statistically equal share of good pages are merged.
 A template is rejected when its labelled purity, the share of good pages among
 the labelled ones, is too low after smoothing. A template without labels of its
@@ -25,7 +25,7 @@ from tillflow.llm.common import boxed, durable, table, unboxed
 
 #: Levels of the tree; what lies deeper in a path is one last segment.
 LEVELS = 8
-#: A node's segments are variable if there are more kinds than this, and more than this share of its rows.
+#: A node's segments are variable if there are more kinds than this, and more than this share of the shapes below it.
 KINDS, SHARE = 10, 0.05
 #: Of such a node's segments, those with so large a share of its rows stay as they are.
 FREQUENT = 0.1
@@ -96,11 +96,11 @@ def _replaced(segments: Column, level: int, by: Column) -> Column:
 def generalise(tree: DataFrame, level: int) -> DataFrame:
     """Wildcards for the segments of this level under nodes where they vary."""
     here = _with_level(tree, level)
-    kinds = here.where("_here IS NOT NULL").groupBy("host", "_above", "_here").agg(F.sum("n").alias("n"))
+    kinds = here.where("_here IS NOT NULL").groupBy("host", "_above", "_here").agg(F.sum("n").alias("n"), F.count("*").alias("shapes"))
     nodes = (
         kinds.groupBy("host", "_above")
-        .agg(F.count("*").alias("kinds"), F.sum("n").alias("rows"))
-        .where((F.col("kinds") > KINDS) & (F.col("kinds") > SHARE * F.col("rows")))
+        .agg(F.count("*").alias("kinds"), F.sum("n").alias("rows"), F.sum("shapes").alias("shapes"))
+        .where((F.col("kinds") > KINDS) & (F.col("kinds") > SHARE * F.col("shapes")))
     )
     rare = kinds.join(nodes, ["host", "_above"]).where(F.col("n") < FREQUENT * F.col("rows"))
     wild = rare.select("host", "_above", "_here", F.lit("*").alias("_by"))
@@ -231,9 +231,9 @@ def oracle() -> str:
             d,
             g,
             [
-                f"{g}k AS MATERIALIZED (SELECT host, above, here, sum(n) AS k FROM {g}h WHERE here IS NOT NULL GROUP BY ALL)",
+                f"{g}k AS MATERIALIZED (SELECT host, above, here, sum(n) AS k, count(*) AS c FROM {g}h WHERE here IS NOT NULL GROUP BY ALL)",
                 f"""{g}n AS (SELECT host, above, sum(k) AS r FROM {g}k GROUP BY ALL
-                  HAVING count(*) > {KINDS} AND count(*) > {SHARE} * sum(k))""",
+                  HAVING count(*) > {KINDS} AND count(*) > {SHARE} * sum(c))""",
                 f"{g}f AS (SELECT host, above, here, '*' AS name FROM {g}k JOIN {g}n USING (host, above) WHERE k < {FREQUENT} * r)",
             ],
             "name",
