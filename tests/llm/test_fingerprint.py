@@ -56,6 +56,40 @@ def test_odd_rows(spark):
     assert P.with_edits(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
+def hash_by_hand(shingle):
+    """The hash of one shingle in whole numbers, without the module's arrays; fixed values: multipliers and shifts."""
+    points = [ord(c) for c in shingle] + [0xFFFFFFFF] * (8 - len(shingle))
+    h = [p + 1 for p in points]
+    for fold, width in ((0x9E3779B97F4A7C15, 1), (0xC2B2AE3D27D4EB4F, 2), (0x165667B19E3779F9, 4)):
+        h = [(h[i] * fold + h[i + width]) % 2**64 for i in range(len(h) - width)]
+    (x,) = h
+    x = (x ^ x >> 30) * 0xBF58476D1CE4E5B9 % 2**64
+    x = (x ^ x >> 27) * 0x94D049BB133111EB % 2**64
+    return x ^ x >> 31
+
+
+def test_sketches_against_hashes_by_hand():
+    rnd = random.Random(6)
+    for n in (0, 1, 5, 8, 9, 40, 300, 3000):
+        text = "".join(rnd.choice("abcdeé🙂 \n") for _ in range(n))
+        hashes = sorted({hash_by_hand(s) for s in shingles(text)})
+        want = [h for h in hashes if h < 2**64 // 32] or hashes[:1]
+        assert P.sketch(text).tolist() == want, n
+
+
+def test_error_by_length():
+    """The figures of the README: mean error of the likeness of a text to itself with its last quarter replaced."""
+    rnd = random.Random(8)
+    for n, most in ((60, 0.5), (200, 0.3), (600, 0.13), (2000, 0.07), (10_000, 0.035)):
+        off = []
+        for _ in range(60):
+            a, b = ("".join(rnd.choice("abcdefghij ") for _ in range(n)) for _ in range(2))
+            edited = a[: n - n // 4] + b[: n // 4]
+            off.append(abs(P.likeness(P.sketch(a), P.sketch(edited)) - jaccard(shingles(a), shingles(edited))))
+        print(n, np.mean(off))
+        assert np.mean(off) <= most
+
+
 def test_sketches():
     rnd = random.Random(1)
     long = "".join(rnd.choice("abcdefgh ") for _ in range(60_000))
