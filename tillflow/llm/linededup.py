@@ -17,6 +17,9 @@ may repeat, by a bitmap of fixed size, is sent to be compared.
 
 from __future__ import annotations
 
+import operator
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,8 +29,17 @@ from tillflow.llm.common import boxed, durable, unboxed
 WINDOW, FACTOR, MODULUS = 2, 31, 1_000_003
 #: Most words of a piece.
 WORDS = 16
+#: Sentence ends without a blank behind them.
+STOPS = "。！？"
+
+
+def _piece(stops: str) -> str:
+    within = rf"[^ \n{stops}]"
+    return rf"(?:{within}*[^ \n{stops}.!?;:sdn] ){{0,{WORDS - 1}}}(?:{within}*[ \n{stops}]|{within}+)"
+
+
 #: A piece with the blank or line end behind it; the pieces of a text joined are the text. RE2 and Java read it alike.
-PIECE = r"(?:[^ \n。！？]*[^ \n。！？.!?;:sdn] ){0,%d}(?:[^ \n。！？]*[ \n。！？]|[^ \n。！？]+)" % (WORDS - 1)
+PIECE = _piece(STOPS)
 #: To be removed a chunk must have so many pieces that are not blank, and so many code points unless it is a whole text.
 MIN_PIECES, MIN_CHARS = 2, 40
 #: What may differ behind a piece or a chunk.
@@ -86,7 +98,11 @@ def chunks(text: Column) -> Column:
         )
         return F.when(F.size(pieces) > 3, several).when(F.size(pieces) > 0, F.array(pieces)).otherwise(F.array())
 
-    return _let(F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(PIECE), F.lit(0)), cut)
+    given = F.coalesce(text, F.lit(""))
+    stops = reduce(operator.or_, [F.contains(given, F.lit(c)) for c in STOPS])
+    split = lambda pattern: F.regexp_extract_all(given, F.lit(pattern), F.lit(0))
+    # without these stops both patterns find the same, and Java is ten times as fast with classes of ASCII letters
+    return _let(F.when(stops, split(PIECE)).otherwise(split(_piece(""))), cut)
 
 
 def _joined(pieces: Column) -> Column:
