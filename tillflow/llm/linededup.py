@@ -38,6 +38,12 @@ def _piece(stops: str) -> str:
     return rf"(?:{within}*[^ \n{stops}.!?;:sdn] ){{0,{WORDS - 1}}}(?:{within}*[ \n{stops}]|{within}+)"
 
 
+def _java_piece(stops: str) -> str:
+    """The same pieces, but a word is read once: Java does not go back into it when its last letter ends a piece."""
+    within = rf"[^ \n{stops}]"
+    return rf"(?:{within}++(?<![.!?;:sdn]) ){{0,{WORDS - 1}}}(?:{within}*+[ \n{stops}]|{within}++)"
+
+
 #: A piece with the blank or line end behind it; the pieces of a text joined are the text. RE2 and Java read it alike.
 PIECE = _piece(STOPS)
 #: To be removed a chunk must have so many pieces that are not blank, and so many code points unless it is a whole text.
@@ -58,7 +64,9 @@ def _row_key() -> list[Column]:
 
 
 def _bare(value: Column) -> Column:
-    return F.rtrim(value, F.lit(BEHIND))
+    """``value`` without what ``BEHIND`` lists at its end; blanks alone go at once, a set of characters takes a slow way."""
+    blanks_off = F.rtrim(value)
+    return F.when(F.endswith(blanks_off, F.lit("\n")), F.rtrim(value, F.lit(BEHIND))).otherwise(blanks_off)
 
 
 def piece_hash(piece: Column) -> Column:
@@ -80,11 +88,9 @@ def chunks(text: Column) -> Column:
         return F.concat(F.array(F.lit(0)), inner, F.array(n))
 
     def rolled(hashes: Column) -> Column:
-        def at(_, i):
-            total = F.lit(0).cast("long")
-            for k in range(WINDOW):
-                total = total + F.get(hashes, i - k) * FACTOR**k
-            return F.pmod(total, F.lit(MODULUS))  # null before the window is full
+        def at(h, i):
+            older = [F.get(hashes, i - k) * FACTOR**k for k in range(1, WINDOW)]
+            return reduce(operator.add, older, h) % MODULUS  # null before the window is full
 
         return F.transform(hashes, at)
 
@@ -102,25 +108,30 @@ def chunks(text: Column) -> Column:
     stops = reduce(operator.or_, [F.contains(given, F.lit(c)) for c in STOPS])
     split = lambda pattern: F.regexp_extract_all(given, F.lit(pattern), F.lit(0))
     # without these stops both patterns find the same, and Java is ten times as fast with classes of ASCII letters
-    return _let(F.when(stops, split(PIECE)).otherwise(split(_piece(""))), cut)
+    return _let(F.when(stops, split(_java_piece(STOPS))).otherwise(split(_java_piece(""))), cut)
 
 
 def _joined(pieces: Column) -> Column:
     return F.array_join(pieces, "")
 
 
-def _removable(pieces: Column, whole: Column) -> Column:
-    several = F.size(F.filter(pieces, lambda x: _bare(x) != "")) >= MIN_PIECES
-    return several & (whole | (F.length(_bare(_joined(pieces))) >= MIN_CHARS))
+def _removable(pieces: Column, bare: Column, whole: Column) -> Column:
+    # a blank piece is one character
+    several = F.size(F.filter(pieces, lambda x: (x != " ") & (x != "\n"))) >= MIN_PIECES
+    return (whole | (F.length(bare) >= MIN_CHARS)) & several
 
 
-def _occurrences(docs: DataFrame, *more) -> DataFrame:
-    """Row key, position and digest of each chunk that may be removed, and what ``more`` makes of its pieces."""
+def _occurrences(docs: DataFrame, with_text: bool = False) -> DataFrame:
+    """Row key, position and digest of each chunk that may be removed, and its bare text if asked for."""
 
     def told(all_chunks: Column) -> Column:
         whole = F.size(all_chunks) == 1
-        digest = lambda c: F.when(_removable(c, whole), F.unhex(F.md5(_bare(_joined(c)).cast("binary")))).alias("digest")
-        return F.transform(all_chunks, lambda c: F.struct(digest(c), *[f(c) for f in more]))
+
+        def of(c: Column) -> Column:
+            digest = lambda bare: F.when(_removable(c, bare, whole), F.unhex(F.md5(bare.cast("binary")))).alias("digest")
+            return _let(_bare(_joined(c)), lambda bare: F.struct(digest(bare), *[bare.alias("chunk")] * with_text))
+
+        return F.transform(all_chunks, of)
 
     found = docs.where(F.length("text") > 1).select(*_row_key(), F.posexplode(_let(chunks(F.col("text")), told)).alias("pos", "told"))
     return found.select(*_ROW, "pos", "told.*").where("digest IS NOT NULL")
@@ -151,7 +162,7 @@ def repeated_chunks(docs: DataFrame) -> DataFrame:
     seen = _occurrences(docs).groupBy("digest").agg(F.min(here).alias("first"), F.max(here).alias("last"))
     first = durable(seen.where("first <> last").select("digest", "first"))
 
-    texts = _maybe_in(_occurrences(docs, lambda c: _bare(_joined(c)).alias("chunk")), first)
+    texts = _maybe_in(_occurrences(docs, with_text=True), first)
     candidates = durable(texts.join(first, "digest").select(*_ROW, "pos", "digest", "chunk", (here == F.col("first")).alias("is_first")))
     model = candidates.where("is_first").groupBy("digest").agg(F.min("chunk").alias("model"))
     same = candidates.where("NOT is_first").join(model, "digest").where(F.col("chunk") == F.col("model"))
