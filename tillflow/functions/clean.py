@@ -54,8 +54,15 @@ def receipt_rejects(typed: DataFrame) -> DataFrame:
     """The receipts turned away: reason, text and file, equal ones of a file counted."""
     file = F.col("file_path") if "file_path" in typed.columns else F.lit(None).cast("string")
     bad = typed.where("_reject IS NOT NULL").select(F.col("_reject").alias("reason"), F.col(RECORD).alias("record"), file.alias("file_path"))
-    counted = bad.groupBy("reason", "record", "file_path").agg(F.count("*").alias("n"))
-    return counted.select(reject_id("reason", "record", "file_path").alias("reject_id"), "reason", "record", "file_path", "n")
+    return counted_rejects(bad)
+
+
+def counted_rejects(bad: DataFrame) -> DataFrame:
+    """Equal rows counted, under an id that digests all their columns: the id alone is grouped by, so the key is settled in that shuffle."""
+    columns = bad.columns
+    least = F.min(F.struct(*columns)).alias("_row")
+    counted = bad.withColumn("reject_id", reject_id(*columns)).groupBy("reject_id").agg(least, F.count("*").alias("n"))
+    return counted.select("reject_id", "_row.*", "n")
 
 
 def reject_id(*columns: str) -> Column:

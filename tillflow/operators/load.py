@@ -29,16 +29,17 @@ def load_receipts(typed: DataFrame, target_dir: str, spark: SparkSession | None
     spark = spark or typed.sparkSession
     typed = typed.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        by_file = by_file and "file_path" in typed.columns
+        if by_file and "file_path" in typed.columns:  # what comes from one file needs no choice between files
+            path = typed.agg(F.min("file_path"), F.max("file_path"), F.count_if(F.col("file_path").isNull())).first()
+            by_file = path[0] != path[1] or path[2] > 0
+        else:
+            by_file = False
         n = normalize(typed, ids, by_file=by_file)
-        # the batch's months, once, from the persisted input: as many as the calendar has in it
-        month = F.trunc(F.col("timestamp").cast("date"), "month")
-        months = [r[0] for r in typed.select(month.alias("m")).where("m IS NOT NULL").distinct().collect()]
-        tables = {t: n.dated(t) for t in KEYS}
+        tables = {t: n.staged(t) for t in KEYS}
         if "_reject" in typed.columns:
             tables["receipt_rejects"] = receipt_rejects(typed)
         tables["item_rejects"] = item_rejects(n.items)
-        return load_if_absent(tables, target_dir, spark, months)
+        return load_if_absent(tables, target_dir, spark)
     finally:
         typed.unpersist()
 

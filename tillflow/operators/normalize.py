@@ -16,10 +16,10 @@ from functools import cached_property
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillflow.functions.basket import explode_basket, item_columns
-from tillflow.functions.clean import reject_id
-from tillflow.functions.hashing import SHA256, IdScheme
-from tillflow.schemas import PII_COLUMNS, RECORD
+from tillflow.functions.basket import explode_basket, item_columns, split_basket
+from tillflow.functions.clean import counted_rejects
+from tillflow.functions.hashing import SHA256, IdScheme, packed, unpacked
+from tillflow.schemas import DEAL, PARTITION_COLUMN, PII_COLUMNS, RECORD, Staged
 
 PRODUCT_COLS = ["item_name", "item_size", "item_price"]
 
@@ -80,10 +80,7 @@ def item_rejects(items: DataFrame) -> DataFrame:
     """The rejected items of each order and file, equal ones counted; an order without a basket is no reject."""
     file = F.col("file_path") if "file_path" in items.columns else F.lit(None).cast("string")
     bad = rejected_items(items).where("reason <> 'no basket'").select("reason", "order_id", "basket_item", file.alias("file_path"))
-    counted = bad.groupBy("reason", "order_id", "basket_item", "file_path").agg(F.count("*").alias("n"))
-    return counted.select(
-        reject_id("reason", "order_id", "basket_item", "file_path").alias("reject_id"), "reason", "order_id", "basket_item", "file_path", "n"
-    )
+    return counted_rejects(bad)
 
 
 def stores(cleaned: DataFrame, ids: IdScheme = SHA256) -> DataFrame:
@@ -124,20 +121,35 @@ def order_month() -> F.Column:
 
 def _link_rows(items: DataFrame, ids: IdScheme, dated: bool = False) -> DataFrame:
     v = valid_items(items)
-    extra = [c for c in ("file_time", "file_path") if c in v.columns] + ([order_month()] if dated else [])
+    extra = [c for c in ("file_time", "file_path", DEAL) if c in v.columns]
+    extra += ["order_month" if "order_month" in v.columns else order_month()] if dated else []
     if ids.jvm_only:
         return v.select("order_id", ids.product_id().alias("product_id"), *extra)
     # Python-side hash: hash each distinct product once, then look it up.
     return v.join(products(items, ids), PRODUCT_COLS, "left").select("order_id", "product_id", *extra)
 
 
+def by_order(cleaned: DataFrame) -> DataFrame:
+    """Receipts dealt to tasks by their order, so that its items are made and counted where they lie.
+
+    A receipt moves once and whole, which is less than each of its items with two ids.
+    """
+    moved = cleaned.select(packed(F.col("order_id")).alias(DEAL), *[c for c in cleaned.columns if c != "order_id"])
+    return moved.repartition(DEAL).select(unpacked(F.col(DEAL)).alias("order_id"), "*")
+
+
+def _link_keys(items: DataFrame, dated: bool) -> list[str]:
+    """What a link row is grouped by; where orders have been dealt to tasks, that too, so that the groups stay where they are."""
+    return [*([DEAL] if DEAL in items.columns else []), "order_id", "product_id", *(["order_month"] if dated else [])]
+
+
 def orders_products(items: DataFrame, ids: IdScheme = SHA256, dated: bool = False) -> DataFrame:
     """Quantity per (order, product): items of one file add up.
 
     ``dated`` also keeps ``order_month`` (a function of the order, so grouping
     by it changes nothing) for the month-partitioned target.
     """
-    keys = ["order_id", "product_id"] + (["order_month"] if dated else [])
+    keys = _link_keys(items, dated)
     return _link_rows(items, ids, dated).groupBy(*keys).agg(F.count(F.lit(1)).cast("int").alias("quantity"))
 
 
@@ -150,7 +162,7 @@ def orders_products_by_file(items: DataFrame, ids: IdScheme = SHA256, dated: boo
     product, file), then ``min_by`` on the file order per (order, product). No
     window sorts a hot key's rows in one task.
     """
-    keys = ["order_id", "product_id"] + (["order_month"] if dated else [])
+    keys = _link_keys(items, dated)
     per_file = (
         _link_rows(items, ids, dated)
         .groupBy(*keys, "file_path")
@@ -183,9 +195,12 @@ def orders_products_by_join(items: DataFrame, product_table: DataFrame) -> DataF
     Items are counted per order first, so the join moves one row for each
     product of an order, and a popular product no more than that.
     """
-    counted = valid_items(items).groupBy("order_id", *PRODUCT_COLS).agg(F.count(F.lit(1)).cast("int").alias("quantity"))
-    linked = counted.join(product_table, PRODUCT_COLS, "left")
-    return linked.groupBy("order_id", "product_id").agg(F.sum("quantity").cast("int").alias("quantity"))
+    dealt = [DEAL] if DEAL in items.columns else []
+    counted = valid_items(items).groupBy(*dealt, "order_id", *PRODUCT_COLS).agg(F.count(F.lit(1)).cast("int").alias("quantity"))
+    moved = counted.select(packed(F.col("order_id")).alias("order_id"), *PRODUCT_COLS, "quantity")
+    table = product_table.select(packed(F.col("product_id")).alias("product_id"), *PRODUCT_COLS)
+    linked = moved.join(table, PRODUCT_COLS, "left").groupBy("order_id", "product_id").agg(F.sum("quantity").cast("int").alias("quantity"))
+    return linked.select(unpacked(F.col("order_id")).alias("order_id"), unpacked(F.col("product_id")).alias("product_id"), "quantity")
 
 
 class Normalized:
@@ -200,6 +215,8 @@ class Normalized:
 
     @cached_property
     def cleaned(self) -> DataFrame:
+        if "order_id" in self.receipts.columns:  # cleaned before
+            return self.receipts
         return clean(self.receipts, self.ids)
 
     @cached_property
@@ -223,9 +240,13 @@ class Normalized:
         return self._link(dated=False)
 
     def _link(self, dated: bool) -> DataFrame:
+        items = self.items
+        if self.ids.jvm_only:
+            needed = ["order_id", "basket_items", *(["timestamp"] if dated else []), *(["file_path", "file_time"] if self.by_file else [])]
+            items = to_1nf(by_order(self.cleaned.select(*needed)))
         if self.by_file:
-            return orders_products_by_file(self.items, self.ids, dated=dated).drop("file_time", "file_path")
-        return orders_products(self.items, self.ids, dated=dated)
+            return orders_products_by_file(items, self.ids, dated=dated).drop("file_time", "file_path", DEAL)
+        return orders_products(items, self.ids, dated=dated).drop(DEAL)
 
     def dated(self, name: str) -> DataFrame:
         """The table plus ``order_month`` where the target is month-partitioned."""
@@ -235,6 +256,21 @@ class Normalized:
             return self._link(dated=True)
         return self.table(name)
 
+    def staged(self, name: str) -> DataFrame | Staged:
+        """The table for a load: the dated ones are dealt to tasks as receipts and made there."""
+        if name not in PARTITION_COLUMN or not self.ids.jvm_only:
+            return self.dated(name)
+        needed = {
+            "orders": ["store_name", "total_price", "payment_type"],
+            "orders_products": ["basket_items", *(c for c in ("file_path", "file_time") if self.by_file)],
+        }
+        rows = self.cleaned.select("order_id", "timestamp", order_month(), *needed[name])
+        if name == "orders":
+            return Staged(rows, lambda dealt: dealt.withColumn("store_id", self.ids.store_id()).drop("store_name"), F.lit(1))
+        link = orders_products_by_file if self.by_file else orders_products
+        items = F.coalesce(F.size(split_basket(F.col("basket_items"))), F.lit(0))
+        return Staged(rows.drop("timestamp"), lambda dealt: link(to_1nf(dealt), self.ids, dated=True), items, unique=True)
+
     def table(self, name: str) -> DataFrame:
         return getattr(self, name)
 

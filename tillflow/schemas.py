@@ -7,6 +7,10 @@ Declared NOT NULL / PK / FK constraints are checked by ``operators.quality``.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import types as T
 
 # Positional column names of the raw, headerless receipt file.
@@ -138,6 +142,26 @@ FOREIGN_KEYS = [
 # five years.
 PARTITION_COLUMN = {"orders": "order_month", "orders_products": "order_month"}
 
+# Column that says which task of a large load a row of a dated table goes to: a month, or a part of its orders.
+DEAL = "_deal"
+
+
+@dataclass(frozen=True)
+class Staged:
+    """Staging of a dated table that is made where it will be written.
+
+    ``rows`` have ``order_id`` and ``order_month``. ``finish`` makes the table's
+    rows (and keeps ``DEAL``) once all rows of an order are in one task; ``size`` is at
+    least the rows of the table that one of ``rows`` gives. ``unique``: they come
+    one per key.
+    """
+
+    rows: DataFrame
+    finish: Callable[[DataFrame], DataFrame]
+    size: Column
+    unique: bool = False
+
+
 # Load order that keeps every foreign key satisfied at each commit.
 LOAD_ORDER = ["stores", "products", "orders", "orders_products"]
 

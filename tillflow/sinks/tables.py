@@ -13,13 +13,16 @@ both find a key absent. A table format with commits would lift that.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillflow.operators.upsert import anti_join, one_per_key
-from tillflow.schemas import KEYS, LOAD_ORDER, PARTITION_COLUMN, REJECTS, TABLES
+from tillflow.functions.hashing import packed, unpacked
+from tillflow.schemas import DEAL, KEYS, LOAD_ORDER, PARTITION_COLUMN, REJECTS, TABLES, Staged
 from tillflow.session import file_system
 
 #: Tasks that share the months of a small load between them.
@@ -46,7 +49,7 @@ def conform(df: DataFrame, table: str, keep_partition: bool = False) -> DataFram
         cols.append(c.alias(f.name, metadata=f.metadata))
     part = PARTITION_COLUMN.get(table)
     if keep_partition and part:
-        cols.append(F.col(part))
+        cols += [F.col(c) for c in (part, DEAL) if c == part or c in df.columns]
     return df.select(*cols)
 
 
@@ -112,12 +115,74 @@ def _write(rows: DataFrame, n: int, base: str, table: str) -> int:
         dealt = rows.repartitionByRange(files, *order)
     else:  # a month is one file either way; opening them takes longer than filling them
         dealt = rows.repartition(MONTH_WRITERS, part) if part else rows.repartition(1)
+    return _append(dealt.sortWithinPartitions(*order), base, table)
+
+
+def _append(rows: DataFrame, base: str, table: str) -> int:
+    """Append rows as they are dealt; how many, as the write observed them. Ids are hex digits, which only an entropy coder shortens."""
+    part = PARTITION_COLUMN.get(table)
     written = Observation()
-    writer = dealt.sortWithinPartitions(*order).observe(written, F.count(F.lit(1)).alias("n")).write.mode("append")
+    writer = rows.observe(written, F.count(F.lit(1)).alias("n")).write.mode("append").option("compression", "zstd")
     (writer.partitionBy(part) if part else writer).parquet(f"{base.rstrip('/')}/{table}")
     return written.get["n"]
 
 
+@contextmanager
+def _kept_in_place(spark: SparkSession):
+    """A join whose one side is dealt by some of its keys leaves that side where it is, for the actions inside."""
+    name = "spark.sql.requireAllClusterKeysForCoPartition"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def _deal(part: str, sizes: dict) -> F.Column:
+    """The task of a row: its month, or of a month of more than ``ROWS_PER_FILE`` rows a part of its orders."""
+    parts = [x for m, n in sizes.items() if m and n > ROWS_PER_FILE for x in (F.lit(m), F.lit(-(-n // ROWS_PER_FILE)))]
+    n_parts = F.coalesce(F.element_at(F.create_map(*parts), F.col(part)), F.lit(1)) if parts else F.lit(1)
+    return F.coalesce(F.unix_date(part), F.lit(-1)) * F.lit(65536).cast("long") + F.pmod(F.xxhash64("order_id"), n_parts)
+
+
+def insert_dated(staged: Staged, spark: SparkSession, base: str, table: str) -> int:
+    """Insert one load's new rows of a dated table; the rows added.
+
+    The rows of each month are counted first, at most. A load of more than
+    ``BROADCAST_KEYS`` moves what it was given once, to the task that makes,
+    compares, sorts and writes it; of the target, the keys of its months move
+    there too. So nothing is kept between, and no row of the table is shuffled.
+    Smaller loads go by ``insert_new``.
+    """
+    part, keys = PARTITION_COLUMN[table], KEYS[table]
+    sizes = {r[0]: r[1] for r in staged.rows.groupBy(part).agg(F.sum(staged.size)).collect()}  # as many as the calendar has
+    n = sum(sizes.values())
+    if not n:
+        return 0
+    if n <= BROADCAST_KEYS:
+        rows = conform(staged.finish(staged.rows), table, keep_partition=True).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            return insert_new(rows, spark, base, table, list(sizes))
+        finally:
+            rows.unpersist()
+    ids = [c for c in keys if c in staged.rows.columns]
+    moved = staged.rows.select(_deal(part, sizes).alias(DEAL), *[packed(F.col(c)).alias(c) if c in ids else c for c in staged.rows.columns])
+    dealt = moved.repartition(DEAL).select(*[unpacked(F.col(c)).alias(c) if c in ids else c for c in moved.columns])
+    rows = conform(staged.finish(dealt), table, keep_partition=True)
+    if not staged.unique:
+        rows = one_per_key(rows, [*keys, DEAL])
+    target = stored(spark, base, table, list(sizes))
+    if target is not None:
+        known = target.select(_deal(part, sizes).alias(DEAL), *[packed(F.col(k)).alias(f"_{k}") for k in keys])
+        same = F.col(DEAL) == F.col("_of")
+        for k in keys:
+            same &= packed(F.col(k)) == F.col(f"_{k}")
+        rows = rows.join(known.withColumnRenamed(DEAL, "_of"), same, "left_anti")
+    with _kept_in_place(spark):
+        return _append(rows.drop(DEAL).sortWithinPartitions(part, *keys), base, table)
+
+
 def _batch_months(staging: DataFrame, table: str, months: list | None) -> list | None:
     return batch_months(staging, table) if months is None and table in PARTITION_COLUMN else months
 
@@ -161,7 +226,16 @@ def insert_new(staging: DataFrame, spark: SparkSession, base: str, table: str, m
         known.unpersist()
 
 
-def load_if_absent(tables: dict[str, DataFrame], base: str, spark: SparkSession, months: list | None = None) -> dict[str, int]:
+def _first_rejects(staging: DataFrame, spark: SparkSession, base: str, table: str) -> int:
+    """Write the rejects of a load where there are none yet, from the shuffle that counted them; the rows added."""
+    n = _append(one_per_key(staging, ["reject_id"]).sortWithinPartitions("reject_id"), base, table)
+    if not n:  # an empty file is no table
+        fs, p = file_system(spark, f"{base.rstrip('/')}/{table}")
+        fs.delete(p, True)
+    return n
+
+
+def load_if_absent(tables: dict[str, DataFrame | Staged], base: str, spark: SparkSession, months: list | None = None) -> dict[str, int]:
     """Insert-if-absent of each table into its target folder (K4, K5); rows added by table.
 
     Fact tables must carry ``order_month`` (``Normalized.dated``). ``months``
@@ -173,6 +247,12 @@ def load_if_absent(tables: dict[str, DataFrame], base: str, spark: SparkSession,
         if name not in tables:
             continue
         recover(spark, base, name)
+        if isinstance(tables[name], Staged):
+            added[name] = insert_dated(tables[name], spark, base, name)
+            continue
+        if name in REJECTS and not _exists(spark, f"{base.rstrip('/')}/{name}"):
+            added[name] = _first_rejects(tables[name], spark, base, name)
+            continue
         staging = tables[name] if name in REJECTS else conform(tables[name], name, keep_partition=True)
         staging = staging.persist(StorageLevel.MEMORY_AND_DISK)
         try:
