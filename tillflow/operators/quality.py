@@ -11,7 +11,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillflow.functions.hashing import SHA256, IdScheme
+from tillflow.functions.hashing import SHA256, IdScheme, packed
 from tillflow.schemas import FOREIGN_KEYS, KEYS, TABLES
 
 
@@ -19,11 +19,16 @@ def _union(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
+def _packed(df: DataFrame, columns: list[str], *rest: str, names: list[str] | None = None) -> DataFrame:
+    """Key columns as their shuffles move them."""
+    return df.select(*[packed(F.col(c)).alias(a) for c, a in zip(columns, names or columns)], *rest)
+
+
 def dq_unique(tables: dict[str, DataFrame]) -> DataFrame:
     """Per table: rows, and key values held by more than one row (Q1)."""
     out = []
     for name, df in tables.items():
-        per_key = df.groupBy(*KEYS[name]).agg(F.count(F.lit(1)).alias("n"))
+        per_key = _packed(df, KEYS[name]).groupBy(*KEYS[name]).agg(F.count(F.lit(1)).alias("n"))
         out.append(
             per_key.agg(
                 F.sum("n").cast("bigint").alias("n_rows"),
@@ -37,8 +42,8 @@ def dq_foreign(tables: dict[str, DataFrame]) -> DataFrame:
     """Per foreign key: child rows without a parent (Q2)."""
     out = []
     for child, ccols, parent, pcols in FOREIGN_KEYS:
-        c = tables[child].select(*[F.col(a).alias(b) for a, b in zip(ccols, pcols)])
-        orphans = c.join(tables[parent].select(*pcols), pcols, "left_anti")
+        c = _packed(tables[child], ccols, names=pcols)
+        orphans = c.join(_packed(tables[parent], pcols), pcols, "left_anti")
         out.append(
             orphans.agg(F.count(F.lit(1)).cast("bigint").alias("n_orphans")).select(
                 F.lit(child).alias("child_table"), F.lit(parent).alias("parent_table"), "n_orphans"
@@ -82,8 +87,9 @@ def dq_length(tables: dict[str, DataFrame], ids: IdScheme = SHA256) -> DataFrame
 
 def dq_quantity(valid_items: DataFrame, link: DataFrame) -> DataFrame:
     """Recount items per (order, product) and compare with the link table (Q5)."""
-    recount = valid_items.groupBy("order_id", "product_id").agg(F.count(F.lit(1)).alias("n_items"))
-    joined = link.join(recount, ["order_id", "product_id"], "full_outer")
+    keys = ["order_id", "product_id"]
+    recount = _packed(valid_items, keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("n_items"))
+    joined = _packed(link, keys, "quantity").join(recount, ["order_id", "product_id"], "full_outer")
     return joined.agg(
         F.count(F.lit(1)).cast("bigint").alias("n_keys"),
         F.count_if(~F.col("quantity").eqNullSafe(F.col("n_items").cast("int"))).cast("bigint").alias("n_mismatch"),
