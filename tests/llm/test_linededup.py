@@ -165,3 +165,21 @@ def test_no_python_in_the_plan(spark):
     df = spark.createDataFrame([(1, "a\nb"), (2, "a\nb")], "doc_id long, text string")
     plan = D.deduplicate(df)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_chunks_with_one_digest_are_told_apart(spark, monkeypatch):
+    """Whatever the digests, every repetition of every chunk is found, not only of the first one."""
+    monkeypatch.setattr(D, "_digest", lambda bare: bare.isNull().cast("long"), raising=False)
+    monkeypatch.setattr(D.F, "unhex", lambda c: D.F.lit(b"\0"))
+    df = spark.createDataFrame([(1, "a\nb"), (2, "c\nd"), (3, "a\nb"), (4, "c\nd")], "doc_id long, text string")
+    assert {r.doc_id: r.text for r in D.deduplicate(df).collect()} == {1: "a\nb", 2: "c\nd", 3: "", 4: ""}
+
+
+def test_texts_are_cut_once_and_not_copied_into_the_rows_of_their_chunks(spark, tmp_path):
+    import re
+
+    spark.createDataFrame([(1, "a\nb")], "doc_id long, text string").write.parquet(str(tmp_path / "docs"))
+    plan = D._spots(spark.read.parquet(str(tmp_path / "docs")))._jdf.queryExecution().executedPlan().toString()
+    assert len([line for line in plan.splitlines() if "regexp_extract_all" in line]) == 1
+    generate = next(line for line in plan.splitlines() if "Generate" in line)
+    assert re.search(r"\[_doc#\d+L, _hash#\d+L, _size#\d+\]", generate) and "text#" not in generate

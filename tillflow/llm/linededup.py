@@ -10,9 +10,10 @@ stands, and no chunk of several pieces is a single one. Chunks that occur again
 anywhere are removed but for their first occurrence, after their bytes have been
 compared; the blanks and line ends after a chunk go with it and are not compared.
 
-What is shuffled for all chunks is a digest and a position. Texts are shuffled
-once, to apply the decisions; before that only the text of chunks whose digest
-may repeat, by a bitmap of fixed size, is sent to be compared.
+Texts are cut once. What is kept of every chunk is a digest and its place among the
+pieces; texts of documents with digests that occur again, by a bitmap of fixed size
+and then exactly, are split into pieces again to compare the chunks at these places.
+All texts are shuffled once more, to take out the chunks that go.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillflow.llm.common import boxed, durable, unboxed
+from tillflow.llm.common import Tables, boxed, unboxed
 
 #: Pieces under a rolling hash, its multiplier and its modulus.
 WINDOW, FACTOR, MODULUS = 2, 31, 1_000_003
@@ -63,6 +64,11 @@ def _row_key() -> list[Column]:
     return [F.col("doc_id").cast("long").alias("_doc"), F.xxhash64(text).alias("_hash"), F.length(text).alias("_size")]
 
 
+def _let(value: Column, body) -> Column:
+    """``body(value)`` with the value worked out once."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def _bare(value: Column) -> Column:
     """``value`` without what ``BEHIND`` lists at its end; blanks alone go at once, a set of characters takes a slow way."""
     blanks_off = F.rtrim(value)
@@ -70,21 +76,41 @@ def _bare(value: Column) -> Column:
 
 
 def piece_hash(piece: Column) -> Column:
-    return F.conv(F.substring(F.md5(_bare(piece).cast("binary")), 1, 8), 16, 10).cast("long")
+    # a line end is the last character of its piece
+    bare = F.when(F.endswith(piece, F.lit("\n")), F.rtrim(piece, F.lit(BEHIND))).otherwise(F.rtrim(piece))
+    return F.conv(F.substring(F.md5(bare.cast("binary")), 1, 8), 16, 10).cast("long")
 
 
-def _let(value: Column, body) -> Column:
-    """``body(value)`` with the value worked out once."""
-    return F.element_at(F.transform(F.array(value), body), 1)
+def _digest(bare: Column) -> Column:
+    """Tells which chunks may be equal; their bytes are compared before any goes."""
+    return F.xxhash64(bare)
+
+
+def pieces(text: Column) -> Column:
+    """The pieces of a text, in order; none of a null or empty text."""
+    given = F.coalesce(text, F.lit(""))
+    stops = reduce(operator.or_, [F.contains(given, F.lit(c)) for c in STOPS])
+    split = lambda pattern: F.regexp_extract_all(given, F.lit(pattern), F.lit(0))
+    # without these stops both patterns find the same, and Java is ten times as fast with classes of ASCII letters
+    return F.when(stops, split(_java_piece(STOPS))).otherwise(split(_java_piece("")))
+
+
+def _range(start: Column, end: Column) -> Column:
+    return F.struct(start.alias("start"), (end - start).alias("n"))
 
 
-def chunks(text: Column) -> Column:
-    """The chunks of a text, arrays of pieces, in order; none of a null or empty text."""
+def _part(of: Column, chunk: Column) -> Column:
+    """The pieces of a chunk, given as where it starts and how many it has, among those ``of`` its text."""
+    return F.slice(of, chunk["start"] + 1, chunk["n"])
 
-    def ends(pieces: Column, rolled: Column) -> Column:
-        n = F.size(pieces)
+
+def chunks(of: Column) -> Column:
+    """The chunks of a text with the pieces ``of``, in order: the number of pieces before each and in it."""
+
+    def ends(rolled: Column) -> Column:
+        n = F.size(rolled)
         peak = lambda i: (F.get(rolled, i - 1) > F.get(rolled, i - 2)) & (F.get(rolled, i - 1) > F.get(rolled, i))
-        inner = F.filter(F.sequence(F.lit(1), n), lambda i: (i >= 2) & (i <= n - 2) & peak(i))
+        inner = F.filter(F.sequence(F.lit(2), n - 2), peak)
         return F.concat(F.array(F.lit(0)), inner, F.array(n))
 
     def rolled(hashes: Column) -> Column:
@@ -94,58 +120,51 @@ def chunks(text: Column) -> Column:
 
         return F.transform(hashes, at)
 
-    def cut(pieces: Column) -> Column:
-        hashes = F.transform(pieces, piece_hash)
-        several = _let(
-            _let(_let(hashes, rolled), lambda r: ends(pieces, r)),
-            lambda e: F.zip_with(
-                F.slice(e, F.lit(1), F.size(e) - 1), F.slice(e, F.lit(2), F.size(e) - 1), lambda a, b: F.slice(pieces, a + 1, b - a)
-            ),
-        )
-        return F.when(F.size(pieces) > 3, several).when(F.size(pieces) > 0, F.array(pieces)).otherwise(F.array())
-
-    given = F.coalesce(text, F.lit(""))
-    stops = reduce(operator.or_, [F.contains(given, F.lit(c)) for c in STOPS])
-    split = lambda pattern: F.regexp_extract_all(given, F.lit(pattern), F.lit(0))
-    # without these stops both patterns find the same, and Java is ten times as fast with classes of ASCII letters
-    return _let(F.when(stops, split(_java_piece(STOPS))).otherwise(split(_java_piece(""))), cut)
+    between = lambda e: F.zip_with(F.slice(e, F.lit(1), F.size(e) - 1), F.slice(e, F.lit(2), F.size(e) - 1), _range)
+    several = _let(_let(_let(F.transform(of, piece_hash), rolled), ends), between)
+    return F.when(F.size(of) > 3, several).when(F.size(of) > 0, F.array(_range(F.lit(0), F.size(of)))).otherwise(F.array())
 
 
-def _joined(pieces: Column) -> Column:
-    return F.array_join(pieces, "")
+def _joined(parts: Column) -> Column:
+    return F.array_join(parts, "")
 
 
-def _removable(pieces: Column, bare: Column, whole: Column) -> Column:
+def _removable(parts: Column, bare: Column, whole: Column) -> Column:
     # a blank piece is one character
-    several = F.size(F.filter(pieces, lambda x: (x != " ") & (x != "\n"))) >= MIN_PIECES
+    several = F.size(F.array_remove(F.array_remove(parts, " "), "\n")) >= MIN_PIECES
     return (whole | (F.length(bare) >= MIN_CHARS)) & several
 
 
-def _occurrences(docs: DataFrame, with_text: bool = False) -> DataFrame:
-    """Row key, position and digest of each chunk that may be removed, and its bare text if asked for."""
+def _spots(docs: DataFrame) -> DataFrame:
+    """Row key, position, place among the pieces and digest of each chunk that may be removed."""
 
-    def told(all_chunks: Column) -> Column:
-        whole = F.size(all_chunks) == 1
+    def told(of: Column, found: Column) -> Column:
+        whole = F.size(found) == 1
 
-        def of(c: Column) -> Column:
-            digest = lambda bare: F.when(_removable(c, bare, whole), F.unhex(F.md5(bare.cast("binary")))).alias("digest")
-            return _let(_bare(_joined(c)), lambda bare: F.struct(digest(bare), *[bare.alias("chunk")] * with_text))
+        def spot(chunk: Column) -> Column:
+            digest = lambda parts, bare: F.when(_removable(parts, bare, whole), _digest(bare))
+            text = lambda parts: _let(_joined(parts), _bare)
+            made = _let(_part(of, chunk), lambda parts: _let(text(parts), lambda bare: digest(parts, bare)))
+            return F.struct(chunk["start"].alias("start"), chunk["n"].alias("n"), made.alias("digest"))
 
-        return F.transform(all_chunks, of)
+        return F.transform(found, spot)
 
-    found = docs.where(F.length("text") > 1).select(*_row_key(), F.posexplode(_let(chunks(F.col("text")), told)).alias("pos", "told"))
-    return found.select(*_ROW, "pos", "told.*").where("digest IS NOT NULL")
+    all_of = _let(pieces(F.col("text")), lambda of: _let(chunks(of), lambda found: told(of, found)))
+    # the key is worked out before there is a row for each chunk, so that no text is copied into these; "outer", as a
+    # filter on the length of the array would be pushed down to the texts and cut all of them once more
+    rows = docs.where(F.length("text") > 1).select(*_row_key(), all_of.alias("told"))
+    return rows.select(*_ROW, F.posexplode_outer("told").alias("pos", "spot")).select(*_ROW, "pos", "spot.*").where("digest IS NOT NULL")
 
 
-def _bit(digest: Column) -> Column:
-    return F.pmod(F.xxhash64(digest), F.lit(BITS))
+def _bit(key: Column) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(BITS))
 
 
-def _maybe_in(rows: DataFrame, digests: DataFrame) -> DataFrame:
-    """The rows whose digest may be among ``digests``: a bitmap of ``BITS`` bits, whatever their number, is broadcast."""
-    bit = _bit(F.col("digest"))
+def _maybe_in(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """The rows whose ``key`` may be among ``keys``: a bitmap of ``BITS`` bits, whatever their number, is broadcast."""
+    bit = _bit(F.col(key))
     # rows are dealt out by bitmap before they are set, so that no partial bitmaps are shuffled
-    bits = digests.select(F.bitmap_bucket_number(bit).alias("bucket"), F.bitmap_bit_position(bit).alias("at")).repartition("bucket")
+    bits = keys.select(F.bitmap_bucket_number(bit).alias("bucket"), F.bitmap_bit_position(bit).alias("at")).repartition("bucket")
     maps = bits.groupBy("bucket").agg(F.bitmap_construct_agg("at").alias("map"))
     at = F.bitmap_bit_position(bit)
     byte = F.conv(F.hex(F.substring("map", F.shiftright(at, 3).cast("int") + 1, F.lit(1))), 16, 10).cast("long")
@@ -153,25 +172,40 @@ def _maybe_in(rows: DataFrame, digests: DataFrame) -> DataFrame:
     return rows.withColumn("bucket", F.bitmap_bucket_number(bit)).join(F.broadcast(maps), "bucket").where(hit).drop("bucket", "map")
 
 
+def _chunk_texts(docs: DataFrame, places: DataFrame) -> DataFrame:
+    """The ``places`` of documents (row key and spots) as one row each, with the bare text of the chunk."""
+    rows = _maybe_in(docs.where(F.length("text") > 1).select("text", *_row_key()), places, "_hash")
+
+    def told(of: Column) -> Column:
+        def spot(s: Column) -> Column:
+            return F.struct(*[s[c].alias(c) for c in ("pos", "start", "n", "digest")], _let(_joined(_part(of, s)), _bare).alias("chunk"))
+
+        return F.transform("spots", spot)
+
+    found = _with_row(rows, places, "inner").select(*_ROW, _let(pieces(F.col("text")), told).alias("told"))
+    return found.select(*_ROW, F.explode_outer("told").alias("spot")).select(*_ROW, "spot.*")
+
+
 def repeated_chunks(docs: DataFrame) -> DataFrame:
-    """Row key and ``gone``: the positions of the chunks to remove.
+    """Row key and ``gone``: the chunks to remove, as ``start`` and ``n`` among the pieces, in order.
 
     The first occurrence, by doc_id (nulls last), text hash and position, stays.
     """
     here = F.struct(F.col("_doc").isNull().alias("null"), "_doc", "_hash", "_size", "pos")
-    seen = _occurrences(docs).groupBy("digest").agg(F.min(here).alias("first"), F.max(here).alias("last"))
-    first = durable(seen.where("first <> last").select("digest", "first"))
-
-    texts = _maybe_in(_occurrences(docs, with_text=True), first)
-    candidates = durable(texts.join(first, "digest").select(*_ROW, "pos", "digest", "chunk", (here == F.col("first")).alias("is_first")))
-    model = candidates.where("is_first").groupBy("digest").agg(F.min("chunk").alias("model"))
-    same = candidates.where("NOT is_first").join(model, "digest").where(F.col("chunk") == F.col("model"))
-    return same.groupBy(*_ROW).agg(F.collect_set("pos").alias("gone"))
+    with Tables(docs.sparkSession) as keep:
+        spots = keep(_spots(docs))
+        often = keep(spots.groupBy("digest").count().where("count > 1").select("digest"))
+        again = _maybe_in(spots, often, "digest").join(often, "digest", "left_semi")
+        places = keep(again.groupBy(*_ROW).agg(F.collect_set(F.struct("pos", "start", "n", "digest")).alias("spots")))
+        candidates = keep(_chunk_texts(docs, places))
+        first = candidates.groupBy("digest", "chunk").agg(F.min(here).alias("first"))
+        same = candidates.join(first, ["digest", "chunk"]).where(here != F.col("first"))
+        return keep.result(same.groupBy(*_ROW).agg(F.array_sort(F.collect_set(F.struct("start", "n"))).alias("gone")))
 
 
 def _with_row(rows: DataFrame, other: DataFrame, how: str) -> DataFrame:
-    """Join on the row key, null ids included."""
-    there = other.select(*[F.col(c).alias(f"r{c}") for c in _ROW], *[c for c in other.columns if c not in _ROW])
+    """Join on the row key, null ids included. ``other`` has one row for each key and no texts, so it is hashed and the texts are not sorted."""
+    there = other.select(*[F.col(c).alias(f"r{c}") for c in _ROW], *[c for c in other.columns if c not in _ROW]).hint("shuffle_hash")
     on = rows["_hash"] == there["r_hash"]
     for c in ("_doc", "_size"):
         on = on & rows[c].eqNullSafe(there[f"r{c}"])
@@ -189,13 +223,16 @@ def deduplicate(docs: DataFrame) -> DataFrame:
     """
     gone = repeated_chunks(docs)
     joined = _with_row(boxed(docs, F.col("text"), *_row_key(), adds=("n_lines", "n_removed")), gone, "left")
-    of = lambda all_chunks, stays: F.filter(all_chunks, lambda _, i: F.array_contains("gone", i) != stays)
-    left = _let(
-        chunks(F.col("text")),
-        lambda c: F.struct(
-            F.array_join(F.transform(of(c, True), _joined), "").alias("text"),
-            F.aggregate(of(c, False), F.lit(0), lambda n, x: n + F.size(x)).alias("removed"),
-        ),
+
+    def rest(of: Column) -> Column:
+        """The pieces between one chunk that goes and the next."""
+        starts = F.concat(F.array(F.lit(0)), F.transform("gone", lambda g: g["start"] + g["n"]))
+        ends = F.concat(F.col("gone.start"), F.array(F.size(of)))
+        return F.zip_with(starts, ends, lambda a, b: _joined(_part(of, _range(a, b))))
+
+    left = F.struct(
+        F.array_join(_let(pieces(F.col("text")), rest), "").alias("text"),
+        F.aggregate("gone", F.lit(0), lambda n, g: n + g["n"]).alias("removed"),
     )
     n_lines = F.when(F.col("text").isNull(), 0).otherwise(F.length("text") - F.length(F.replace(F.col("text"), F.lit("\n"))) + 1)
     told = joined.withColumns({"left": F.when(F.col("gone").isNotNull(), left), "lines": n_lines})
