@@ -183,3 +183,39 @@ def test_texts_are_cut_once_and_not_copied_into_the_rows_of_their_chunks(spark,
     assert len([line for line in plan.splitlines() if "regexp_extract_all" in line]) == 1
     generate = next(line for line in plan.splitlines() if "Generate" in line)
     assert re.search(r"\[_doc#\d+L, _hash#\d+L, _size#\d+\]", generate) and "text#" not in generate
+
+
+def written_plans(monkeypatch):
+    """The optimized plans of the tables that are written from now on."""
+    from tillflow.llm.common import Tables
+
+    plans, write = [], Tables._written
+    monkeypatch.setattr(Tables, "_written", lambda self, df: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or write(self, df))
+    return plans
+
+
+def test_the_bitmap_is_looked_at_before_rows_are_shuffled(spark, monkeypatch):
+    """Spark moves a semi join on a broadcast bitmap to below it, so all chunks would be shuffled; and texts without repeated chunks stay where they are."""
+    plans = written_plans(monkeypatch)
+    df = spark.createDataFrame([(1, "a\nb"), (2, "c\nd"), (3, "a\nb")], "doc_id long, text string")
+    out = D.deduplicate(df)
+    assert sum("bitmap_construct_agg" in p for p in plans) > 0
+    assert not any("bitmap_construct_agg" in p and ("LeftSemi" in p or "LeftAnti" in p) for p in plans)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" in plan and plan.count("bitmap_construct_agg") >= 2
+
+
+def test_texts_are_read_once_for_their_chunks(spark, monkeypatch):
+    """No second pass over the texts of documents with repeated chunks."""
+    plans = written_plans(monkeypatch)
+    D.repeated_chunks(spark.createDataFrame([(1, "a\nb"), (2, "a\nb")], "doc_id long, text string"))
+    assert sum("regexp_extract_all" in p for p in plans) == 1
+
+
+def test_lines_and_columns_that_bear_names_of_steps(spark):
+    rows = [(1, "a\nb\n", "x", 5), (2, "\n", "y", 6), (3, "", None, 7), (4, None, "z", 8), (5, "a\nb", "w", 9)]
+    df = spark.createDataFrame(rows, "doc_id long, Text string, box string, maybe long")
+    got = D.deduplicate(df)
+    assert got.columns == ["doc_id", "Text", "box", "maybe", "n_lines", "n_removed"]
+    want = [(1, "a\nb\n", "x", 5, 3, 0), (2, "\n", "y", 6, 2, 0), (3, "", None, 7, 1, 0), (4, None, "z", 8, 0, 0), (5, "", "w", 9, 2, 2)]
+    assert sorted(map(tuple, got.collect())) == want

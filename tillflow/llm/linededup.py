@@ -10,10 +10,10 @@ stands, and no chunk of several pieces is a single one. Chunks that occur again
 anywhere are removed but for their first occurrence, after their bytes have been
 compared; the blanks and line ends after a chunk go with it and are not compared.
 
-Texts are cut once. What is kept of every chunk is a digest and its place among the
-pieces; texts of documents with digests that occur again, by a bitmap of fixed size
-and then exactly, are split into pieces again to compare the chunks at these places.
-All texts are shuffled once more, to take out the chunks that go.
+Texts are cut once, and what may be removed of a text is kept as a row for each chunk.
+Chunks whose digest occurs again, by a bitmap of fixed size, are shuffled to meet.
+Texts that lose chunks are shuffled to take these out, and so are few others, which
+another bitmap takes for such.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillflow.llm.common import Tables, boxed, unboxed
+from tillflow.llm.common import Tables, boxed, maybe_in
 
 #: Pieces under a rolling hash, its multiplier and its modulus.
 WINDOW, FACTOR, MODULUS = 2, 31, 1_000_003
@@ -52,16 +52,13 @@ MIN_PIECES, MIN_CHARS = 2, 40
 #: What may differ behind a piece or a chunk.
 BEHIND = " \n"
 
-#: Bits of the bitmap of repeated digests (8 MB in 2048 rows).
-BITS = 1 << 26
-
 _ROW = ["_doc", "_hash", "_size"]
 
 
 def _row_key() -> list[Column]:
     """What tells rows apart: the id and the text. Rows equal in both are one document listed twice."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    return [F.col("doc_id").cast("long").alias("_doc"), F.xxhash64(text).alias("_hash"), F.length(text).alias("_size")]
+    return [F.col("doc_id").cast("long").alias("_doc"), F.xxhash64(text).alias("_hash"), F.octet_length(text).alias("_size")]
 
 
 def _let(value: Column, body) -> Column:
@@ -71,8 +68,7 @@ def _let(value: Column, body) -> Column:
 
 def _bare(value: Column) -> Column:
     """``value`` without what ``BEHIND`` lists at its end; blanks alone go at once, a set of characters takes a slow way."""
-    blanks_off = F.rtrim(value)
-    return F.when(F.endswith(blanks_off, F.lit("\n")), F.rtrim(value, F.lit(BEHIND))).otherwise(blanks_off)
+    return _let(F.rtrim(value), lambda off: F.when(F.endswith(off, F.lit("\n")), F.rtrim(off, F.lit(BEHIND))).otherwise(off))
 
 
 def piece_hash(piece: Column) -> Column:
@@ -129,78 +125,56 @@ def _joined(parts: Column) -> Column:
     return F.array_join(parts, "")
 
 
-def _removable(parts: Column, bare: Column, whole: Column) -> Column:
-    # a blank piece is one character
-    several = F.size(F.array_remove(F.array_remove(parts, " "), "\n")) >= MIN_PIECES
-    return (whole | (F.length(bare) >= MIN_CHARS)) & several
+def _several(parts: Column, blanks: Column) -> Column:
+    """Whether enough of the pieces are not blank; ``blanks`` says that their text has blank ones."""
+    full = F.when(blanks, F.array_remove(F.array_remove(parts, " "), "\n")).otherwise(parts)  # a blank piece is one character
+    return F.size(full) >= MIN_PIECES
 
 
 def _spots(docs: DataFrame) -> DataFrame:
-    """Row key, position, place among the pieces and digest of each chunk that may be removed."""
+    """Row key, place among the pieces, digest and bare text of each chunk that may be removed."""
 
-    def told(of: Column, found: Column) -> Column:
+    def told(of: Column, found: Column, blanks: Column) -> Column:
         whole = F.size(found) == 1
 
         def spot(chunk: Column) -> Column:
-            digest = lambda parts, bare: F.when(_removable(parts, bare, whole), _digest(bare))
-            text = lambda parts: _let(_joined(parts), _bare)
-            made = _let(_part(of, chunk), lambda parts: _let(text(parts), lambda bare: digest(parts, bare)))
-            return F.struct(chunk["start"].alias("start"), chunk["n"].alias("n"), made.alias("digest"))
+            made = lambda bare: F.struct(*[chunk[c].alias(c) for c in ("start", "n")], _digest(bare).alias("digest"), bare.alias("chunk"))
+            long = lambda bare: F.when(whole | (F.length(bare) >= MIN_CHARS), made(bare))
+            several = lambda parts: F.when(_several(parts, blanks), _let(_bare(_joined(parts)), long))
+            return F.when(chunk["n"] >= MIN_PIECES, _let(_part(of, chunk), several))
 
         return F.transform(found, spot)
 
-    all_of = _let(pieces(F.col("text")), lambda of: _let(chunks(of), lambda found: told(of, found)))
+    def of_text(of: Column) -> Column:
+        blanks = F.array_contains(of, " ") | F.array_contains(of, "\n")
+        return _let(blanks, lambda b: _let(chunks(of), lambda found: told(of, found, b)))
+
     # the key is worked out before there is a row for each chunk, so that no text is copied into these; "outer", as a
     # filter on the length of the array would be pushed down to the texts and cut all of them once more
-    rows = docs.where(F.length("text") > 1).select(*_row_key(), all_of.alias("told"))
-    return rows.select(*_ROW, F.posexplode_outer("told").alias("pos", "spot")).select(*_ROW, "pos", "spot.*").where("digest IS NOT NULL")
-
-
-def _bit(key: Column) -> Column:
-    return F.pmod(F.xxhash64(key), F.lit(BITS))
-
-
-def _maybe_in(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
-    """The rows whose ``key`` may be among ``keys``: a bitmap of ``BITS`` bits, whatever their number, is broadcast."""
-    bit = _bit(F.col(key))
-    # rows are dealt out by bitmap before they are set, so that no partial bitmaps are shuffled
-    bits = keys.select(F.bitmap_bucket_number(bit).alias("bucket"), F.bitmap_bit_position(bit).alias("at")).repartition("bucket")
-    maps = bits.groupBy("bucket").agg(F.bitmap_construct_agg("at").alias("map"))
-    at = F.bitmap_bit_position(bit)
-    byte = F.conv(F.hex(F.substring("map", F.shiftright(at, 3).cast("int") + 1, F.lit(1))), 16, 10).cast("long")
-    hit = F.getbit(byte, (at % 8).cast("int")) == 1
-    return rows.withColumn("bucket", F.bitmap_bucket_number(bit)).join(F.broadcast(maps), "bucket").where(hit).drop("bucket", "map")
-
-
-def _chunk_texts(docs: DataFrame, places: DataFrame) -> DataFrame:
-    """The ``places`` of documents (row key and spots) as one row each, with the bare text of the chunk."""
-    rows = _maybe_in(docs.where(F.length("text") > 1).select("text", *_row_key()), places, "_hash")
-
-    def told(of: Column) -> Column:
-        def spot(s: Column) -> Column:
-            return F.struct(*[s[c].alias(c) for c in ("pos", "start", "n", "digest")], _let(_joined(_part(of, s)), _bare).alias("chunk"))
-
-        return F.transform("spots", spot)
-
-    found = _with_row(rows, places, "inner").select(*_ROW, _let(pieces(F.col("text")), told).alias("told"))
-    return found.select(*_ROW, F.explode_outer("told").alias("spot")).select(*_ROW, "spot.*")
+    rows = docs.where(F.octet_length("text") > 1).select(*_row_key(), _let(pieces(F.col("text")), of_text).alias("told"))
+    return rows.select(*_ROW, F.explode_outer("told").alias("spot")).where("spot IS NOT NULL").select(*_ROW, "spot.*")
 
 
 def repeated_chunks(docs: DataFrame) -> DataFrame:
     """Row key and ``gone``: the chunks to remove, as ``start`` and ``n`` among the pieces, in order.
 
     The first occurrence, by doc_id (nulls last), text hash and position, stays.
+    Chunks of one digest have one text but for chance, which their least and
+    greatest tell; the others are told apart by their texts.
     """
-    here = F.struct(F.col("_doc").isNull().alias("null"), "_doc", "_hash", "_size", "pos")
+    here = F.struct(F.col("_doc").isNull().alias("null"), "_doc", "_hash", "_size", "start")
     with Tables(docs.sparkSession) as keep:
         spots = keep(_spots(docs))
         often = keep(spots.groupBy("digest").count().where("count > 1").select("digest"))
-        again = _maybe_in(spots, often, "digest").join(often, "digest", "left_semi")
-        places = keep(again.groupBy(*_ROW).agg(F.collect_set(F.struct("pos", "start", "n", "digest")).alias("spots")))
-        candidates = keep(_chunk_texts(docs, places))
-        first = candidates.groupBy("digest", "chunk").agg(F.min(here).alias("first"))
-        same = candidates.join(first, ["digest", "chunk"]).where(here != F.col("first"))
-        return keep.result(same.groupBy(*_ROW).agg(F.array_sort(F.collect_set(F.struct("start", "n"))).alias("gone")))
+        candidates = maybe_in(spots, often, "digest").where("maybe").drop("maybe")
+        one = (F.min("chunk") == F.max("chunk")).alias("one")
+        first = keep(candidates.groupBy("digest").agg(F.min(here).alias("first"), one, F.count("*").alias("times")).where("times > 1").drop("times"))
+        clash = keep(first.where("NOT one").select("digest"))  # a small table of its own, so that no text is shuffled for it
+        clashing = candidates.join(clash, "digest")
+        told = clashing.join(clashing.groupBy("digest", "chunk").agg(F.min(here).alias("first")), ["digest", "chunk"])
+        same = candidates.drop("chunk").join(first.where("one"), "digest").drop("one").unionByName(told.drop("chunk"))
+        gone = same.where(here != F.col("first")).groupBy(*_ROW)
+        return keep.result(gone.agg(F.array_sort(F.collect_set(F.struct("start", "n"))).alias("gone")))
 
 
 def _with_row(rows: DataFrame, other: DataFrame, how: str) -> DataFrame:
@@ -222,7 +196,10 @@ def deduplicate(docs: DataFrame) -> DataFrame:
     other columns pass through.
     """
     gone = repeated_chunks(docs)
-    joined = _with_row(boxed(docs, F.col("text"), *_row_key(), adds=("n_lines", "n_removed")), gone, "left")
+    docs.sparkSession._jvm.System.gc()  # see Tables
+    rows = maybe_in(boxed(docs, F.col("text"), *_row_key(), adds=("text", "n_lines", "n_removed")), gone.select("_hash").distinct(), "_hash")
+    whole = rows.where("NOT maybe").withColumn("gone", F.lit(None).cast(gone.schema["gone"].dataType))
+    joined = _with_row(rows.where("maybe"), gone, "left").unionByName(whole)
 
     def rest(of: Column) -> Column:
         """The pieces between one chunk that goes and the next."""
@@ -234,13 +211,14 @@ def deduplicate(docs: DataFrame) -> DataFrame:
         F.array_join(_let(pieces(F.col("text")), rest), "").alias("text"),
         F.aggregate("gone", F.lit(0), lambda n, g: n + g["n"]).alias("removed"),
     )
-    n_lines = F.when(F.col("text").isNull(), 0).otherwise(F.length("text") - F.length(F.replace(F.col("text"), F.lit("\n"))) + 1)
+    n_lines = F.when(F.col("text").isNull(), 0).otherwise(F.size(F.split("text", "\n")))
     told = joined.withColumns({"left": F.when(F.col("gone").isNotNull(), left), "lines": n_lines})
-    return unboxed(
-        told,
+    replaced = {"text": F.coalesce("left.text", "text")}
+    names = [c for c in docs.columns if c.lower() not in ("n_lines", "n_removed")]
+    return told.select(
+        *[replaced.get(c.lower(), F.col("box").getField(c)).alias(c) for c in names],
         F.col("lines").cast("long").alias("n_lines"),
         F.coalesce("left.removed", F.lit(0)).cast("long").alias("n_removed"),
-        replaced={"text": F.coalesce("left.text", "text")},
     )
 
 
