@@ -190,7 +190,7 @@ def written_plans(monkeypatch):
     from tillflow.llm.common import Tables
 
     plans, write = [], Tables._written
-    monkeypatch.setattr(Tables, "_written", lambda self, df: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or write(self, df))
+    monkeypatch.setattr(Tables, "_written", lambda self, df, **o: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or write(self, df, **o))
     return plans
 
 

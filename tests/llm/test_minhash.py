@@ -4,6 +4,7 @@ from itertools import combinations
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tillflow.llm import minhash as M
 from tillflow.llm.components import components
@@ -164,3 +165,25 @@ def test_components(spark):
             parent[hi] = lo
     assert got == {x: root(x) for x in parent}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_few_texts_are_shuffled_to_drop_copies(spark):
+    """A bitmap tells which rows may go; rows without an id and columns of any name stay as they are."""
+    text = " ".join(f"w{i}" for i in range(30))
+    rows = [(1, text, 1, "a"), (2, text, 2, "b"), (None, text, 3, "c"), (4, "other words", None, None), (4, "other words", None, None)]
+    got = M.deduplicate(spark.createDataFrame(rows, "doc_id long, text string, maybe long, _doc string"))
+    assert got.columns == ["doc_id", "text", "maybe", "_doc"]
+    assert sorted(map(tuple, got.collect()), key=str) == sorted([rows[0], *rows[2:]], key=str)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftAnti" not in plan and "Union" in plan and plan.count("bitmap_construct_agg") == 2
+
+
+def test_a_bitmap_misses_no_key(spark):
+    from tillflow.llm.common import maybe_in
+
+    keys = spark.range(0, 3000, 3).select(F.col("id").alias("k")).unionByName(spark.sql("SELECT CAST(NULL AS BIGINT) AS k"))
+    rows = spark.range(3000).select(F.col("id").alias("k")).unionByName(spark.sql("SELECT CAST(NULL AS BIGINT) AS k"))
+    got = {r.k: r.maybe for r in maybe_in(rows, keys, "k").collect()}
+    assert len(got) == 3001 and all(got[k] for k in range(0, 3000, 3))
+    assert got[None] is False and sum(got.values()) < 1010
+    assert not any(r.maybe for r in maybe_in(rows, keys.where("k < 0"), "k").collect())

@@ -24,7 +24,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillflow.llm.common import Tables, boxed, maybe_in
+from tillflow.llm.common import DOC_BITS, Tables, boxed, maybe_in
 
 #: Pieces under a rolling hash, its multiplier and its modulus.
 WINDOW, FACTOR, MODULUS = 2, 31, 1_000_003
@@ -52,6 +52,9 @@ MIN_PIECES, MIN_CHARS = 2, 40
 #: What may differ behind a piece or a chunk.
 BEHIND = " \n"
 
+#: Rows that hold texts are written out after a few megabytes, not gathered in memory until the task ends.
+SMALL_GROUPS = {"parquet.block.size": str(8 << 20)}
+
 _ROW = ["_doc", "_hash", "_size"]
 
 
@@ -164,7 +167,7 @@ def repeated_chunks(docs: DataFrame) -> DataFrame:
     """
     here = F.struct(F.col("_doc").isNull().alias("null"), "_doc", "_hash", "_size", "start")
     with Tables(docs.sparkSession) as keep:
-        spots = keep(_spots(docs))
+        spots = keep(_spots(docs), **SMALL_GROUPS)
         often = keep(spots.groupBy("digest").count().where("count > 1").select("digest"))
         candidates = maybe_in(spots, often, "digest").where("maybe").drop("maybe")
         one = (F.min("chunk") == F.max("chunk")).alias("one")
@@ -197,7 +200,7 @@ def deduplicate(docs: DataFrame) -> DataFrame:
     """
     gone = repeated_chunks(docs)
     docs.sparkSession._jvm.System.gc()  # see Tables
-    rows = maybe_in(boxed(docs, F.col("text"), *_row_key(), adds=("text", "n_lines", "n_removed")), gone.select("_hash").distinct(), "_hash")
+    rows = maybe_in(boxed(docs, F.col("text"), *_row_key(), adds=("text", "n_lines", "n_removed")), gone.select("_hash").distinct(), "_hash", DOC_BITS)
     whole = rows.where("NOT maybe").withColumn("gone", F.lit(None).cast(gone.schema["gone"].dataType))
     joined = _with_row(rows.where("maybe"), gone, "left").unionByName(whole)
 

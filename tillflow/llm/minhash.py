@@ -39,7 +39,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillflow.llm.common import Tables
+from tillflow.llm.common import DOC_BITS, Tables, boxed, maybe_in, unboxed
 from tillflow.llm.components import components
 
 #: Bands and rows of each. A pair at similarity 0.8 shares no band with chance (1 - 0.8**5)**32 = 3e-6.
@@ -343,8 +343,11 @@ def _groups(docs: DataFrame, words: int, percent: int, keep: Tables) -> DataFram
 
 def deduplicate(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """``docs`` without the documents that are near copies of one with a smaller doc_id in their group."""
-    gone = near_duplicates(docs, words, percent).where("NOT kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
+    gone = near_duplicates(docs, words, percent).where("NOT kept").select(F.col("doc_id").alias("_doc")).distinct()
+    # few texts are shuffled: those that a bitmap takes for gone
+    told = maybe_in(boxed(docs, F.col("doc_id").cast("long").alias("_doc")), gone, "_doc", DOC_BITS)
+    near = told.where("maybe").join(gone.withColumn("gone", F.lit(True)), "_doc", "left").where("gone IS NULL")
+    return unboxed(told.where("NOT maybe").select("box").unionByName(near.select("box")))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
