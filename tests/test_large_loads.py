@@ -114,3 +114,31 @@ def test_no_rejects_leave_no_table(spark, scratch):
     bad = _receipts(spark, [_row(1, "Tea"), _row(1, "Tea")])
     assert load_receipts(bad, base, spark)["item_rejects"] == 1 and load_receipts(bad, base, spark)["item_rejects"] == 0
     assert read_target(spark, base, "item_rejects").first().n == 2
+
+
+def test_kept_tables_have_no_more_parts_than_they_need(spark):
+    """What a load persists is not left in one part per shuffle partition."""
+    few = spark.range(1000).select((F.col("id") % 7).alias("k")).distinct()
+    kept = tables_module._kept(few)
+    assert kept.count() == 7 and kept.rdd.getNumPartitions() == 1
+    kept.unpersist()
+
+
+def test_a_large_load_sorts_by_columns(spark, scratch, monkeypatch):
+    """The join with the target sorts by packed keys that were worked out once, not by expressions over them."""
+    monkeypatch.setattr(tables_module, "BROADCAST_KEYS", 0)
+    written = []
+    append = tables_module._append
+    monkeypatch.setattr(tables_module, "_append", lambda rows, base, table: written.append((table, rows)) or append(rows, base, table))
+    base = scratch("targets")
+    for _ in range(2):
+        load_receipts(_receipts(spark, ROWS), base, spark)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as for a large target
+    try:
+        with tables_module._kept_in_place(spark):
+            plans = [rows._jdf.queryExecution().executedPlan().toString() for t, rows in written[-2:] if t in ("orders", "orders_products")]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    sorts = [line for plan in plans for line in plan.splitlines() if "Sort [" in line]
+    assert sorts and not any("unhex" in line for line in sorts)

@@ -39,7 +39,8 @@ def sha256_hex(text: Column) -> Column:
 def packed(text: Column) -> Column:
     """A text as bytes, half as many for lower-case hex (every id here): what a shuffle of keys moves. Distinct texts stay distinct."""
     raw = F.unhex(text)
-    return F.when(F.lower(F.hex(raw)) == text, F.concat(F.lit(bytearray([1])), raw)).otherwise(
+    lower_hex = (F.octet_length(text) == 2 * F.octet_length(raw)) & (F.lower(text) == text)
+    return F.when(lower_hex, F.concat(F.lit(bytearray([1])), raw)).otherwise(
         F.concat(F.lit(bytearray([0])), text.cast("binary"))
     )
 

@@ -13,10 +13,11 @@ both find a key absent. A table format with commits would lift that.
 
 from __future__ import annotations
 
+import functools
 from contextlib import contextmanager
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -128,18 +129,27 @@ def _append(rows: DataFrame, base: str, table: str) -> int:
 
 
 @contextmanager
-def _kept_in_place(spark: SparkSession):
-    """A join whose one side is dealt by some of its keys leaves that side where it is, for the actions inside."""
-    name = "spark.sql.requireAllClusterKeysForCoPartition"
+def _set(spark: SparkSession, name: str, value: str):
     before = spark.conf.get(name)
-    spark.conf.set(name, "false")
+    spark.conf.set(name, value)
     try:
         yield
     finally:
         spark.conf.set(name, before)
 
 
-def _deal(part: str, sizes: dict) -> F.Column:
+def _kept_in_place(spark: SparkSession):
+    """A join whose one side is dealt by some of its keys leaves that side where it is, for the actions inside."""
+    return _set(spark, "spark.sql.requireAllClusterKeysForCoPartition", "false")
+
+
+def _kept(rows: DataFrame) -> DataFrame:
+    """Persisted in as many parts as its size asks for: with one per shuffle partition, each later shuffle of few rows writes their square in files."""
+    with _set(rows.sparkSession, "spark.sql.optimizer.canChangeCachedPlanOutputPartitioning", "true"):
+        return rows.persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def _deal(part: str, sizes: dict) -> Column:
     """The task of a row: its month, or of a month of more than ``ROWS_PER_FILE`` rows a part of its orders."""
     parts = [x for m, n in sizes.items() if m and n > ROWS_PER_FILE for x in (F.lit(m), F.lit(-(-n // ROWS_PER_FILE)))]
     n_parts = F.coalesce(F.element_at(F.create_map(*parts), F.col(part)), F.lit(1)) if parts else F.lit(1)
@@ -161,7 +171,7 @@ def insert_dated(staged: Staged, spark: SparkSession, base: str, table: str) ->
     if not n:
         return 0
     if n <= BROADCAST_KEYS:
-        rows = conform(staged.finish(staged.rows), table, keep_partition=True).persist(StorageLevel.MEMORY_AND_DISK)
+        rows = _kept(conform(staged.finish(staged.rows), table, keep_partition=True))
         try:
             return insert_new(rows, spark, base, table, list(sizes))
         finally:
@@ -174,11 +184,11 @@ def insert_dated(staged: Staged, spark: SparkSession, base: str, table: str) ->
         rows = one_per_key(rows, [*keys, DEAL])
     target = stored(spark, base, table, list(sizes))
     if target is not None:
-        known = target.select(_deal(part, sizes).alias(DEAL), *[packed(F.col(k)).alias(f"_{k}") for k in keys])
-        same = F.col(DEAL) == F.col("_of")
-        for k in keys:
-            same &= packed(F.col(k)) == F.col(f"_{k}")
-        rows = rows.join(known.withColumnRenamed(DEAL, "_of"), same, "left_anti")
+        # Packed before the join, not in its condition: there a sort works them out for every comparison.
+        rows = rows.select("*", *[packed(F.col(k)).alias(f"_new_{k}") for k in keys])
+        known = target.select(*[packed(F.col(k)).alias(f"_{k}") for k in keys], _deal(part, sizes).alias("_of"))
+        same = functools.reduce(Column.__and__, [F.col(f"_new_{k}") == F.col(f"_{k}") for k in keys]) & (F.col(DEAL) == F.col("_of"))
+        rows = rows.join(known, same, "left_anti").drop(*[f"_new_{k}" for k in keys])
     with _kept_in_place(spark):
         return _append(rows.drop(DEAL).sortWithinPartitions(part, *keys), base, table)
 
@@ -218,7 +228,7 @@ def insert_new(staging: DataFrame, spark: SparkSession, base: str, table: str, m
     target = stored(spark, base, table, _batch_months(staging, table, months)) if n else None
     if target is None:
         return _write(_without(staging, None, n, keys), n, base, table) if n else 0
-    known = known_keys(staged, n, target.select(*keys), keys).persist(StorageLevel.MEMORY_AND_DISK)
+    known = _kept(known_keys(staged, n, target.select(*keys), keys))
     try:
         left = n - known.count()
         return _write(_without(staging, known, n, keys), left, base, table) if left else 0
@@ -254,7 +264,7 @@ def load_if_absent(tables: dict[str, DataFrame | Staged], base: str, spark: Spar
             added[name] = _first_rejects(tables[name], spark, base, name)
             continue
         staging = tables[name] if name in REJECTS else conform(tables[name], name, keep_partition=True)
-        staging = staging.persist(StorageLevel.MEMORY_AND_DISK)
+        staging = _kept(staging)
         try:
             added[name] = insert_new(staging, spark, base, name, months)
         finally:
@@ -264,7 +274,7 @@ def load_if_absent(tables: dict[str, DataFrame | Staged], base: str, spark: Spar
 
 def append_rows(df: DataFrame, base: str, table: str) -> int:
     """Blind append, no key check (K2); fact tables must carry ``order_month``."""
-    rows = conform(df, table, keep_partition=True).persist(StorageLevel.MEMORY_AND_DISK)
+    rows = _kept(conform(df, table, keep_partition=True))
     try:
         n = rows.count()
         return _write(rows, n, base, table) if n else 0
