@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tillflow.functions.hashing import packed, unpacked
-from tillflow.operators import quality
+from tillflow.operators import normalize as normalize_module, quality
 from tillflow.operators.load import load_receipts
 from tillflow.operators.normalize import by_order, clean, normalize, orders_products, orders_products_by_join, products, to_1nf
 from tillflow.schemas import DEAL, KEYS
@@ -142,3 +142,21 @@ def test_a_large_load_sorts_by_columns(spark, scratch, monkeypatch):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     sorts = [line for plan in plans for line in plan.splitlines() if "Sort [" in line]
     assert sorts and not any("unhex" in line for line in sorts)
+
+
+def test_ids_are_looked_up_without_moving_links(spark, scratch, monkeypatch):
+    """A small product table goes to the items; with a large one only rows of shared or missing ids are summed again."""
+    cleaned = clean(_receipts(spark, ROWS).drop("file_path", "file_time"))
+    items, direct = to_1nf(by_order(cleaned.select("order_id", "basket_items"))), orders_products(to_1nf(cleaned))
+    products(to_1nf(cleaned)).write.parquet(path := scratch("products"))
+    table = spark.read.parquet(path)
+    small = orders_products_by_join(items, table)
+    assert small._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1].count("Exchange hashpartitioning") == 1
+    one_id = table.select(F.lit("p").alias("product_id"), "item_name", "item_size", "item_price")
+    some = table.where("item_name = 'Tea'")
+    of = lambda t: sorted(map(str, orders_products_by_join(items, t).collect()))
+    by_broadcast = [of(t) for t in (table, one_id, some)]
+    monkeypatch.setattr(normalize_module, "BROADCAST_PRODUCTS", 0)
+    assert [of(t) for t in (table, one_id, some)] == by_broadcast
+    assert by_broadcast[0] == sorted(map(str, direct.collect()))
+    assert len(by_broadcast[1]) == direct.select("order_id").distinct().count()  # all items of an order under one id

@@ -197,7 +197,9 @@ def join_store_id(spark, sf_dir):
 def join_product_id(spark, sf_dir):
     cleaned = N.clean(_written_receipts(spark, sf_dir))
     items = N.to_1nf(N.by_order(cleaned.select("order_id", "basket_items")))
-    return N.orders_products_by_join(items, N.products(N.to_1nf(cleaned)))
+    path = scratch_path(spark, "products")
+    N.products(N.to_1nf(cleaned)).write.option("compression", "zstd").parquet(path)
+    return N.orders_products_by_join(items, spark.read.parquet(path))
 
 
 # The two overlapping lineitem "loads" of the anti-join checks.
