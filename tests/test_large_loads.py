@@ -9,8 +9,10 @@ from tillflow.functions.hashing import packed, unpacked
 from tillflow.operators import normalize as normalize_module, quality
 from tillflow.operators.load import load_receipts
 from tillflow.operators.normalize import by_order, clean, normalize, orders_products, orders_products_by_join, products, to_1nf
+from tillflow.operators.processed import load_processed
 from tillflow.schemas import DEAL, KEYS
 from tillflow.sinks import tables as tables_module
+from tillflow.sinks.csv import write_csv
 from tillflow.sinks.tables import read_target
 
 SCHEMA = (
@@ -160,3 +162,26 @@ def test_ids_are_looked_up_without_moving_links(spark, scratch, monkeypatch):
     assert [of(t) for t in (table, one_id, some)] == by_broadcast
     assert by_broadcast[0] == sorted(map(str, direct.collect()))
     assert len(by_broadcast[1]) == direct.select("order_id").distinct().count()  # all items of an order under one id
+
+
+def test_a_large_processed_load_keeps_no_links(spark, scratch, monkeypatch):
+    """Orders and links of processed files are made where they are written, not persisted; the tables are those of a small load."""
+    out, small, large = scratch("processed"), scratch("targets"), scratch("targets")
+    at = "order_id string, timestamp timestamp_ntz, store_id string, total_price double, payment_type string"
+    day = lambda month: dt.datetime(2021, month, 3, 9)
+    orders = [("a1", day(3), "s", 1.0, "CASH"), ("a1", day(4), "s", 1.0, "CASH"), ("a1", day(3), "r", 1.0, "CASH"), ("b2", day(4), "s", 2.0, "CARD"), ("XY", day(4), "s", 2.0, "CARD")]
+    links = [("a1", "p", 2), ("a1", "p", 1), ("a1", "q", 1), ("b2", "p", 1), ("XY", "p", 1), ("none", "p", 1), ("none", "p", 1)]
+    write_csv(spark.createDataFrame(orders, at), f"{out}/day.csv_orders.csv")
+    write_csv(spark.createDataFrame(links, "order_id string, product_id string, quantity int"), f"{out}/day.csv_ordersproducts.csv")
+    first = load_processed(spark, out, small)[0]
+    monkeypatch.setattr(tables_module, "BROADCAST_KEYS", 0)
+    written = []
+    append = tables_module._append
+    monkeypatch.setattr(tables_module, "_append", lambda rows, base, table: written.append((table, rows)) or append(rows, base, table))
+    assert load_processed(spark, out, large)[0] == first == {"orders": 3, "orders_products": 5}
+    assert all(_stored(spark, small, t) == _stored(spark, large, t) for t in first)
+    for table, rows in written:
+        assert "InMemoryTableScan" not in rows._jdf.queryExecution().executedPlan().toString(), table
+    known = read_target(spark, large, "orders_products").where("order_month IS NOT NULL").count()
+    assert known == 4 and load_processed(spark, out, large)[0] == load_processed(spark, out, small)[0]
+    assert read_target(spark, large, "orders_products").where("order_month IS NOT NULL").count() == known
